@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from newsrisk.operators.skew import join_one_per_key
 from newsrisk.plans.marts import daily_mart
@@ -14,40 +14,73 @@ from newsrisk.schema import DAILY
 EPOCH = dt.date(1970, 1, 1)
 
 
+# The stored mart has one row per date, so it is partitioned by year: a refresh replaces the
+# year or two it touches, and no folder holds a single row.
+PARTITION = "mart_year"
+
+
 def read_daily(spark: SparkSession, path: str) -> DataFrame:
     """The stored daily mart, columns in schema order; empty before the first refresh."""
+    return _stored(spark, path).select(*DAILY.names)
+
+
+def _stored(spark: SparkSession, path: str) -> DataFrame:
+    schema = T.StructType([*DAILY.fields, T.StructField(PARTITION, T.IntegerType())])
     try:
-        return spark.read.schema(DAILY).parquet(path).select(*DAILY.names)
-    except Exception as error:
+        return spark.read.schema(schema).parquet(path)
+    except Exception as error:  # AnalysisException, wrapped differently by Spark versions
         if "PATH_NOT_FOUND" not in str(error):
             raise
-        return spark.createDataFrame([], DAILY)
+        return spark.createDataFrame([], schema)
 
 
-def write_daily(daily: DataFrame, path: str) -> None:
-    """Replace the dates present in ``daily``; other stored dates stay as they are.
-
-    The mart has one row per date, so it is gathered into few tasks before it is written.
-    """
+def _write(daily: DataFrame, path: str, overwrite: str) -> None:
     (
-        daily.hint("rebalance")
+        daily.withColumn(PARTITION, F.year("published_date"))
+        .hint("rebalance", PARTITION)
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("published_date")
+        .option("partitionOverwriteMode", overwrite)
+        .partitionBy(PARTITION)
         .parquet(path)
     )
 
 
 def full_refresh(bronze: DataFrame, path: str) -> None:
     """Rebuild the mart from all of bronze, dropping dates that no longer occur."""
-    (
-        daily_mart(staging(bronze))
-        .hint("rebalance")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy("published_date")
-        .parquet(path)
+    _write(daily_mart(staging(bronze)), path, "static")
+
+
+def replace_dates(spark: SparkSession, path: str, fresh: DataFrame, dates: DataFrame) -> None:
+    """Replace the stored rows of ``dates`` by ``fresh``; all other dates stay as they are.
+
+    Only the years of ``dates`` are rewritten, and they are swapped in when the job commits.
+    ``fresh`` and ``dates`` have one row per date, so the list of years and the merged rows
+    are bounded by the calendar.
+    """
+    years = [r[0] for r in dates.select(F.year("published_date")).distinct().collect()]
+    kept = (
+        _stored(spark, path)
+        .where(F.col(PARTITION).isin(years))
+        .select(*DAILY.names)
+        .join(dates, "published_date", "left_anti")
     )
+    merged = kept.unionByName(fresh).persist()
+    try:
+        filled = {r[0] for r in merged.select(F.year("published_date")).distinct().collect()}
+        _write(merged, path, "dynamic")
+        _drop_years(spark, path, sorted(set(years) - filled))
+    finally:
+        merged.unpersist()
+
+
+def _drop_years(spark: SparkSession, path: str, years: list[int]) -> None:
+    # A dynamic overwrite cannot empty a partition, so a year that lost its last date is
+    # removed by name.
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    for year in years:
+        files.delete(hadoop.Path(root, f"{PARTITION}={year}"), True)
 
 
 def watermark(daily: DataFrame) -> dt.date:
@@ -72,7 +105,11 @@ def refresh_watermark(spark: SparkSession, bronze: DataFrame, path: str) -> None
 
     Older dates are never touched, even when late articles arrive for them.
     """
-    write_daily(since(bronze, watermark(read_daily(spark, path))), path)
+    fresh = since(bronze, watermark(read_daily(spark, path))).persist()
+    try:
+        replace_dates(spark, path, fresh, fresh.select("published_date"))
+    finally:
+        fresh.unpersist()
 
 
 def affected_dates(batch: DataFrame, bronze: DataFrame) -> DataFrame:
@@ -103,31 +140,12 @@ def refresh_affected(
 ) -> None:
     """Recompute the dates ``batch`` touches; the mart then equals a full refresh.
 
-    A date that lost its last article has no recomputed row; its stored partition is
-    removed.  There is one directory per date, so that list is bounded by the calendar.
+    A date that lost its last article has no recomputed row and disappears.
     """
     dates = affected_dates(batch, bronze).persist()
     fresh = recompute(bronze, dates).persist()
     try:
-        stored = read_daily(spark, path).select("published_date")
-        gone = (
-            stored.join(dates, "published_date", "left_semi")
-            .join(fresh, "published_date", "left_anti")
-            .toLocalIterator()
-        )
-        vanished = [row.published_date for row in gone]
-        write_daily(fresh, path)
-        _drop_dates(spark, path, vanished)
+        replace_dates(spark, path, fresh, dates)
     finally:
         fresh.unpersist()
         dates.unpersist()
-
-
-def _drop_dates(spark: SparkSession, path: str, dates: list[dt.date]) -> None:
-    if not dates:
-        return
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    root = hadoop.Path(path)
-    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    for date in dates:
-        files.delete(hadoop.Path(root, f"published_date={date.isoformat()}"), True)

@@ -13,21 +13,25 @@ from newsrisk.schema import ARTICLE, ARTICLE_COLUMNS
 FILE_TEMPLATE = "scrape_{date}.json"
 
 
-def stamp_batch(raw: DataFrame, as_of: Column | dt.date | str) -> DataFrame:
-    """Add ``published_date``, ``ingest_seq`` and ``load_key`` from the file of each row.
+def with_file(raw: DataFrame) -> DataFrame:
+    """The article columns plus the name and path of the file each row came from."""
+    return raw.select(*ARTICLE_COLUMNS, "_metadata.file_name", "_metadata.file_path")
+
+
+def stamp_batch(articles: DataFrame, as_of: Column | dt.date | str) -> DataFrame:
+    """Turn the file of each row into ``published_date``, ``ingest_seq`` and ``load_key``.
 
     The date is the first ``YYYY-MM-DD`` in the file name, else the value of a
     ``published_date=`` folder, else the day before ``as_of``.  ``load_key`` orders files as
     a backfill loads them: by the date in the name (or the name itself), then by path.
     ``ingest_seq`` increases with the position in the file.
     """
-    name = F.col("_metadata.file_name")
-    path = F.col("_metadata.file_path")
+    name, path = F.col("file_name"), F.col("file_path")
     named = F.nullif(F.regexp_extract(name, ISO_DATE, 0), F.lit(""))
     folder = F.nullif(
         F.regexp_extract(path, rf"published_date=({ISO_DATE})/", 1), F.lit("")
     )
-    return raw.select(
+    return articles.select(
         *ARTICLE_COLUMNS,
         F.monotonically_increasing_id().alias("ingest_seq"),
         F.coalesce(
@@ -73,7 +77,7 @@ def read_articles(
     if strict:
         check_columns(spark, path, multi_line)
     raw = _reader(spark, multi_line).schema(ARTICLE).option("mode", "FAILFAST").json(path)
-    return stamp_batch(raw, as_of)
+    return stamp_batch(with_file(raw), as_of)
 
 
 def read_day(
@@ -94,7 +98,7 @@ def read_day(
         .option("mode", "FAILFAST")
         .json(root)
     )
-    return stamp_batch(raw, as_of or F.date_add(as_date(target), 1))
+    return stamp_batch(with_file(raw), as_of or F.date_add(as_date(target), 1))
 
 
 def write_landing(articles: DataFrame, path: str, order: str | None = None) -> None:

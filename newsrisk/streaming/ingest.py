@@ -8,18 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from newsrisk.schema import ARTICLE
-from newsrisk.sources.articles import stamp_batch
+from newsrisk.sources.articles import stamp_batch, with_file
 from newsrisk.sources.bronze import ingest
 
 
 def stream_articles(
     spark: SparkSession,
     path: str,
-    as_of: dt.date | str,
     multi_line: bool = True,
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Stamped articles of every file that appears below ``path``."""
+    """Articles of every file that appears below ``path``, with the file they came from."""
     reader = (
         spark.readStream.schema(ARTICLE)
         .option("multiLine", str(multi_line).lower())
@@ -29,7 +28,7 @@ def stream_articles(
     )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return stamp_batch(reader.json(path), as_of)
+    return with_file(reader.json(path))
 
 
 def start_ingest(
@@ -48,9 +47,9 @@ def start_ingest(
     """
 
     def load(batch: DataFrame, _batch_id: int) -> None:
-        ingest(batch.sparkSession, batch, bronze_path)
+        ingest(batch.sparkSession, stamp_batch(batch, as_of), bronze_path)
 
-    stream = stream_articles(spark, path, as_of, multi_line, max_files_per_trigger)
+    stream = stream_articles(spark, path, multi_line, max_files_per_trigger)
     return (
         stream.writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
