@@ -118,9 +118,12 @@ def _html(*parts: Column | str) -> Column:
 def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One page per layout and customer, built from the row: no table is grouped for it.
 
-    Every page is fetched on a day of its own, so relative dates and the target differ.
+    Every page is fetched on a day of its own, so relative dates and the target differ.  The
+    small customer file would be a single task; its rows are spread over the cores before
+    the pages are made, as an archive of pages would be by its files.
     """
-    c = table(spark, sf_dir, "customer").select(
+    spread = table(spark, sf_dir, "customer").repartition(spark.sparkContext.defaultParallelism)
+    c = spread.select(
         F.col("c_custkey").alias("page_id"),
         F.col("c_custkey").cast("string").alias("k"),
         F.col("c_name").alias("name"),

@@ -18,6 +18,7 @@ VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
 HIDDEN = frozenset(("script", "style", "template"))
+NONE: frozenset[str] = frozenset()
 
 
 class Element:
@@ -27,8 +28,8 @@ class Element:
 
     def __init__(self, tag, attrs, parent, nodes):
         self.tag = tag
-        self.attrs = {k: v or "" for k, v in attrs}
-        self.classes = frozenset(self.attrs.get("class", "").split())
+        self.attrs = {k: v or "" for k, v in attrs} if attrs else {}
+        self.classes = frozenset(self.attrs["class"].split()) if "class" in self.attrs else NONE
         self.parent, self.nodes = parent, nodes
         self.start = len(nodes)
         self.end = self.start + 1
@@ -64,6 +65,9 @@ class _TreeBuilder(HTMLParser):
         self.root = self.open = Element("", (), None, self.nodes)
         self.joinable = False  # the last node is text that more text continues
 
+    def updatepos(self, i, j):
+        return j  # line numbers are not needed, and counting them costs a fifth of the parse
+
     def handle_starttag(self, tag, attrs):
         self.joinable = False
         node = Element(tag, attrs, self.open, self.nodes)
@@ -129,13 +133,12 @@ def _is(node: Element, simple) -> bool:
     return (
         (not tag or node.tag == tag)
         and classes <= node.classes
-        and all(a in node.attrs for a in attrs)
+        and (not attrs or all(a in node.attrs for a in attrs))
     )
 
 
-def _matches(node: Element, chain) -> bool:
-    if not _is(node, chain[-1]):
-        return False
+def _inside(node: Element, chain) -> bool:
+    """The ancestors of ``node`` satisfy all but the last part of the selector."""
     above = node.parent
     for simple in reversed(chain[:-1]):
         while above is not None and not _is(above, simple):
@@ -146,17 +149,24 @@ def _matches(node: Element, chain) -> bool:
     return True
 
 
+def matches(root: Element, selector: str) -> Iterator[Element]:
+    """Descendants that match, in document order."""
+    chains = _compile(selector)
+    for node in root.elements():
+        for chain in chains:
+            if _is(node, chain[-1]) and _inside(node, chain):
+                yield node
+                break
+
+
 def select(root: Element, selector: str) -> list[Element]:
     """All descendants that match, in document order."""
-    chains = _compile(selector)
-    return [n for n in root.elements() if any(_matches(n, c) for c in chains)]
+    return list(matches(root, selector))
 
 
 def select_one(root: Element, selectors: tuple[str, ...]) -> Element | None:
     """First match of the first selector that matches anything."""
     for selector in selectors:
-        chains = _compile(selector)
-        for node in root.elements():
-            if any(_matches(node, c) for c in chains):
-                return node
+        for node in matches(root, selector):
+            return node
     return None

@@ -197,9 +197,15 @@ def listing_items(
     ``after_cut``, ``other_date``, ``missing_link``.  An unusable item never costs more than
     itself.
     """
-    rows = parsed.select(
-        *[c for c in parsed.columns if c != "items"], F.explode("items").alias("_i")
-    ).select("*", "_i.*")
+    # explode_outer, because an inner explode makes the optimizer test the size of the array
+    # first, and it would run the page parser a second time to do so.
+    rows = (
+        parsed.select(
+            *[c for c in parsed.columns if c != "items"], F.explode_outer("items").alias("_i")
+        )
+        .where(F.col("_i").isNotNull())
+        .select("*", "_i.*")
+    )
     by = lambda test: _names(layouts, test)
     filtered = by(lambda l: l.date_rule in ("relative", "long", "target"))
     no_link = (by(lambda l: l.link_rule == "present") & F.col("link").isNull()) | (
