@@ -33,16 +33,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def headline(key: Column) -> Column:
-    titles = F.array(*[F.lit(h) for h in HEADLINES])
-    return F.element_at(titles, (key % len(HEADLINES) + 1).cast("int"))
+def headline(key: str) -> Column:
+    titles = ", ".join("NULL" if h is None else f"'{h}'" for h in HEADLINES)
+    return F.expr(f"element_at(array({titles}), CAST({key} % {len(HEADLINES)} + 1 AS INT))")
 
 
 def raw_news(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``orders`` as bronze: about half of the links occur on several dates."""
     o = table(spark, sf_dir, "orders")
     return o.select(
-        headline(F.col("o_orderkey")).alias("title"),
+        headline("o_orderkey").alias("title"),
         F.concat(
             F.lit("https://news.example/"),
             F.col("o_custkey").cast("string"),
@@ -61,7 +61,7 @@ def event_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as scraped articles of thirty days; links repeat within a day."""
     e = table(spark, sf_dir, "events")
     return e.select(
-        headline(F.col("event_id")).alias("title"),
+        headline("event_id").alias("title"),
         F.concat(
             F.lit("https://news.example/"),
             F.col("event_type"),

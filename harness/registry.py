@@ -118,19 +118,18 @@ DOCUMENT_RULE = KeywordRule(
 
 @query("keyword_match")
 def q_keyword_match(spark: SparkSession, sf: str) -> DataFrame:
-    docs = A.table(spark, sf, "documents")
-    hit = any_keyword(F.lower("text"), DOCUMENT_KEYWORDS)
+    docs = A.table(spark, sf, "documents").withColumn("t", F.lower("text"))
+    hit = any_keyword("t", DOCUMENT_KEYWORDS)
     return docs.select("doc_id", "lang", flag(hit).alias("is_match"))
 
 
 @query("word_match")
 def q_word_match(spark: SparkSession, sf: str) -> DataFrame:
-    docs = A.table(spark, sf, "documents")
-    text = F.lower("text")
+    docs = A.table(spark, sf, "documents").withColumn("t", F.lower("text"))
     return docs.select(
         "doc_id",
-        flag(whole_word(text, "as")).alias("has_as"),
-        flag(whole_word(text, "the")).alias("has_the"),
+        flag(whole_word("t", "as")).alias("has_as"),
+        flag(whole_word("t", "the")).alias("has_the"),
     )
 
 
@@ -142,13 +141,13 @@ def q_keyword_filter(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("document_rule")
 def q_document_rule(spark: SparkSession, sf: str) -> DataFrame:
-    docs = A.table(spark, sf, "documents")
-    text = F.lower("text")
+    text = F.coalesce(F.lower("text"), F.lit(""))
+    docs = A.table(spark, sf, "documents").withColumn("t", text)
     return docs.select(
         "doc_id",
-        relevance(text).alias("is_relevant"),
-        rule_flag(text, DOCUMENT_RULE).alias("is_mixed"),
-        *[rule_flag(text, r).alias(f"is_{r.name}") for r in RISK_RULES],
+        relevance("t").alias("is_relevant"),
+        rule_flag("t", DOCUMENT_RULE).alias("is_mixed"),
+        *[rule_flag("t", r).alias(f"is_{r.name}") for r in RISK_RULES],
     )
 
 

@@ -7,9 +7,9 @@ mode and none looks at the clock: "today" is always the caller's ``as_of``.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
-from pyspark.sql import Column, functions as F, types as T
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 # Month names in calendar order.
 INDONESIAN_MONTHS = (
@@ -24,9 +24,25 @@ ENGLISH_MONTHS = (
 ISO_DATE = r"\d{4}-\d{2}-\d{2}"
 
 
+# The characters that count as white space around a text.
+BLANKS = (
+    " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def strip(text: Column) -> Column:
     """Remove leading and trailing white space of any kind (``trim`` only removes blanks)."""
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    return F.btrim(text, F.lit(BLANKS))
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once per row.
+
+    Written out, a value used in several branches of a CASE is computed once per use; for
+    regular expressions that multiplies.
+    """
+    return F.transform(F.array(value), body)[0]
 
 
 def as_date(value: Column | dt.date | str) -> Column:
@@ -43,18 +59,18 @@ def month_number(name: Column, months: tuple[str, ...] = INDONESIAN_MONTHS) -> C
 
 
 def _ymd(year: Column, month: Column, day: Column) -> Column:
-    """DATE from three numbers, NULL when they do not form one (``make_date`` would raise)."""
-    iso = F.format_string("%04d-%02d-%02d", year, month, day)
-    in_range = year.between(1, 9999) & month.between(1, 12) & day.between(1, 31)
-    return F.when(in_range, iso).try_cast("date")
+    """DATE from digits, NULL when they do not form one (``make_date`` would raise)."""
+    iso = F.concat(year, F.lit("-"), month.cast("string"), F.lit("-"), day)
+    return F.when(~iso.startswith("0000"), iso).try_cast("date")
 
 
-def _number(text: Column, pattern: str, group: int) -> Column:
-    return F.regexp_extract(text, pattern, group).try_cast("int")
+def _whole(text: Column) -> Column:
+    """Text of a whole number without leading zeros, NULL for anything else."""
+    return text.try_cast("int").cast("string")
 
 
-def _iso_in(text: Column) -> Column:
-    return F.regexp_extract(text, ISO_DATE, 0).try_cast("date")
+def _token(tokens: Column, position: int) -> Column:
+    return F.try_element_at(tokens, F.lit(position))
 
 
 def relative_date(text: Column | str, as_of: Column | dt.date | str) -> Column:
@@ -66,58 +82,66 @@ def relative_date(text: Column | str, as_of: Column | dt.date | str) -> Column:
     """
     text = F.col(text) if isinstance(text, str) else text
     today = as_date(as_of)
-    clean = F.lower(strip(text))
-    absolute = r"^(\d{1,2})\s+([a-z]+)\s+(\d{4})"
-    month = month_number(F.regexp_extract(clean, absolute, 2))
-    return (
-        F.when(clean.contains("lalu") & ~clean.contains("kemarin"), today)
-        .when(clean.contains("kemarin"), F.date_sub(today, 1))
-        .when(
-            month.isNotNull(),
-            _ymd(_number(clean, absolute, 3), month, _number(clean, absolute, 1)),
+
+    def written(clean: Column) -> Column:
+        leading = F.regexp_extract(clean, r"^\d{1,2}\s+[a-z]+\s+\d{4}", 0)
+        return let(
+            F.split(leading, r"\s+"),
+            lambda p: F.when(
+                month_number(_token(p, 2)).isNotNull(),
+                _ymd(_token(p, 3), month_number(_token(p, 2)), _token(p, 1)),
+            ).otherwise(F.regexp_extract(clean, ISO_DATE, 0).try_cast("date")),
         )
-        .otherwise(_iso_in(clean))
+
+    return let(
+        F.lower(strip(text)),
+        lambda clean: F.when(clean.contains("kemarin"), F.date_sub(today, 1))
+        .when(clean.contains("lalu"), today)
+        .otherwise(written(clean)),
     )
 
 
 def long_date(text: Column | str) -> Column:
     """``"Sabtu, 16 Mei 2026 10:37 WIB"``: day, month name and year are tokens two to four."""
     text = F.col(text) if isinstance(text, str) else text
-    tokens = F.split(strip(F.replace(text, F.lit(","), F.lit(""))), r"\s+")
-    token = lambda i: F.try_element_at(tokens, F.lit(i))
-    return _ymd(
-        token(4).try_cast("int"), month_number(token(3)), token(2).try_cast("int")
+    return let(
+        F.split(strip(F.replace(text, F.lit(","), F.lit(""))), r"\s+"),
+        lambda p: _ymd(_whole(_token(p, 4)), month_number(_token(p, 3)), _whole(_token(p, 2))),
     )
 
 
 def iso_date(text: Column | str) -> Column:
     """Sitemap dates; the written calendar date is kept, no zone shift is applied.
 
-    A first blank-separated token shaped like an ISO date decides alone.  Otherwise ISO
-    (one- or two-digit month and day, optional time), English long forms, and last any
-    embedded ISO date.
+    A first blank-separated token shaped like an ISO date decides alone.  Otherwise any
+    embedded ISO date, then ISO with one-digit month or day, then English long forms.
     """
     text = F.col(text) if isinstance(text, str) else text
-    clean = strip(text)
-    first = F.split_part(clean, F.lit(" "), F.lit(1))
-    shaped = clean.contains(" ") & first.rlike(r"^.{4}-.{2}-.{2}$")
-    loose = r"^(\d{4})-(\d{1,2})-(\d{1,2})(?:T\d{1,2}:\d{1,2}:\d{1,2}(?:Z|[+-]\d{2}:?\d{2}))?$"
-    day_first = r"^(\d{1,2})\s+([A-Za-z]+)\s+(\d{4})$"
-    month_first = r"^([A-Za-z]+)\s+(\d{1,2}),\s*(\d{4})$"
-    english = lambda pattern, m, d: _ymd(
-        _number(clean, pattern, 3),
-        month_number(F.regexp_extract(clean, pattern, m), ENGLISH_MONTHS),
-        _number(clean, pattern, d),
-    )
-    return F.when(shaped, first.try_cast("date")).otherwise(
-        F.coalesce(
-            _iso_in(clean),
-            _ymd(
-                _number(clean, loose, 1), _number(clean, loose, 2), _number(clean, loose, 3)
-            ),
-            english(day_first, 2, 1),
-            english(month_first, 1, 2),
+    loose = r"^(\d{4}-\d{1,2}-\d{1,2})(?:T\d{1,2}:\d{1,2}:\d{1,2}(?:Z|[+-]\d{2}:?\d{2}))?$"
+
+    def english(clean: Column) -> Column:
+        parts = F.split(F.replace(clean, F.lit(","), F.lit("")), r"\s+")
+        day_first = clean.rlike(r"^\d{1,2}\s+[A-Za-z]+\s+\d{4}$")
+        month_first = clean.rlike(r"^[A-Za-z]+\s+\d{1,2},\s+\d{4}$")
+        month = lambda i: month_number(_token(parts, i), ENGLISH_MONTHS)
+        return (
+            F.when(day_first, _ymd(_token(parts, 3), month(2), _token(parts, 1)))
+            .when(month_first, _ymd(_token(parts, 3), month(1), _token(parts, 2)))
         )
+
+    def unspaced(clean: Column) -> Column:
+        return let(
+            F.regexp_extract(clean, ISO_DATE, 0),
+            lambda iso: F.when(iso != "", iso.try_cast("date"))
+            .when(clean.rlike(loose), F.regexp_extract(clean, loose, 1).try_cast("date"))
+            .otherwise(english(clean)),
+        )
+
+    return let(
+        strip(text),
+        lambda clean: F.when(
+            clean.rlike(r"^[^ ]{4}-[^ ]{2}-[^ ]{2} "), F.left(clean, F.lit(10)).try_cast("date")
+        ).otherwise(unspaced(clean)),
     )
 
 

@@ -1,11 +1,14 @@
-"""Keyword predicates and flags as plain columns, evaluated inside code generation."""
+"""Keyword predicates and flags as plain columns, evaluated inside code generation.
+
+The conditions are written as SQL text over a column name and parsed in one call: a rule set
+has more than a hundred terms, and building them one ``Column`` operation at a time takes
+longer than planning the query.
+"""
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterable
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, functions as F
 
@@ -19,42 +22,67 @@ from newsrisk.functions.lexicon import (
     reduce_rule,
 )
 
-__all__ = [
-    "any_keyword",
-    "whole_word",
-    "flag",
-    "rule_matches",
-    "rule_flag",
-    "relevance",
-    "risk_flags",
-]
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _name(column: str) -> str:
+    return ".".join(f"`{part}`" for part in column.split("."))
+
+
+def _keywords_sql(column: str, keywords: Iterable[str]) -> str:
+    terms = [
+        f"contains({_name(column)}, {_quoted(k.lower())})" for k in reduce_keywords(keywords)
+    ]
+    return f"({' OR '.join(terms)})" if terms else "false"
+
+
+def _word_sql(column: str, word: str) -> str:
+    word = word.lower()
+    edge = "[0-9A-Za-z_]"
+    pattern = f"(?<!{edge}){re.escape(word)}(?!{edge})"
+    return (
+        f"(contains({_name(column)}, {_quoted(word)}) "
+        f"AND {_name(column)} RLIKE {_quoted(pattern)})"
+    )
+
+
+def _clause_sql(column: str, clause: Clause) -> str:
+    parts = [_keywords_sql(column, clause.triggers)]
+    if clause.requires:
+        parts.append(_keywords_sql(column, clause.requires))
+    if clause.excludes:
+        parts.append(f"NOT {_keywords_sql(column, clause.excludes)}")
+    return f"({' AND '.join(parts)})"
 
 
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def rule_sql(column: str, rule: KeywordRule) -> str:
+    """SQL condition of ``rule`` over the lower-cased text in ``column``."""
+    return " OR ".join(_clause_sql(column, c) for c in reduce_rule(rule).clauses)
 
 
-def any_keyword(text: Column | str, keywords: Iterable[str]) -> Column:
-    """True when any keyword is a substring of ``text`` (already lower-cased).
+def any_keyword(column: str, keywords: Iterable[str]) -> Column:
+    """True when any keyword is a substring of the lower-cased text in ``column``.
 
     An OR of ``contains`` stops at the first hit, compiles to byte comparisons and reaches
     Parquet as ``StringContains`` filters; an empty list never matches.
     """
-    text = _col(text)
-    terms = [text.contains(k.lower()) for k in reduce_keywords(keywords)]
-    return reduce(or_, terms) if terms else F.lit(False)
+    return F.expr(_keywords_sql(column, keywords))
 
 
-def whole_word(text: Column | str, word: str) -> Column:
-    """True when ``word`` stands alone in ``text``, with ASCII word boundaries.
+def whole_word(column: str, word: str) -> Column:
+    """True when ``word`` stands alone in the lower-cased text, with ASCII word boundaries.
 
     ``\\b`` is Unicode-aware on the JVM, so the boundary is spelled out.  The cheap
     substring test runs first; the regular expression only sees rows that can match.
     """
-    text = _col(text)
-    word = word.lower()
-    edge = "[0-9A-Za-z_]"
-    return text.contains(word) & text.rlike(f"(?<!{edge}){re.escape(word)}(?!{edge})")
+    return F.expr(_word_sql(column, word))
+
+
+def rule_matches(column: str, rule: KeywordRule) -> Column:
+    """Boolean outcome of ``rule`` (NULL for NULL text)."""
+    return F.expr(rule_sql(column, rule))
 
 
 def flag(condition: Column) -> Column:
@@ -62,40 +90,21 @@ def flag(condition: Column) -> Column:
     return F.when(condition, F.lit(1)).otherwise(F.lit(0))
 
 
-def _clause(text: Column, clause: Clause) -> Column:
-    hit = any_keyword(text, clause.triggers)
-    if clause.requires:
-        hit = hit & any_keyword(text, clause.requires)
-    if clause.excludes:
-        hit = hit & ~any_keyword(text, clause.excludes)
-    return hit
-
-
-def rule_matches(text: Column | str, rule: KeywordRule) -> Column:
-    """Boolean outcome of ``rule`` on lower-cased ``text`` (NULL for NULL text)."""
-    text = _col(text)
-    return reduce(or_, [_clause(text, c) for c in reduce_rule(rule).clauses])
-
-
-def rule_flag(text: Column | str, rule: KeywordRule) -> Column:
+def rule_flag(column: str, rule: KeywordRule) -> Column:
     """0/1 outcome of ``rule``; NULL text gives 0."""
-    return flag(rule_matches(text, rule))
+    return flag(rule_matches(column, rule))
 
 
-def relevance(text: Column | str, rule: RelevanceRule = RELEVANCE) -> Column:
+def relevance(column: str, rule: RelevanceRule = RELEVANCE) -> Column:
     """0/1: a foreign actor and a domestic marker both occur.
 
     The domestic list is shorter, so it is tested first.
     """
-    text = _col(text)
-    foreign = any_keyword(text, rule.actors)
-    for word in rule.actor_words:
-        foreign = foreign | whole_word(text, word)
-    return flag(any_keyword(text, rule.domestic) & foreign)
+    foreign = [_keywords_sql(column, rule.actors)]
+    foreign += [_word_sql(column, word) for word in rule.actor_words]
+    return flag(F.expr(f"{_keywords_sql(column, rule.domestic)} AND ({' OR '.join(foreign)})"))
 
 
-def risk_flags(
-    text: Column | str, rules: Iterable[KeywordRule] = RISK_RULES
-) -> dict[str, Column]:
+def risk_flags(column: str, rules: Iterable[KeywordRule] = RISK_RULES) -> dict[str, Column]:
     """``{"is_<rule>": 0/1 column}`` for every rule, ready for ``withColumns``."""
-    return {f"is_{rule.name}": rule_flag(text, rule) for rule in rules}
+    return {f"is_{rule.name}": rule_flag(column, rule) for rule in rules}

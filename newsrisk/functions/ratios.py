@@ -2,31 +2,29 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
+from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
 
 from newsrisk.functions.lexicon import COMPONENTS, COMPOSITES
 
 
-def percentage(count: Column, total: Column) -> Column:
-    """``count`` as a percentage of ``total``, four decimals; NULL when ``total`` is zero.
+def percentage(counts: Sequence[str], total: str) -> Column:
+    """The sum of ``counts`` as a percentage of ``total``, four decimals; NULL for no total.
 
     Both sides are doubles: the same text on integers and a decimal literal would give a
     DECIMAL in Spark.
     """
-    return F.round(
-        count.cast("double") * F.lit(100.0) / F.nullif(total.cast("double"), F.lit(0.0)), 4
+    return F.expr(
+        f"round(CAST({' + '.join(counts)} AS DOUBLE) * 100D "
+        f"/ nullif(CAST({total} AS DOUBLE), 0D), 4)"
     )
 
 
 def index_columns(total: str = "total_articles") -> list[Column]:
     """The component and composite indices over ``count_*`` columns."""
-    count = lambda c: F.col(f"count_{c}")
-    singles = [percentage(count(c), F.col(total)).alias(f"idx_{c}") for c in COMPONENTS]
-    composites = [
-        percentage(reduce(add, [count(c) for c in parts]), F.col(total)).alias(name)
-        for name, parts in COMPOSITES.items()
+    indices = {f"idx_{c}": (c,) for c in COMPONENTS} | COMPOSITES
+    return [
+        percentage([f"count_{p}" for p in parts], total).alias(name)
+        for name, parts in indices.items()
     ]
-    return singles + composites

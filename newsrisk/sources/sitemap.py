@@ -45,18 +45,19 @@ def sitemap_articles(urls: DataFrame, target: Column | dt.date | str) -> DataFra
     raw = ("loc", "lastmod", "news:title", "news:news")
     nested = F.coalesce(F.col("`news:news`.`news:title`"), F.col("`news:title`"))
     link = strip(F.col("loc"))
-    prepared = urls.where(F.col("loc").isNotNull() & (F.col("loc") != "")).select(
+    title = F.when(F.coalesce(nested, F.lit("")) != "", strip(nested)).otherwise(
+        slug_title(link)
+    )
+    wanted = urls.where(
+        F.col("loc").isNotNull()
+        & (F.col("loc") != "")
+        & (iso_date(F.col("lastmod")) == as_date(target))
+    )
+    # After the filter the entry's date is the target, so it is not worked out again.
+    return wanted.select(
         *[c for c in urls.columns if c not in raw],
-        nested.alias("_news"),
+        title.alias("title"),
         link.alias("link"),
-        iso_date(F.coalesce(F.col("lastmod"), F.lit(""))).alias("article_date"),
-    )
-    title = F.when(
-        F.coalesce(F.col("_news"), F.lit("")) != "", strip(F.col("_news"))
-    ).otherwise(slug_title("link"))
-    return (
-        prepared.where(F.col("article_date") == as_date(target))
-        .withColumn("title", title)
-        .withColumn("date_text", F.date_format("article_date", "yyyy-MM-dd"))
-        .drop("_news")
+        F.date_format(as_date(target), "yyyy-MM-dd").alias("date_text"),
+        as_date(target).alias("article_date"),
     )
