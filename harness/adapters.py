@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from newsrisk.functions.dates import INDONESIAN_MONTHS
+from newsrisk.session import spread
 
 # The headline each row gets, by key.  They cover every branch of the rules.
 HEADLINES = (
@@ -118,12 +119,9 @@ def _html(*parts: Column | str) -> Column:
 def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One page per layout and customer, built from the row: no table is grouped for it.
 
-    Every page is fetched on a day of its own, so relative dates and the target differ.  The
-    small customer file would be a single task; its rows are spread over the cores before
-    the pages are made, as an archive of pages would be by its files.
+    Every page is fetched on a day of its own, so relative dates and the target differ.
     """
-    spread = table(spark, sf_dir, "customer").repartition(spark.sparkContext.defaultParallelism)
-    c = spread.select(
+    c = spread(table(spark, sf_dir, "customer")).select(
         F.col("c_custkey").alias("page_id"),
         F.col("c_custkey").cast("string").alias("k"),
         F.col("c_name").alias("name"),
@@ -210,7 +208,7 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sitemaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One sitemap document per order: a plain entry, a news entry, an old one, an empty one."""
-    o = table(spark, sf_dir, "orders").select(
+    o = spread(table(spark, sf_dir, "orders")).select(
         F.col("o_orderkey").alias("doc_id"),
         F.col("o_orderpriority").alias("category"),
         F.col("o_orderdate").cast("date").alias("target_date"),

@@ -172,6 +172,10 @@ ORACLE["audit_mart"] = f"""WITH {_STG} SELECT published_date, source, category,
   title_cleaned, {_flags('title_cleaned')} FROM stg WHERE is_relevant = 1
   ORDER BY published_date DESC, link"""
 
+ORACLE["mart_build"] = ORACLE["monthly_mart"]
+ORACLE["staging_view"] = f"""WITH {_STG} SELECT category, COUNT(*) AS articles,
+  CAST(SUM(is_relevant) AS BIGINT) AS relevant FROM stg GROUP BY category"""
+
 _HISTORY = "SELECT * FROM raw_news WHERE published_date < DATE '2001-01-01'"
 _NOT_LATE = "SELECT * FROM raw_news WHERE source <> 'P'"
 

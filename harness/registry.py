@@ -37,9 +37,10 @@ from newsrisk.plans.marts import (
     weekly_mart,
     with_flags,
 )
+from newsrisk.plans.publish import build_marts, staging_view
 from newsrisk.plans.staging import clean, staging
 from newsrisk.schema import ARTICLE_COLUMNS, COUNT_COLUMNS, INDEX_COLUMNS
-from newsrisk.session import scratch_path
+from newsrisk.session import scratch_path, spread
 from newsrisk.sources.articles import read_articles, write_landing
 from newsrisk.sources.bronze import append, ingest, read_bronze, unseen
 from newsrisk.sources.listing import (
@@ -92,6 +93,15 @@ def q_staging_news(spark: SparkSession, sf: str) -> DataFrame:
     return staging(A.raw_news(spark, sf))
 
 
+@query("staging_view")
+def q_staging_view(spark: SparkSession, sf: str) -> DataFrame:
+    staging_view(A.raw_news(spark, sf), "stg_news")
+    return spark.sql(
+        "SELECT category, count(*) AS articles, sum(is_relevant) AS relevant "
+        "FROM stg_news GROUP BY category"
+    )
+
+
 @query("relevance_flag")
 def q_relevance_flag(spark: SparkSession, sf: str) -> DataFrame:
     news = clean(A.raw_news(spark, sf))
@@ -118,14 +128,14 @@ DOCUMENT_RULE = KeywordRule(
 
 @query("keyword_match")
 def q_keyword_match(spark: SparkSession, sf: str) -> DataFrame:
-    docs = A.table(spark, sf, "documents").withColumn("t", F.lower("text"))
+    docs = spread(A.table(spark, sf, "documents")).withColumn("t", F.lower("text"))
     hit = any_keyword("t", DOCUMENT_KEYWORDS)
     return docs.select("doc_id", "lang", flag(hit).alias("is_match"))
 
 
 @query("word_match")
 def q_word_match(spark: SparkSession, sf: str) -> DataFrame:
-    docs = A.table(spark, sf, "documents").withColumn("t", F.lower("text"))
+    docs = spread(A.table(spark, sf, "documents")).withColumn("t", F.lower("text"))
     return docs.select(
         "doc_id",
         flag(whole_word("t", "as")).alias("has_as"),
@@ -142,7 +152,7 @@ def q_keyword_filter(spark: SparkSession, sf: str) -> DataFrame:
 @query("document_rule")
 def q_document_rule(spark: SparkSession, sf: str) -> DataFrame:
     text = F.coalesce(F.lower("text"), F.lit(""))
-    docs = A.table(spark, sf, "documents").withColumn("t", text)
+    docs = spread(A.table(spark, sf, "documents")).withColumn("t", text)
     return docs.select(
         "doc_id",
         relevance("t").alias("is_relevant"),
@@ -240,6 +250,14 @@ def q_mart_watermark(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("mart_build")
+def q_mart_build(spark: SparkSession, sf: str) -> DataFrame:
+    """All tables built and stored; the monthly one read back."""
+    root = scratch_path(spark, "marts")
+    build_marts(spark, A.raw_news(spark, sf), root)
+    return spark.read.parquet(f"{root}/monthly")
+
+
 # ---- export ----------------------------------------------------------------------------
 
 
@@ -357,7 +375,7 @@ def q_source_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("parse_relative_date")
 def q_parse_relative_date(spark: SparkSession, sf: str) -> DataFrame:
-    o = A.table(spark, sf, "orders")
+    o = spread(A.table(spark, sf, "orders"))
     key, day = F.col("o_orderkey"), F.col("o_orderdate").cast("date")
     text = (
         F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("9 menit lalu"))
@@ -371,7 +389,7 @@ def q_parse_relative_date(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("parse_long_date")
 def q_parse_long_date(spark: SparkSession, sf: str) -> DataFrame:
-    o = A.table(spark, sf, "orders")
+    o = spread(A.table(spark, sf, "orders"))
     text = F.concat(
         F.lit("Sabtu, "),
         A.indonesian_date(F.col("o_orderdate").cast("date")),
@@ -382,7 +400,7 @@ def q_parse_long_date(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("parse_iso_date")
 def q_parse_iso_date(spark: SparkSession, sf: str) -> DataFrame:
-    e = A.table(spark, sf, "events")
+    e = spread(A.table(spark, sf, "events"))
     text = (
         F.when(F.col("event_type") == "click", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
         .when(F.col("event_type") == "view", F.date_format("ts", "yyyy-MM-dd HH:mm 'Z'"))
@@ -454,7 +472,7 @@ NAVIGATION = {"navigation": ListingLayout(item=("nav li",), title=("a[href]",))}
 @query("extract_navigation")
 def q_extract_navigation(spark: SparkSession, sf: str) -> DataFrame:
     """A layout of one's own over the raw web pages."""
-    pages = A.table(spark, sf, "pages").withColumn("layout", F.lit("navigation"))
+    pages = spread(A.table(spark, sf, "pages")).withColumn("layout", F.lit("navigation"))
     parsed = parse_listing(pages, A.FETCHED, A.FETCHED, NAVIGATION)
     return accepted(listing_items(parsed, NAVIGATION)).select(
         "page_id", "pos", "title", "link"

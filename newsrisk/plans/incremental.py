@@ -10,6 +10,7 @@ from newsrisk.operators.skew import join_one_per_key
 from newsrisk.plans.marts import daily_mart
 from newsrisk.plans.staging import staging
 from newsrisk.schema import DAILY
+from newsrisk.sources.tables import read_or_empty
 
 EPOCH = dt.date(1970, 1, 1)
 
@@ -26,12 +27,7 @@ def read_daily(spark: SparkSession, path: str) -> DataFrame:
 
 def _stored(spark: SparkSession, path: str) -> DataFrame:
     schema = T.StructType([*DAILY.fields, T.StructField(PARTITION, T.IntegerType())])
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except Exception as error:  # AnalysisException, wrapped differently by Spark versions
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        return spark.createDataFrame([], schema)
+    return read_or_empty(spark, path, schema)
 
 
 def _write(daily: DataFrame, path: str, overwrite: str) -> None:
@@ -47,7 +43,12 @@ def _write(daily: DataFrame, path: str, overwrite: str) -> None:
 
 def full_refresh(bronze: DataFrame, path: str) -> None:
     """Rebuild the mart from all of bronze, dropping dates that no longer occur."""
-    _write(daily_mart(staging(bronze)), path, "static")
+    full_refresh_from(staging(bronze), path)
+
+
+def full_refresh_from(staged: DataFrame, path: str) -> None:
+    """Rebuild the mart from silver that exists already."""
+    _write(daily_mart(staged), path, "static")
 
 
 def replace_dates(spark: SparkSession, path: str, fresh: DataFrame, dates: DataFrame) -> None:

@@ -74,7 +74,8 @@ def _rollup(daily: DataFrame, period: str) -> DataFrame:
         .agg(
             F.min("published_date").alias(f"first_day_in_{period}"),
             F.max("published_date").alias(f"last_day_in_{period}"),
-            F.count_distinct("published_date").alias("days_with_data"),
+            # Exact, at most 31 elements, and no second shuffle as COUNT(DISTINCT) needs.
+            F.size(F.collect_set("published_date")).cast("bigint").alias("days_with_data"),
             F.sum("total_articles").alias("total_articles"),
             *[F.sum(c).alias(c) for c in COUNT_COLUMNS],
         )

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Results compare dates across engines, so the zone is pinned.  AQE does what a static plan
 # cannot: coalesce small shuffles, split skewed join partitions, turn a join into a broadcast
@@ -38,3 +38,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         base = tempfile.mkdtemp(prefix="newsrisk-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` in at least as many partitions as the session has cores.
+
+    For costly per-row work on a table of few, small files.  A table that already has enough
+    partitions, as any large one does, is returned unchanged, so nothing large is shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

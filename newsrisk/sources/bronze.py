@@ -6,18 +6,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from newsrisk.operators.skew import join_one_per_key
 from newsrisk.schema import RAW_NEWS
+from newsrisk.sources.tables import read_or_empty
 
 KEY = ("published_date", "link")
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
     """The bronze table at ``path``; empty before the first load."""
-    try:
-        return spark.read.schema(RAW_NEWS).parquet(path)
-    except Exception as error:  # AnalysisException, wrapped differently by Spark versions
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        return spark.createDataFrame([], RAW_NEWS)
+    return read_or_empty(spark, path, RAW_NEWS)
 
 
 def create_bronze(spark: SparkSession, table: str, location: str | None = None) -> None:
@@ -86,14 +82,18 @@ def dates_between(batch: DataFrame, bronze: DataFrame) -> DataFrame:
     return bronze.where(F.col("published_date").between(F.lit(low), F.lit(high)))
 
 
-def ingest(spark: SparkSession, batch: DataFrame, path: str) -> None:
+def ingest(spark: SparkSession, batch: DataFrame, path: str, cache: bool = True) -> None:
     """Load a stamped batch into the bronze table at ``path``; repeating it changes nothing.
 
-    The batch is parsed once: its date span, its keys and its rows are all needed.
+    The date span, the keys and the rows of the batch are all needed, so a daily batch is
+    parsed once and cached.  A backfill larger than the executors' disks is better read
+    again for each of them: ``cache=False``.
     """
-    batch = batch.persist()
+    if cache:
+        batch = batch.persist()
     try:
         bronze = dates_between(batch, read_bronze(spark, path))
         append(unseen(batch, bronze), path)
     finally:
-        batch.unpersist()
+        if cache:
+            batch.unpersist()

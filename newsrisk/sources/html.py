@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 from html.parser import HTMLParser
 
 # Elements that never have content, and elements whose content is not text.
@@ -114,8 +113,12 @@ def parse(html: str) -> Element:
     return builder.finish()
 
 
-@lru_cache(maxsize=256)
-def _compile(selector: str):
+_COMPILED: dict[str, tuple] = {}  # per worker; there are as many as layouts have selectors
+
+
+def _compile(selector: str) -> tuple:
+    if selector in _COMPILED:
+        return _COMPILED[selector]
     alternatives = []
     for part in selector.split(","):
         chain = []
@@ -125,7 +128,8 @@ def _compile(selector: str):
             attrs = tuple(re.findall(r"\[([\w-]+)\]", simple))
             chain.append((tag, classes, attrs))
         alternatives.append(tuple(chain))
-    return tuple(alternatives)
+    _COMPILED[selector] = tuple(alternatives)
+    return _COMPILED[selector]
 
 
 def _is(node: Element, simple) -> bool:

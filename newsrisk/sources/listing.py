@@ -14,9 +14,9 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql.functions import arrow_udf
 
 from newsrisk.functions.dates import as_date, long_date, relative_date
 from newsrisk.sources.html import parse, select, select_one
@@ -85,6 +85,26 @@ _PARSED = (
 )
 
 
+_ARROW_PARSED = pa.struct(
+    [
+        ("has_more", pa.bool_()),
+        (
+            "items",
+            pa.list_(
+                pa.struct(
+                    [
+                        ("pos", pa.int32()),
+                        ("title", pa.string()),
+                        ("link", pa.string()),
+                        ("date_text", pa.string()),
+                    ]
+                )
+            ),
+        ),
+    ]
+)
+
+
 def _items(html: str, layout: ListingLayout) -> tuple[bool, list[dict]]:
     root = parse(html)
     nodes = next((n for s in layout.item if (n := select(root, s))), [])
@@ -113,14 +133,13 @@ def _items(html: str, layout: ListingLayout) -> tuple[bool, list[dict]]:
 def _parser(layouts: Mapping[str, ListingLayout]):
     layouts = dict(layouts)
 
-    @pandas_udf(_PARSED)
-    def parse_pages(html: pd.Series, layout: pd.Series) -> pd.DataFrame:
-        more, items = [], []
-        for page, name in zip(html, layout):
-            has_more, found = _items(page, layouts[name]) if page else (False, [])
-            more.append(has_more)
-            items.append(found)
-        return pd.DataFrame({"has_more": more, "items": items})
+    @arrow_udf(_PARSED)
+    def parse_pages(html: pa.Array, layout: pa.Array) -> pa.Array:
+        pages = []
+        for page, name in zip(html.to_pylist(), layout.to_pylist()):
+            more, items = _items(page, layouts[name]) if page else (False, [])
+            pages.append({"has_more": more, "items": items})
+        return pa.array(pages, type=_ARROW_PARSED)
 
     return parse_pages
 
