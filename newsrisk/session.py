@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,6 +29,13 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
     return builder
 
 
+@lru_cache(maxsize=1)
+def _local_base() -> str:
+    base = tempfile.mkdtemp(prefix="newsrisk-")
+    atexit.register(shutil.rmtree, base, ignore_errors=True)
+    return base
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for an intermediate table.
 
@@ -36,7 +46,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="newsrisk-")
+        base = _local_base()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
