@@ -33,21 +33,22 @@ def unseen(batch: DataFrame, bronze: DataFrame, load_key: str | None = "load_key
     ``load_key`` order: a link of an earlier file hides the same link and date in later
     files, while copies inside one file are all kept (silver removes them).
 
-    Both sides shrink to one row per key before they meet, map-side first, so a link that
-    fills a third of the batch or of bronze costs nothing there.  Bronze is only read for
-    the two key columns.
+    Keys of both sides shrink to one row each, map-side first, so a link that fills a third
+    of the batch or of bronze costs nothing there.  Bronze is only read for the two key
+    columns, and takes part as the file that was loaded before all others: one grouping
+    finds the first file of every key, and whether that is bronze.
     """
-    seen = bronze.select(*KEY).distinct()
+    loaded = bronze.select(*KEY)
     if load_key is None or load_key not in batch.columns:
-        return join_one_per_key(batch, seen, KEY, "left_anti")
-    first = batch.groupBy(*KEY).agg(F.min(load_key).alias(load_key))
-    fresh = first.alias("f").join(
-        seen.alias("s"),
-        F.col("f.published_date").eqNullSafe(F.col("s.published_date"))
-        & F.col("f.link").eqNullSafe(F.col("s.link")),
-        "left_anti",
+        return join_one_per_key(batch, loaded.distinct(), KEY, "left_anti")
+    first = (
+        batch.select(*KEY, load_key)
+        .unionByName(loaded.withColumn(load_key, F.lit("")))
+        .groupBy(*KEY)
+        .agg(F.min(load_key).alias(load_key))
+        .where(F.col(load_key) != "")
     )
-    return join_one_per_key(batch, fresh, (*KEY, load_key), "left_semi")
+    return join_one_per_key(batch, first, (*KEY, load_key), "left_semi")
 
 
 def append(batch: DataFrame, path: str) -> None:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from newsrisk.operators.stats import page_stats
 from newsrisk.schema import SITEMAP_URL
-from newsrisk.sources.listing import accepted, listing_items, parse_listing, rejects
+from newsrisk.sources.listing import LAYOUTS, accepted, listing_items, parse_listing, rejects
 from newsrisk.sources.sitemap import read_sitemaps, sitemap_articles, sitemap_urls
 
 AS_OF = dt.date(2026, 5, 20)
@@ -43,16 +43,18 @@ MIXED = post("Hari ini", "30 menit lalu") + post("Kemarin", "kemarin") + post(
 ) + post("Lama", "10 Mei 2026")
 
 
-@pytest.mark.parametrize(
-    "target,titles",
-    [("2026-05-20", ["Hari ini"]), ("2026-05-19", ["Kemarin"]), ("2026-05-15", ["Tengah"]),
-     ("2026-05-10", ["Lama"]), ("2026-05-21", [])],
-)
-def test_post_rows_keep_the_target_date(extract, target, titles):
-    page, items = extract("post_rows", MIXED, target)
-    assert [b[0] for b in brief(items)] == titles
-    assert page.oldest_date == dt.date(2026, 5, 10)
-    assert page.stopped is False
+def test_post_rows_keep_the_target_date(rows):
+    targets = {"2026-05-20": ["Hari ini"], "2026-05-19": ["Kemarin"], "2026-05-15": ["Tengah"],
+               "2026-05-10": ["Lama"], "2026-05-21": []}
+    pages = rows("layout string, target string, html string",
+                 [("post_rows", t, MIXED) for t in targets])
+    parsed = parse_listing(pages, AS_OF, F.col("target"))
+    got = {t: [] for t in targets}
+    for r in accepted(listing_items(parsed)).collect():
+        got[r.target].append(r.title)
+    assert got == targets
+    page = parsed.first()
+    assert page.oldest_date == dt.date(2026, 5, 10) and page.stopped is False
 
 
 def test_post_rows_broken_items(extract):
@@ -83,17 +85,19 @@ def test_media_list(extract):
     assert page.has_more is False
 
 
-def test_media_list_fallbacks_and_next_page(extract):
+def test_media_list_fallbacks_and_next_page(rows):
     html = media("Satu", "u", "div", "h4")
-    for more, expected in (
-        ("<a class='next' href='?page=2'>Next</a>", True),
-        ("<li class='pagination__next'><a href='?page=2'>Next</a></li>", True),
-        ("<a class='next' disabled='disabled'>Next</a>", False),
-        ("", False),
-    ):
-        page, items = extract("media_list", html + more, "2026-05-15")
-        assert page.has_more is expected
-        assert [b[0] for b in brief(items)] == ["Satu"]
+    cases = {
+        "<a class='next' href='?page=2'>Next</a>": True,
+        "<li class='pagination__next'><a href='?page=2'>Next</a></li>": True,
+        "<a class='next' disabled='disabled'>Next</a>": False,
+        "": False,
+    }
+    pages = rows("layout string, more string, html string",
+                 [("media_list", more, html + more) for more in cases])
+    parsed = parse_listing(pages, AS_OF, "2026-05-15")
+    assert {r.more: r.has_more for r in parsed.collect()} == cases
+    assert [r.title for r in accepted(listing_items(parsed)).collect()] == ["Satu"] * 4
 
 
 def card(title="<h2 class='articleTitle'>Judul</h2>", date="", inside=""):
@@ -151,12 +155,15 @@ def test_dated_index_broken_items_do_not_stop_the_page(extract):
     assert page.stopped is False
 
 
-@pytest.mark.parametrize("layout", ["post_rows", "media_list", "linked_cards", "dated_index"])
-def test_pages_without_items(extract, layout):
-    for html in ("<div>Tidak ada berita</div>", "", None):
-        page, items = extract(layout, html, "2026-05-15")
-        assert items.count() == 0
-        assert page.found_any is False and page.stopped is False and page.has_more is False
+def test_pages_without_items(rows):
+    pages = rows("layout string, html string", [
+        (layout, html) for layout in LAYOUTS for html in ("<div>Tidak ada berita</div>", "", None)
+    ])
+    parsed = parse_listing(pages, AS_OF, "2026-05-15")
+    assert listing_items(parsed).count() == 0
+    assert {(r.found_any, r.stopped, r.has_more) for r in parsed.collect()} == {
+        (False, False, False)}
+    assert parsed.count() == 12
 
 
 def test_dates_may_be_columns_and_the_page_parser_runs_once(rows):
