@@ -17,8 +17,10 @@ def spark():
 
     session = (
         configure(SparkSession.builder.master("local[4]").appName("newsrisk-tests"))
-        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.shuffle.partitions", "2")
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+        .config("spark.sql.sources.parallelPartitionDiscovery.parallelism", "4")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )

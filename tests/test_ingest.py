@@ -108,6 +108,7 @@ def test_null_links_compare_equal(rows):
 def test_guard_under_skew_matches_a_plain_anti_join(spark):
     """A third of both sides is one key; the join may not broadcast and must split it."""
     settings = {
+        "spark.sql.shuffle.partitions": "8",
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
