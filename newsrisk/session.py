@@ -39,7 +39,7 @@ def _local_base() -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for an intermediate table.
 
-    On a cluster this is below ``spark.checkpoint.dir``, the folder every executor can reach.
+    This is below ``spark.checkpoint.dir``, the folder every executor of a cluster can reach.
     Only a local session without that setting falls back to a temporary folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
