@@ -137,7 +137,12 @@ def _parser(layouts: Mapping[str, ListingLayout]):
     def parse_pages(html: pa.Array, layout: pa.Array) -> pa.Array:
         pages = []
         for page, name in zip(html.to_pylist(), layout.to_pylist()):
-            more, items = _items(page, layouts[name]) if page else (False, [])
+            more, items = False, []
+            if page and name in layouts:
+                try:
+                    more, items = _items(page, layouts[name])
+                except AssertionError:  # markup the standard parser refuses
+                    items = None
             pages.append({"has_more": more, "items": items})
         return pa.array(pages, type=_ARROW_PARSED)
 
@@ -158,11 +163,13 @@ def parse_listing(
 
     ``pages`` needs ``layout`` and ``html``.  ``as_of`` is the day the page was fetched and
     ``target`` the wanted date; both may be columns, so an archive of many days is one job.
-    Added: ``has_more`` (a next-page link exists), ``oldest_date``, ``found_any`` (an item
+    Added: ``has_more`` (a next-page link exists), ``readable``, ``oldest_date``, ``found_any`` (an item
     has a readable date), ``stopped`` (an item older than the target ends the listing).
+
+    Parsing is the expensive part: store or persist the result when more than one of page
+    facts, articles and rejects is wanted.
     """
-    known = pages.where(F.col("layout").isin(list(layouts)))
-    parsed = known.withColumns(
+    parsed = pages.withColumns(
         {
             "_p": _parser(layouts)(F.col("html"), F.col("layout")),
             "_as_of": as_date(as_of),
@@ -193,6 +200,7 @@ def parse_listing(
     page = parsed.select(
         *[c for c in parsed.columns if c not in ("_p", "_as_of")],
         F.col("_p.has_more").alias("has_more"),
+        F.col("_p.items").isNotNull().alias("readable"),
         F.transform("_p.items", dated).alias("items"),
     )
     dates = F.transform("items", lambda i: i["article_date"])
@@ -201,7 +209,7 @@ def parse_listing(
     return page.withColumns(
         {
             "oldest_date": F.array_min(dates),
-            "found_any": F.exists(dates, lambda d: d.isNotNull()),
+            "found_any": F.coalesce(F.exists(dates, lambda d: d.isNotNull()), F.lit(False)),
             "_cut": F.when(_names(layouts, lambda l: l.newest_first), first_older),
         }
     ).withColumn("stopped", F.col("_cut").isNotNull())
@@ -214,15 +222,17 @@ def listing_items(
 
     ``reason`` is the first of: ``missing_title``, ``missing_date``, ``bad_date``,
     ``after_cut``, ``other_date``, ``missing_link``.  An unusable item never costs more than
-    itself.
+    itself.  A page of an unknown layout, or with markup the parser refuses, is one row with
+    reason ``unknown_layout`` or ``unreadable_page``.
     """
+    unknown = ~F.coalesce(_names(layouts, lambda _: True), F.lit(False))
     # explode_outer, because an inner explode makes the optimizer test the size of the array
     # first, and it would run the page parser a second time to do so.
     rows = (
         parsed.select(
             *[c for c in parsed.columns if c != "items"], F.explode_outer("items").alias("_i")
         )
-        .where(F.col("_i").isNotNull())
+        .where(F.col("_i").isNotNull() | unknown | ~F.col("readable"))
         .select("*", "_i.*")
     )
     by = lambda test: _names(layouts, test)
@@ -231,7 +241,9 @@ def listing_items(
         by(lambda l: l.link_rule == "nonempty") & (F.coalesce("link", F.lit("")) == "")
     )
     reason = (
-        F.when(F.col("title").isNull(), "missing_title")
+        F.when(unknown, "unknown_layout")
+        .when(~F.col("readable"), "unreadable_page")
+        .when(F.col("title").isNull(), "missing_title")
         .when(filtered & F.col("date_text").isNull(), "missing_date")
         .when(filtered & F.col("article_date").isNull(), "bad_date")
         .when(F.col("pos") >= F.col("_cut"), "after_cut")
@@ -240,11 +252,20 @@ def listing_items(
     )
     optional = by(lambda l: l.link_rule == "optional")
     link = F.when(optional, F.coalesce("link", F.lit(""))).otherwise(F.col("link"))
-    return rows.withColumn("reason", reason).withColumn("link", link).drop("_i", "_cut")
+    return rows.withColumn("reason", reason).withColumn("link", link).drop(
+        "_i", "_cut", "readable"
+    )
 
 
 # Reasons that mean "this item is broken", as opposed to "not wanted on this date".
-REJECT_REASONS = ("missing_title", "missing_date", "bad_date", "missing_link")
+REJECT_REASONS = (
+    "unknown_layout",
+    "unreadable_page",
+    "missing_title",
+    "missing_date",
+    "bad_date",
+    "missing_link",
+)
 
 
 def accepted(items: DataFrame) -> DataFrame:

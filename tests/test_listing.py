@@ -166,6 +166,17 @@ def test_pages_without_items(rows):
     assert parsed.count() == 12
 
 
+def test_unusable_pages_are_rejected_not_lost(rows):
+    good = post("x", "kemarin")
+    pages = rows("layout string, html string",
+                 [("nope", good), (None, "<p>"), ("post_rows", good),
+                  ("media_list", "<![foo bar]>" + good)])
+    items = listing_items(parse_listing(pages, AS_OF, "2026-05-19"))
+    assert [r.layout for r in accepted(items).collect()] == ["post_rows"]
+    assert {(r.layout, r.reason) for r in rejects(items).collect()} == {
+        ("nope", "unknown_layout"), (None, "unknown_layout"), ("media_list", "unreadable_page")}
+
+
 def test_dates_may_be_columns_and_the_page_parser_runs_once(rows):
     pages = rows(
         "source string, layout string, page int, html string, fetched date",
