@@ -7,7 +7,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from newsrisk.llm import bpe, fingerprints
+from newsrisk.llm import bpe, fingerprints, repeated_bytes, repeated_words
 from newsrisk.llm.common import documents
 
 
@@ -24,13 +24,23 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_likeness(documents(spark, sf_dir))
 
 
+def op2_repeated_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_words.digest(documents(spark, sf_dir))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir), tokenizer_file())
 
 
+def op10_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_bytes.digest(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
+    "op2_repeated_words": op2_repeated_words,
     "op6_bpe": op6_bpe,
+    "op10_repeated_bytes": op10_repeated_bytes,
 }
 
 ORACLE: dict[str, str] = {}
