@@ -7,7 +7,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from newsrisk.llm import bpe, fingerprints, repeated_bytes, repeated_words
+from newsrisk.llm import bpe, fingerprints, jaccard_join, repeated_bytes, repeated_words
 from newsrisk.llm.common import documents
 
 
@@ -32,6 +32,10 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir), tokenizer_file())
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(documents(spark, sf_dir))
+
+
 def op10_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_bytes.digest(documents(spark, sf_dir))
 
@@ -40,6 +44,7 @@ QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_repeated_words": op2_repeated_words,
     "op6_bpe": op6_bpe,
+    "op7_jaccard_join": op7_jaccard_join,
     "op10_repeated_bytes": op10_repeated_bytes,
 }
 
