@@ -23,6 +23,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from newsrisk.llm.common import with_fields
+
 NONE = np.int64(2**62)
 #: Words whose ids a task keeps from batch to batch.
 KEPT_WORDS = 600_000
@@ -174,8 +176,9 @@ def chunks(texts: list, size: int = 4_000_000) -> Iterator[list]:
 
 def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """``docs`` with ``token_ids``, an array of the ids of each text."""
+    docs = docs.drop("token_ids")
     at = docs.columns.index(text)
-    schema = docs.schema.add("token_ids", "array<int>")
+    schema = with_fields(docs, "token_ids array<int>")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, known = Vocabulary(path), {}
@@ -192,8 +195,9 @@ def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
 
 def decode(rows: DataFrame, path: str, ids: str = "token_ids") -> DataFrame:
     """``rows`` with ``decoded``, the text of the ids; NULL ids give an empty text."""
+    rows = rows.drop("decoded")
     at = rows.columns.index(ids)
-    schema = rows.schema.add("decoded", "string")
+    schema = with_fields(rows, "decoded string")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(path)

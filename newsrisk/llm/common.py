@@ -7,12 +7,15 @@ from __future__ import annotations
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from newsrisk.session import scratch_path
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Stands for a missing doc_id where an order is needed: behind all others.
 LAST = 2**63 - 1
+#: Columns that operators add for themselves; input columns of these names are lost.
+KEY, CUTS = "_llm_key", "_llm_cuts"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,6 +42,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def with_fields(df: DataFrame, ddl: str) -> StructType:
+    """The schema of ``df`` and more fields behind it."""
+    return StructType([*df.schema.fields, *StructType.fromDDL(ddl).fields])
+
+
 def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     """A long that tells rows apart, also rows that repeat a doc_id with another text."""
     return F.xxhash64(F.col(doc_id), F.col(text))

@@ -5,8 +5,8 @@ hashes the least is chosen, the rightmost of equal ones, and kept with its posit
 that share a substring of ``k + window - 1`` code points share a chosen hash.
 
 A text of fewer than k code points is one gram; one of fewer than ``window`` grams is one
-window; an empty or missing text has no fingerprint.  Extra columns are passed through by
-``fingerprints``.
+window; an empty or missing text has no fingerprint.  ``fingerprints`` passes extra columns
+through and replaces those named like its own.
 """
 
 from __future__ import annotations
@@ -17,9 +17,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from newsrisk.llm.common import mix, sliding_min, span_hashes
+from newsrisk.llm.common import mix, sliding_min, span_hashes, with_fields
 
 K, WINDOW = 16, 32
 FULL = np.uint64(0xFFFFFFFF)
@@ -56,13 +55,8 @@ def as_text(hashes: np.ndarray) -> str:
 
 def fingerprints(docs: DataFrame, text: str = "text", k: int = K, window: int = WINDOW) -> DataFrame:
     """``docs`` with arrays ``fp_hashes`` and ``fp_positions``."""
-    schema = StructType(
-        docs.schema.fields
-        + [
-            StructField("fp_hashes", ArrayType(LongType())),
-            StructField("fp_positions", ArrayType(IntegerType())),
-        ]
-    )
+    docs = docs.drop("fp_hashes", "fp_positions")
+    schema = with_fields(docs, "fp_hashes array<long>, fp_positions array<int>")
     at = docs.columns.index(text)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -29,9 +29,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from newsrisk.llm.common import LAST, LOWER, VALUES, as_bytes, gram_hashes, row_key, span_hashes, stored, word_spans
+from newsrisk.llm.common import CUTS, KEY, LAST, LOWER, VALUES, as_bytes, gram_hashes, row_key, span_hashes, stored, word_spans
 from newsrisk.llm.components import components
 from newsrisk.operators.skew import join_one_per_key
 
@@ -357,8 +357,8 @@ def linked_sets(rows: DataFrame, seen: DataFrame) -> DataFrame:
     return placed.select("node", F.coalesce("root", "head").alias("root"))
 
 
-def join(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for ``docs`` (doc_id, text); see above."""
+def members(docs: DataFrame) -> DataFrame:
+    """(rid, node, n, root, name) by row: its set's size, its component and the least doc_id in it."""
     rows = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("rid"), row_key().alias("rkey"), "text"
     )
@@ -367,9 +367,31 @@ def join(docs: DataFrame) -> DataFrame:
     nodes = seen.where("times IS NULL").select("rid", "node", "n")
     nodes = stored(join_one_per_key(nodes, placed, ["node"], "left"), "members")
     names = nodes.where("root IS NOT NULL").groupBy("root").agg(F.min("rid").alias("name"))
+    return join_one_per_key(nodes, names, ["root"], "left")
+
+
+def join(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for ``docs`` (doc_id, text); see above."""
     given = lambda c: F.when(c != LAST, c)
-    return join_one_per_key(nodes, names, ["root"], "left").select(
+    return members(docs).select(
         given(F.col("rid")).alias("doc_id"),
         F.col("n").cast("long").alias("n_shingles"),
         given(F.coalesce("name", "rid")).alias("component_id"),
     )
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """``docs`` without near duplicates: of each component the row with the least doc_id.
+
+    Rows without words have no duplicates and stay.  Of several rows with that doc_id the one
+    with the least text key stays; of identical ones, one.
+    """
+    found = members(docs.select("doc_id", "text"))
+    least = found.where("root IS NOT NULL").groupBy("root").agg(F.min(F.struct("rid", "node")).alias("stays"))
+    stay = join_one_per_key(found, least, ["root"], "left")
+    stay = stay.where(F.col("root").isNull() | (F.col("stays.node") == F.col("node")))
+    stay = stored(stay.select(F.col("node").alias(KEY), (F.col("n") == 0).alias(CUTS)).distinct(), "stay")
+    kept = docs.withColumn(KEY, row_key()).join(stay, KEY)
+    # The join has sorted the rows by their key; identical rows lie together.
+    again = F.row_number().over(Window.partitionBy(KEY).orderBy(F.lit(0)))
+    return kept.withColumn("_llm_again", again).where(F.col(CUTS) | (F.col("_llm_again") == 1)).select(*docs.columns)

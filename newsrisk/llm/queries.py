@@ -7,8 +7,19 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from newsrisk.llm import bpe, fingerprints, jaccard_join, repeated_bytes, repeated_words
-from newsrisk.llm.common import documents
+from newsrisk.llm import (
+    bpe,
+    fingerprints,
+    jaccard_join,
+    licences,
+    mixing,
+    quality,
+    repeated_bytes,
+    repeated_words,
+    shards,
+    toxicity,
+)
+from newsrisk.llm.common import documents, labels
 
 
 def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
@@ -28,6 +39,18 @@ def op2_repeated_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_words.digest(documents(spark, sf_dir))
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
+def op4_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.documents_by_text(documents(spark, sf_dir))
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.replicate(documents(spark, sf_dir).select("doc_id", "source", "text"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir), tokenizer_file())
 
@@ -36,6 +59,14 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(documents(spark, sf_dir))
 
 
+def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(documents(spark, sf_dir))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.detect(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
 def op10_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_bytes.digest(documents(spark, sf_dir))
 
@@ -43,9 +74,14 @@ def op10_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_repeated_words": op2_repeated_words,
+    "op3_quality_rules": op3_quality_rules,
+    "op4_shards": op4_shards,
+    "op5_mixing": op5_mixing,
     "op6_bpe": op6_bpe,
     "op7_jaccard_join": op7_jaccard_join,
+    "op8_licences": op8_licences,
+    "op9_toxicity": op9_toxicity,
     "op10_repeated_bytes": op10_repeated_bytes,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE = {"op5_mixing": mixing.MIX_SQL, "op8_licences": licences.scan_sql()}

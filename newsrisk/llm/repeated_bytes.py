@@ -20,13 +20,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from newsrisk.llm.common import VALUES, as_bytes, covered, row_key
+from newsrisk.llm.common import CUTS, KEY, VALUES, as_bytes, covered, row_key, with_fields
 from newsrisk.llm.superkmers import repeated, split
 
 WIDTH, GRAM, Q = 200, 32, 8
 #: Runs that share a minimiser before its windows travel one by one.
 HOT = 24_000
-OUT = ("n_bytes", "n_removed", "n_spans", "kept_bytes")
+OUT = ("n_bytes", "n_removed", "n_spans", "kept_bytes", "kept_text")
 
 
 def byte_values(text: str | None) -> np.ndarray:
@@ -102,17 +102,17 @@ def repeated_runs(buckets: list[list[tuple]], width: int = WIDTH) -> Iterator[tu
             yield pid, [(a, b, first) for a, b in zip(starts.tolist(), stops.tolist(), strict=True)]
 
 
-def drop_repeated(docs: DataFrame, width: int = WIDTH, hot: int = HOT) -> DataFrame:
-    """``docs`` with n_bytes, n_removed, n_spans (runs removed) and kept_bytes."""
+def drop_repeated(docs: DataFrame, width: int = WIDTH, hot: int = HOT, as_text: bool = False) -> DataFrame:
+    """``docs`` with n_bytes, n_removed, n_spans (runs removed) and kept_bytes.
+
+    ``as_text``: kept_text instead, without the bytes of characters of which a part has gone.
+    """
     found = repeated(
         docs.select("doc_id", "text"), byte_values, byte_cutter, lambda b: repeated_runs(b, width),
         width, min(GRAM, width), hot, size=500_000, earlier=False,
     )
-    kept = docs.drop(*OUT, "rkey", "cuts").withColumn("rkey", row_key()).join(found, "rkey", "left").drop("rkey")
-    schema = (
-        kept.drop("cuts").schema.add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long")
-        .add("kept_bytes", "binary")
-    )
+    kept = docs.drop(*OUT).withColumn(KEY, row_key()).join(found.toDF(KEY, CUTS), KEY, "left").drop(KEY)
+    schema = with_fields(kept.drop(CUTS), "n_bytes long, n_removed long, n_spans long, " + ("kept_text string" if as_text else "kept_bytes binary"))
     text = schema.names.index("text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,14 +127,15 @@ def drop_repeated(docs: DataFrame, width: int = WIDTH, hot: int = HOT) -> DataFr
                     gone = covered(len(raw), np.array([c["lo"] for c in cut]), np.array([c["hi"] for c in cut]))
                 removed.append(int(gone.sum()))
                 runs.append(int(np.count_nonzero(np.diff(gone.astype(np.int8), prepend=np.int8(0)) == 1)))
-                left.append(np.frombuffer(raw, np.uint8)[~gone].tobytes() if cut else raw)
+                kept = np.frombuffer(raw, np.uint8)[~gone].tobytes() if cut else raw
+                left.append(kept.decode(errors="ignore") if as_text else kept)
             yield pa.RecordBatch.from_arrays(
                 [
                     *same,
                     pa.array(counts, pa.int64()),
                     pa.array(removed, pa.int64()),
                     pa.array(runs, pa.int64()),
-                    pa.array(left, pa.binary()),
+                    pa.array(left, pa.string() if as_text else pa.binary()),
                 ],
                 names=schema.names,
             )

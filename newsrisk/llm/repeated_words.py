@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from newsrisk.llm.common import VALUES, as_bytes, covered, gram_hashes, mix, row_key, span_hashes, word_spans
+from newsrisk.llm.common import CUTS, KEY, VALUES, as_bytes, covered, gram_hashes, mix, row_key, span_hashes, with_fields, word_spans
 from newsrisk.llm.superkmers import repeated, split
 
 WIDTH, GRAM = 50, 5
@@ -92,8 +92,8 @@ def drop_repeated(docs: DataFrame, width: int = WIDTH, hot: int = HOT) -> DataFr
         docs.select("doc_id", "text"), word_values, word_cutter, lambda b: first_owners(b, width),
         width, min(GRAM, width), hot, size=50_000, earlier=True,
     )
-    kept = docs.drop(*OUT, "rkey", "cuts").withColumn("rkey", row_key()).join(found, "rkey", "left").drop("rkey")
-    schema = kept.drop("cuts").schema.add("n_words", "long").add("n_removed", "long").add("kept_text", "string")
+    kept = docs.drop(*OUT).withColumn(KEY, row_key()).join(found.toDF(KEY, CUTS), KEY, "left").drop(KEY)
+    schema = with_fields(kept.drop(CUTS), "n_words long, n_removed long, kept_text string")
     text = schema.names.index("text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
