@@ -17,7 +17,7 @@ list's leader follow bounds on the overlap of two sets, which decide most pairs
 looking at them.  The rest are compared exactly.  Copies and near copies thus cost one
 comparison each, not one for every pair, and no link between components is lost.
 
-A list too long for one task is dealt as a grid of blocks.  Missing texts have no words.
+Lists too long for one task are dealt as a grid of blocks.  Missing texts have no words.
 Rows that repeat a doc_id are compared by themselves; a row without doc_id can join a
 component but never names it (NULL if no row of it has one).
 """
@@ -40,8 +40,8 @@ WORDS, PERCENT = 5, 80
 FREQUENT = 2**17
 #: A shingle that a batch of documents holds this often is counted over all of them.
 NOTED = 3
-#: Entries of a list that one task takes; longer lists are dealt as a grid.
-BLOCK = 20_000
+#: Entries of a leader's lists on one side of a block; more are dealt as a grid of blocks.
+BLOCK = 100_000
 SALTS = 64
 HEAVY = np.uint64(1 << 63)
 
@@ -223,63 +223,68 @@ CROSS = "a long, b long, sure boolean"
 def cross_pairs(lists: DataFrame) -> DataFrame:
     """Pairs of different components within each list block: linked for sure, or to compare.
 
-    Rows: (shingle, left, right, part, component, node, n, at, common, leader, leader_n),
-    sorted by block (the first three); ``common`` is the overlap with the list's leader, -1 if
-    unknown; ``part`` is 2 in blocks on the grid's diagonal, else 1 or -1 by side.
+    Rows: (top, left, right, shingle, part, component, node, n, at, common, leader, leader_n),
+    sorted by block (the first three) and list; ``common`` is the overlap with the leader, -1 if
+    unknown; ``part`` is 2 in blocks on the grid's diagonal, else 1 or -1 by side.  Lists of one
+    top leader lie together because they hold the same pairs again and again: each goes out once.
     """
 
-    def pairs(block: np.ndarray) -> Iterator[np.ndarray]:
-        part, comp, node, n, at, common, leader, leader_n = block[np.argsort(block[:, 1], kind="stable")].T
-        # The block of its own component is skipped whole: each entry starts behind it.
-        ends = np.searchsorted(comp, comp, side="right")
-        count = len(comp) - ends
-        limit = 500_000
-        begin = 0
+    def pairs(rows: np.ndarray) -> Iterator[np.ndarray]:
+        lists = np.cumsum(np.append(True, (rows[1:, :4] != rows[:-1, :4]).any(axis=1)))
+        order = np.lexsort((rows[:, 5], lists))
+        block, (part, comp, node, n, at, common, leader, leader_n) = lists[order], rows[order, 4:].T
+        # Each entry meets those behind it in its list; those of its own component are skipped whole.
+        own = np.cumsum(np.append(True, (block[1:] != block[:-1]) | (comp[1:] != comp[:-1])))
+        begin = np.searchsorted(own, own, side="right")
+        count = np.searchsorted(block, block, side="right") - begin
         total = np.cumsum(count)
-        while begin < len(comp):
-            base = total[begin - 1] if begin else 0
-            stop = max(begin + 1, int(np.searchsorted(total, base + limit, side="right")))
-            c = count[begin:stop]
-            i = np.repeat(np.arange(begin, stop), c)
-            j = np.arange(len(i)) - np.repeat(np.cumsum(c) - c, c) + np.repeat(ends[begin:stop], c)
-            begin = stop
-            small, large = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
-            rest = np.minimum(n[i] - at[i], n[j] - at[j])
-            need = (100 + PERCENT) * rest >= PERCENT * (n[i] + n[j])
-            keep = ((part[i] == 2) | (part[i] + part[j] == 0)) & (100 * small >= PERCENT * large) & need
-            i, j = i[keep], j[keep]
+        first = 0
+        while first < len(rows):
+            done = total[first - 1] if first else 0
+            last = max(first + 1, int(np.searchsorted(total, done + 500_000, side="right")))
+            c = count[first:last]
+            i = np.repeat(np.arange(first, last), c)
+            j = np.arange(len(i)) + np.repeat(begin[first:last] - np.cumsum(c) + c, c)
+            first = last
+            both, rest = n[i] + n[j], np.minimum(n[i] - at[i], n[j] - at[j])
+            keep = ((part[i] == 2) | (part[i] + part[j] == 0)) & ((100 + PERCENT) * rest >= PERCENT * both)
+            keep &= 100 * np.minimum(n[i], n[j]) >= PERCENT * np.maximum(n[i], n[j])
+            i, j, both = i[keep], j[keep], both[keep]
             known = (common[i] >= 0) & (common[j] >= 0) & (leader[i] == leader[j])
             most = np.minimum(common[i], common[j]) + np.minimum(n[i] - common[i], n[j] - common[j])
             least = common[i] + common[j] - leader_n[i]
-            both = n[i] + n[j]
             out = known & ((100 + PERCENT) * most < PERCENT * both)
             sure = known & ((100 + PERCENT) * least >= PERCENT * both)
-            i, j, sure = i[~out], j[~out], sure[~out]
-            yield np.stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j]), sure], axis=1)
+            ends = np.stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j]), sure], axis=1)[~out]
+            yield np.unique(ends, axis=0)
+
+    def once(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+        pool = np.empty((0, 3), np.int64)
+        for found in pairs(rows):
+            pool = np.unique(np.concatenate([pool, found]), axis=0)
+            if len(pool) > 1_000_000:
+                yield as_batch(pool)
+                pool = pool[:0]
+        yield as_batch(pool)
+
+    def as_batch(found: np.ndarray) -> pa.RecordBatch:
+        columns = [pa.array(found[:, 0]), pa.array(found[:, 1]), pa.array(found[:, 2].astype(bool))]
+        return pa.RecordBatch.from_arrays(columns, names=["a", "b", "sure"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        key = None
-
-        def close() -> Iterator[pa.RecordBatch]:
-            for found in pairs(np.concatenate(held)) if held else ():
-                found = np.unique(found, axis=0)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(found[:, 0]), pa.array(found[:, 1]), pa.array(found[:, 2].astype(bool))],
-                    names=["a", "b", "sure"],
-                )
-
+        held = np.empty((0, 12), np.int64)
         for batch in batches:
             rows = np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns], axis=1)
-            if not len(rows):
+            held = np.concatenate([held, rows])
+            if not len(held):
                 continue
-            bounds = np.flatnonzero((rows[1:, :3] != rows[:-1, :3]).any(axis=1)) + 1
-            for part in np.split(rows, bounds):
-                if key is None or (part[0, :3] != key).any():
-                    yield from close()
-                    held, key = [], part[0, :3].copy()
-                held.append(part[:, 3:])
-        yield from close()
+            # The last block may go on in the next batch.
+            whole = int(np.flatnonzero((held[:, :3] == held[-1, :3]).all(axis=1))[0])
+            if whole:
+                yield from once(held[:whole])
+                held = held[whole:]
+        if len(held):
+            yield from once(held)
 
     return lists.mapInArrow(work, CROSS)
 
@@ -299,15 +304,19 @@ def prefix_lists(rows: DataFrame, seen: DataFrame, heads: DataFrame) -> DataFram
     frequent = np.array([r.node for r in reversed(often)], np.int64).view(np.uint64)
     salt = F.when(F.col("shingle") < 0, F.pmod(F.col("node"), F.lit(SALTS))).otherwise(0).cast("int")
     dealt = entries(rows, frequent).withColumn("salt", salt).repartition("shingle", "salt")
-    lists = stored(with_leaders(dealt.sortWithinPartitions("shingle", "salt", "node")), "entries")
+    # A list is led by the set in which its shingle comes first: what others have put in or
+    # changed is rare and comes before, so near copies are led by the text they vary.
+    early = F.when(F.col("shingle") < 0, F.col("at")).otherwise(0)
+    dealt = dealt.sortWithinPartitions("shingle", "salt", early, "node")
+    lists = stored(with_leaders(dealt), "entries")
     return stored(as_heads(as_heads(lists, heads, "node"), heads, "leader").distinct(), "lists")
 
 
 def leader_pairs(lists: DataFrame) -> DataFrame:
     """(a, b): every entry with its list's leader, and the leaders of a dealt list with one."""
     near = lists.where(can_link(F.col("n"), F.col("at"), F.col("leader_n"), F.col("leader_at")))
-    leaders = lists.where("shingle < 0").select("shingle", "leader").distinct()
-    top = leaders.groupBy("shingle").agg(F.min("leader").alias("top"))
+    leaders = lists.where("shingle < 0").select("shingle", "leader", "leader_at").distinct()
+    top = leaders.groupBy("shingle").agg(F.min_by("leader", F.struct("leader_at", "leader")).alias("top"))
     upper = join_one_per_key(leaders, top, ["shingle"], "left").select("leader", "top")
     pairs = near.select("node", "leader").union(upper).toDF("b", "a")
     return pairs.where("a <> b").select("a", "b").distinct()
@@ -315,14 +324,15 @@ def leader_pairs(lists: DataFrame) -> DataFrame:
 
 def blocks(lists: DataFrame, roots: DataFrame, answers: DataFrame) -> DataFrame:
     """The lists that hold several components, dealt and sorted for ``cross_pairs``."""
-    placed = join_one_per_key(lists.drop("leader_at"), roots, ["node"], "left")
+    placed = join_one_per_key(lists, roots, ["node"], "left")
     placed = stored(placed.withColumn("root", F.coalesce("root", "node")), "placed")
-    mixed = (
-        placed.groupBy("shingle")
-        .agg(F.count("*").alias("size"), F.min("root").alias("low"), F.max("root").alias("high"))
-        .where("low <> high").select("shingle", "size")
-    )
-    placed = join_one_per_key(placed, mixed, ["shingle"], "left").where("size IS NOT NULL")
+    first = F.min_by("leader", F.struct("leader_at", "leader")).alias("top")
+    ends = placed.groupBy("shingle").agg(first, F.min("root").alias("low"), F.max("root").alias("high"))
+    mixed = ends.where("low <> high").select("shingle", "top")
+    placed = join_one_per_key(placed, mixed, ["shingle"], "left").where("top IS NOT NULL")
+    placed = stored(placed, "mixed")
+    sizes = placed.groupBy("top").agg(F.count("*").alias("size"))
+    placed = join_one_per_key(placed, sizes, ["top"], "left")
     known = answers.select(F.col("a").alias("leader"), F.col("b").alias("node"), "common")
     common = F.when(F.col("node") == F.col("leader"), F.col("n")).otherwise(F.coalesce("common", F.lit(-1)))
     return (
@@ -332,12 +342,12 @@ def blocks(lists: DataFrame, roots: DataFrame, answers: DataFrame) -> DataFrame:
         .withColumn("mine", F.pmod(F.xxhash64("node"), F.col("grid")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("grid") - 1)))
         .select(
-            "shingle", F.least("mine", "other").alias("left"), F.greatest("mine", "other").alias("right"),
+            "top", F.least("mine", "other").alias("left"), F.greatest("mine", "other").alias("right"), "shingle",
             F.when(F.col("mine") == F.col("other"), 2).when(F.col("mine") < F.col("other"), 1).otherwise(-1),
             "root", "node", "n", "at", "common", "leader", "leader_n",
         )
-        .repartition("shingle", "left", "right")
-        .sortWithinPartitions("shingle", "left", "right")
+        .repartition("top", "left", "right")
+        .sortWithinPartitions("top", "left", "right", "shingle")
     )
 
 
