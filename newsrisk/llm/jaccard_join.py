@@ -2,14 +2,14 @@
 
 A document's set holds its distinct 5-word shingles (A-Z in lower case); with fewer words the
 whole sequence is the one shingle, without words the set is empty and links with nothing.
-Shingles are 63-bit hashes.
+Shingles are 63-bit hashes, sets have 64-bit ids.
 
 Index lists.  Sets that link share a shingle among the first ``n - ceil(0.8 n) + 1`` of each
 in any common order, so only those prefixes are indexed.  The order puts shingles that many
 documents hold last (a list of bounded length, found by counting over all documents; it
 shapes the lists, never the result).  A list of one entry is skipped.
 
-Set relations.  Equal sets are one class.  In each list the first set leads: the others
+Set relations.  Equal sets are one entry.  In each list the first set leads: the others
 are compared with it only, and sets found linked share their component from then on.  In a
 second pass a list's sets of *different* components are paired: blocks of one component are
 skipped as a whole, sizes and positions rule pairs out, and from the known overlaps with the
@@ -43,6 +43,8 @@ NOTED = 3
 #: Entries of a leader's lists on one side of a block; more are dealt as a grid of blocks.
 BLOCK = 100_000
 SALTS = 64
+#: Rows of a few numbers that are broadcast at most; above, the join shuffles both sides.
+SHORT = 200_000
 HEAVY = np.uint64(1 << 63)
 
 
@@ -55,42 +57,40 @@ def shingles(text: str | None) -> np.ndarray:
     return np.unique(gram_hashes(words, min(WORDS, len(words))) >> np.uint64(1))
 
 
-def batches_of(batch: pa.RecordBatch, size: int = 2_000) -> Iterator[tuple[list, list]]:
+def batches_of(batch: pa.RecordBatch, size: int = 2_000) -> Iterator[list]:
     for at in range(0, len(batch), size):
-        part = batch.slice(at, size)
-        yield part.column(0).to_pylist(), part.column(1).to_pylist()
+        yield batch.slice(at, size).column(batch.num_columns - 1).to_pylist()
+
+
+def set_id(found: np.ndarray) -> int:
+    """The id of a set: equal sets have equal ids."""
+    return int.from_bytes(hashlib.blake2b(found.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
 def survey(rows: DataFrame) -> DataFrame:
-    """One pass: a row (rid, node, class, n) a document and rows (node = shingle, times)."""
+    """One pass: a row (rid, rkey, node, n) a document and rows (node = shingle, times).
+
+    A node is a set; documents without words have none.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingles(t) for t in batch.column(2).to_pylist()]
-            classes = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
+            ids = pa.array([set_id(s) if len(s) else None for s in sets], pa.int64())
             n = pa.array([len(s) for s in sets], pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:2], pa.array(classes, pa.binary()), n, pa.nulls(len(sets), pa.int64())],
-                names=names,
+                [*batch.columns[:2], ids, n, pa.nulls(len(sets), pa.int64())], names=names
             )
             value, times = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.empty(0, np.uint64),) * 2
             often = times >= NOTED
-            value, times = value[often], times[often]
+            value, times = value[often].astype(np.int64), times[often].astype(np.int64)
+            gap = pa.nulls(len(value), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.nulls(len(value), pa.int64()),
-                    pa.array(value.astype(np.int64)),
-                    pa.nulls(len(value), pa.binary()),
-                    pa.nulls(len(value), pa.int32()),
-                    pa.array(times.astype(np.int64)),
-                ],
-                names=names,
+                [gap, gap, pa.array(value), pa.nulls(len(value), pa.int32()), pa.array(times)], names=names
             )
 
-    names = ["rid", "node", "class", "n", "times"]
-    return rows.select("rid", "rkey", "text").mapInArrow(
-        work, "rid long, node long, class binary, n int, times long"
-    )
+    names = ["rid", "rkey", "node", "n", "times"]
+    return rows.select("rid", "rkey", "text").mapInArrow(work, "rid long, rkey long, node long, n int, times long")
 
 
 def prefix_length(n: int) -> int:
@@ -98,7 +98,7 @@ def prefix_length(n: int) -> int:
 
 
 def entries(rows: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """(shingle, node, n, at): the prefix of every set in the common order.
+    """(shingle, node, n, at): the prefix of every set in the common order, once a task.
 
     ``frequent`` lists shingles from the rarest to the most common one; they follow all
     others and have negative numbers.
@@ -115,11 +115,17 @@ def entries(rows: DataFrame, frequent: np.ndarray) -> DataFrame:
         return found
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: set[int] = set()
         for batch in batches:
-            for keys, texts in batches_of(batch):
-                sets = [ordered(shingles(t)) for t in texts]
+            for texts in batches_of(batch):
+                fresh = {set_id(s): s for s in map(shingles, texts) if len(s)}
+                keys = [key for key in fresh if key not in done]
+                if not keys:
+                    continue
+                done.update(keys)
+                sets = [ordered(fresh[key]) for key in keys]
                 n = np.array([len(s) for s in sets])
-                k = np.array([prefix_length(i) if i else 0 for i in n.tolist()])
+                k = np.array([prefix_length(i) for i in n.tolist()])
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.concatenate([s[:i] for s, i in zip(sets, k, strict=True)]).view(np.int64)),
@@ -130,7 +136,7 @@ def entries(rows: DataFrame, frequent: np.ndarray) -> DataFrame:
                     names=["shingle", "node", "n", "at"],
                 )
 
-    return rows.select("rkey", "text").mapInArrow(work, "shingle long, node long, n int, at int")
+    return rows.select("text").mapInArrow(work, "shingle long, node long, n int, at int")
 
 
 LISTED = "shingle long, node long, n int, at int, leader long, leader_n int, leader_at int"
@@ -148,6 +154,8 @@ def with_leaders(sorted_entries: DataFrame) -> DataFrame:
                 continue
             if last:
                 rows = np.concatenate([last[0][None, :], rows])
+            # Equal sets of several tasks lie together.
+            rows = rows[np.append(True, (rows[1:, :3] != rows[:-1, :3]).any(axis=1))]
             new = np.ones(len(rows), bool)
             new[1:] = (rows[1:, :2] != rows[:-1, :2]).any(axis=1)
             group = np.cumsum(new) - 1
@@ -177,15 +185,23 @@ def can_link(n, at, m, there):
     return (100 * F.least(n, m) >= PERCENT * F.greatest(n, m)) & ((100 + PERCENT) * rest >= PERCENT * (n + m))
 
 
-def overlaps(pairs: DataFrame, rows: DataFrame) -> DataFrame:
-    """(a, b, n, m, common) for pairs of nodes, from their whole sets."""
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("rkey")).distinct()
+def overlaps(pairs: DataFrame, rows: DataFrame, texts_of: DataFrame) -> DataFrame:
+    """(a, b, n, m, common) for pairs of nodes, from their whole sets.
+
+    ``texts_of`` (node, rkey) names a document for each node.
+    """
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    needed = stored(join_one_per_key(needed, texts_of, ["node"], "left").select("rkey"), "needed")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for keys, texts in batches_of(batch):
+            for texts in batches_of(batch):
+                found = [shingles(t) for t in texts]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys, pa.int64()), pa.array([shingles(t).tobytes() for t in texts], pa.binary())],
+                    [
+                        pa.array([set_id(s) for s in found], pa.int64()),
+                        pa.array([s.tobytes() for s in found], pa.binary()),
+                    ],
                     names=["node", "members"],
                 )
 
@@ -205,7 +221,9 @@ def overlaps(pairs: DataFrame, rows: DataFrame) -> DataFrame:
                 [pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=["a", "b", "n", "m", "common"]
             )
 
-    found = stored(rows.select("rkey", "text").join(needed, "rkey").mapInArrow(sets, "node long, members binary"), "sets")
+    texts = semi(rows.select("rkey", "text"), needed, "rkey")
+    found = texts.select("text").mapInArrow(sets, "node long, members binary")
+    found = stored(found.dropDuplicates(["node"]), "sets")
     left = found.select(F.col("node").alias("a"), F.col("members").alias("left"))
     right = found.select(F.col("node").alias("b"), F.col("members").alias("right"))
     joined = pairs.select("a", "b").join(right, "b").join(left, "a").select("a", "b", "left", "right")
@@ -213,6 +231,20 @@ def overlaps(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     return stored(found.dropDuplicates(["a", "b"]), "overlaps")
 
 
+def semi(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """``rows`` whose ``key`` is in the stored table ``wanted``, which is broadcast if it is short."""
+    if wanted.count() <= SHORT:
+        return rows.join(F.broadcast(wanted), key, "left_semi")
+    return join_one_per_key(rows, wanted.distinct(), [key], "left_semi")
+
+
+def lookup(rows: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` left-joined to the stored ``table``, which is broadcast if it is short."""
+    if table.count() <= SHORT:
+        return rows.join(F.broadcast(table), keys, "left")
+    return join_one_per_key(rows, table, keys, "left")
+
+
 def linked() -> F.Column:
     return 100 * F.col("common") >= PERCENT * (F.col("n") + F.col("m") - F.col("common"))
 
@@ -289,14 +321,8 @@ def cross_pairs(lists: DataFrame) -> DataFrame:
     return lists.mapInArrow(work, CROSS)
 
 
-def as_heads(lists: DataFrame, heads: DataFrame, column: str) -> DataFrame:
-    """``lists`` with the node in ``column`` replaced by the head of its class."""
-    head = heads.select(F.col("node").alias(column), "head")
-    return join_one_per_key(lists, head, [column], "left").withColumn(column, F.col("head")).drop("head")
-
-
-def prefix_lists(rows: DataFrame, seen: DataFrame, heads: DataFrame) -> DataFrame:
-    """The index lists of two entries or more, with equal sets as one entry (LISTED)."""
+def prefix_lists(rows: DataFrame, seen: DataFrame) -> DataFrame:
+    """The index lists of two entries or more (LISTED)."""
     often = (
         seen.where("times IS NOT NULL").groupBy("node").agg(F.sum("times").alias("times"))
         .orderBy(F.desc("times"), "node").limit(FREQUENT).select("node").collect()
@@ -307,9 +333,7 @@ def prefix_lists(rows: DataFrame, seen: DataFrame, heads: DataFrame) -> DataFram
     # A list is led by the set in which its shingle comes first: what others have put in or
     # changed is rare and comes before, so near copies are led by the text they vary.
     early = F.when(F.col("shingle") < 0, F.col("at")).otherwise(0)
-    dealt = dealt.sortWithinPartitions("shingle", "salt", early, "node")
-    lists = stored(with_leaders(dealt), "entries")
-    return stored(as_heads(as_heads(lists, heads, "node"), heads, "leader").distinct(), "lists")
+    return stored(with_leaders(dealt.sortWithinPartitions("shingle", "salt", early, "node")), "lists")
 
 
 def leader_pairs(lists: DataFrame) -> DataFrame:
@@ -324,21 +348,21 @@ def leader_pairs(lists: DataFrame) -> DataFrame:
 
 def blocks(lists: DataFrame, roots: DataFrame, answers: DataFrame) -> DataFrame:
     """The lists that hold several components, dealt and sorted for ``cross_pairs``."""
-    placed = join_one_per_key(lists, roots, ["node"], "left")
+    placed = lookup(lists, roots, ["node"])
     placed = stored(placed.withColumn("root", F.coalesce("root", "node")), "placed")
     first = F.min_by("leader", F.struct("leader_at", "leader")).alias("top")
     ends = placed.groupBy("shingle").agg(first, F.min("root").alias("low"), F.max("root").alias("high"))
     mixed = ends.where("low <> high").select("shingle", "top")
     placed = join_one_per_key(placed, mixed, ["shingle"], "left").where("top IS NOT NULL")
     placed = stored(placed, "mixed")
-    sizes = placed.groupBy("top").agg(F.count("*").alias("size"))
-    placed = join_one_per_key(placed, sizes, ["top"], "left")
+    long = placed.groupBy("top").agg(F.count("*").alias("size")).where(F.col("size") > BLOCK)
+    placed = lookup(placed, stored(long, "long"), ["top"])
     known = answers.select(F.col("a").alias("leader"), F.col("b").alias("node"), "common")
     common = F.when(F.col("node") == F.col("leader"), F.col("n")).otherwise(F.coalesce("common", F.lit(-1)))
     return (
-        join_one_per_key(placed, known, ["leader", "node"], "left")
+        lookup(placed, known, ["leader", "node"])
         .withColumn("common", common)
-        .withColumn("grid", F.ceil(F.col("size") / BLOCK).cast("int"))
+        .withColumn("grid", F.coalesce(F.ceil(F.col("size") / BLOCK), F.lit(1)).cast("int"))
         .withColumn("mine", F.pmod(F.xxhash64("node"), F.col("grid")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("grid") - 1)))
         .select(
@@ -352,30 +376,26 @@ def blocks(lists: DataFrame, roots: DataFrame, answers: DataFrame) -> DataFrame:
 
 
 def linked_sets(rows: DataFrame, seen: DataFrame) -> DataFrame:
-    """(node, root): the component of every document that has words, equal sets included."""
-    nodes = seen.where("n > 0").select("node", "class").distinct()
-    least = nodes.groupBy("class").agg(F.min("node").alias("head"))
-    heads = stored(join_one_per_key(nodes, least, ["class"], "left").select("node", "head"), "heads")
-    lists = prefix_lists(rows, seen, heads)
-    answers = overlaps(stored(leader_pairs(lists), "pairs"), rows)
+    """(node, root) for the sets that link with another one."""
+    texts_of = seen.where("n > 0").groupBy("node").agg(F.min("rkey").alias("rkey"))
+    lists = prefix_lists(rows, seen)
+    answers = overlaps(stored(leader_pairs(lists), "pairs"), rows, texts_of)
     links = answers.where(linked()).select("a", "b")
     cross = cross_pairs(blocks(lists, components(links), answers))
     cross = stored(cross.groupBy("a", "b").agg(F.max("sure").alias("sure")), "cross")
-    compared = overlaps(cross.where("NOT sure"), rows).where(linked()).select("a", "b")
-    roots = components(links.union(cross.where("sure").select("a", "b")).union(compared))
-    placed = join_one_per_key(heads, roots.withColumnRenamed("node", "head"), ["head"], "left")
-    return placed.select("node", F.coalesce("root", "head").alias("root"))
+    compared = overlaps(cross.where("NOT sure"), rows, texts_of).where(linked()).select("a", "b")
+    return components(links.union(cross.where("sure").select("a", "b")).union(compared))
 
 
 def members(docs: DataFrame) -> DataFrame:
-    """(rid, node, n, root, name) by row: its set's size, its component and the least doc_id in it."""
+    """(rid, rkey, n, root, name) by row: its set's size, its component and the least doc_id in it."""
     rows = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("rid"), row_key().alias("rkey"), "text"
     )
     seen = stored(survey(rows), "survey")
-    placed = stored(linked_sets(rows, seen), "placed")
-    nodes = seen.where("times IS NULL").select("rid", "node", "n")
-    nodes = stored(join_one_per_key(nodes, placed, ["node"], "left"), "members")
+    nodes = seen.where("times IS NULL").select("rid", "rkey", "node", "n")
+    nodes = join_one_per_key(nodes, linked_sets(rows, seen), ["node"], "left")
+    nodes = stored(nodes.select("rid", "rkey", "n", F.coalesce("root", "node").alias("root")), "members")
     names = nodes.where("root IS NOT NULL").groupBy("root").agg(F.min("rid").alias("name"))
     return join_one_per_key(nodes, names, ["root"], "left")
 
@@ -397,10 +417,10 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     with the least text key stays; of identical ones, one.
     """
     found = members(docs.select("doc_id", "text"))
-    least = found.where("root IS NOT NULL").groupBy("root").agg(F.min(F.struct("rid", "node")).alias("stays"))
+    least = found.where("root IS NOT NULL").groupBy("root").agg(F.min(F.struct("rid", "rkey")).alias("stays"))
     stay = join_one_per_key(found, least, ["root"], "left")
-    stay = stay.where(F.col("root").isNull() | (F.col("stays.node") == F.col("node")))
-    stay = stored(stay.select(F.col("node").alias(KEY), (F.col("n") == 0).alias(CUTS)).distinct(), "stay")
+    stay = stay.where(F.col("root").isNull() | (F.col("stays.rkey") == F.col("rkey")))
+    stay = stored(stay.select(F.col("rkey").alias(KEY), (F.col("n") == 0).alias(CUTS)).distinct(), "stay")
     kept = docs.withColumn(KEY, row_key()).join(stay, KEY)
     # The join has sorted the rows by their key; identical rows lie together.
     again = F.row_number().over(Window.partitionBy(KEY).orderBy(F.lit(0)))
