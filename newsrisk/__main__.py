@@ -11,7 +11,7 @@ from newsrisk.operators.upsert import EXPORTS, export_spec, plan_upsert
 from newsrisk.plans.incremental import read_daily
 from newsrisk.plans.publish import build_marts, write_table
 from newsrisk.session import configure
-from newsrisk.sources.articles import read_articles, read_day
+from newsrisk.sources.articles import FORMATS, read_articles, read_day
 from newsrisk.sources.bronze import ingest, read_bronze
 
 
@@ -23,6 +23,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     load.add_argument("--landing", required=True, help="folder with the article files")
     load.add_argument("--bronze", required=True)
     load.add_argument("--as-of", required=True, type=dt.date.fromisoformat, help="run date")
+    load.add_argument("--format", choices=FORMATS, default="lines", help="of the article files")
     which = load.add_mutually_exclusive_group()
     which.add_argument("--date", help="load this day (default: the day before the run date)")
     which.add_argument("--all", action="store_true", help="load every file, recursively")
@@ -45,9 +46,9 @@ def main(argv: list[str] | None = None) -> None:
     spark = configure(SparkSession.builder.appName(f"newsrisk-{args.step}")).getOrCreate()
     if args.step == "load":
         if args.all:
-            batch = read_articles(spark, args.landing, args.as_of)
+            batch = read_articles(spark, args.landing, args.as_of, args.format)
         else:
-            batch = read_day(spark, args.landing, args.date, args.as_of)
+            batch = read_day(spark, args.landing, args.date, args.as_of, args.format)
         ingest(spark, batch, args.bronze, cache=not args.all)
     elif args.step == "build":
         build_marts(spark, read_bronze(spark, args.bronze), args.marts, args.incremental)

@@ -31,6 +31,11 @@ BLANKS = (
 )
 
 
+def plain_blanks(text: Column) -> Column:
+    """White space of any kind as ordinary blanks, as the patterns below expect it."""
+    return F.translate(text, BLANKS, " " * len(BLANKS))
+
+
 def strip(text: Column) -> Column:
     """Remove leading and trailing white space of any kind (``trim`` only removes blanks)."""
     return F.btrim(text, F.lit(BLANKS))
@@ -69,6 +74,11 @@ def _whole(text: Column) -> Column:
     return text.try_cast("int").cast("string")
 
 
+def _year(text: Column) -> Column:
+    """A whole number of four digits at most."""
+    return F.when(F.length(_whole(text)) <= 4, _whole(text))
+
+
 def _token(tokens: Column, position: int) -> Column:
     return F.try_element_at(tokens, F.lit(position))
 
@@ -94,7 +104,7 @@ def relative_date(text: Column | str, as_of: Column | dt.date | str) -> Column:
         )
 
     return let(
-        F.lower(strip(text)),
+        F.lower(F.trim(plain_blanks(text))),
         lambda clean: F.when(clean.contains("kemarin"), F.date_sub(today, 1))
         .when(clean.contains("lalu"), today)
         .otherwise(written(clean)),
@@ -105,8 +115,8 @@ def long_date(text: Column | str) -> Column:
     """``"Sabtu, 16 Mei 2026 10:37 WIB"``: day, month name and year are tokens two to four."""
     text = F.col(text) if isinstance(text, str) else text
     return let(
-        F.split(strip(F.replace(text, F.lit(","), F.lit(""))), r"\s+"),
-        lambda p: _ymd(_whole(_token(p, 4)), month_number(_token(p, 3)), _whole(_token(p, 2))),
+        F.split(F.trim(plain_blanks(F.replace(text, F.lit(","), F.lit("")))), r"\s+"),
+        lambda p: _ymd(_year(_token(p, 4)), month_number(_token(p, 3)), _whole(_token(p, 2))),
     )
 
 
@@ -120,6 +130,7 @@ def iso_date(text: Column | str) -> Column:
     loose = r"^(\d{4}-\d{1,2}-\d{1,2})(?:T\d{1,2}:\d{1,2}:\d{1,2}(?:Z|[+-]\d{2}:?\d{2}))?$"
 
     def english(clean: Column) -> Column:
+        clean = plain_blanks(clean)
         parts = F.split(F.replace(clean, F.lit(","), F.lit("")), r"\s+")
         day_first = clean.rlike(r"^\d{1,2}\s+[A-Za-z]+\s+\d{4}$")
         month_first = clean.rlike(r"^[A-Za-z]+\s+\d{1,2},\s+\d{4}$")

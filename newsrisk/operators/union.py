@@ -16,6 +16,13 @@ def stamp(articles: DataFrame, source: str) -> DataFrame:
 
 
 def union_sources(sources: Mapping[str, DataFrame]) -> DataFrame:
-    """Bag union by name of all sources, each stamped with its key; duplicates are kept."""
-    frames = [stamp(df, name).select(*ARTICLE_COLUMNS) for name, df in sources.items()]
-    return reduce(DataFrame.unionByName, frames)
+    """Bag union by name of all sources, each stamped with its key; duplicates are kept.
+
+    A source that lacks a column has NULLs there, and other columns are left out: one source's
+    shape does not stop the rest.  Errors while reading a source are not hidden.
+    """
+
+    def aligned(df: DataFrame) -> DataFrame:
+        return df.select(*[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in ARTICLE_COLUMNS])
+
+    return reduce(DataFrame.unionByName, [aligned(stamp(df, name)) for name, df in sources.items()])

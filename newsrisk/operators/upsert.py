@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Row, functions as F
+from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
 from newsrisk.functions.dates import stringify_dates
 
@@ -50,56 +50,70 @@ def export_rows(mart: DataFrame, key: str) -> DataFrame:
 
 
 def _target_state(target: DataFrame, spec: UpsertSpec) -> DataFrame:
-    # A target that lists a key twice keeps the last row, which is the one to update.
-    order = F.col(spec.row_column) if spec.row_column else F.lit(0)
-    state = [F.struct(*[tolerant_int(F.col(c)).alias(c) for c in spec.change_columns])]
-    picked = target.groupBy(F.col(spec.key).cast("string").alias("_key")).agg(
-        F.max_by(state[0], order).alias("_state"),
-        *([F.max(spec.row_column).alias("target_row")] if spec.row_column else []),
-    )
-    return picked
+    """Key and change columns of the target, one row a key.
+
+    A target that lists a key twice keeps the row with the greatest address, which is the one
+    to update.  Without addresses no row is the last one, so a key listed twice raises.
+    """
+    columns = [tolerant_int(F.col(c)).alias(c) for c in spec.change_columns]
+    key = F.col(spec.key).cast("string").alias("_key")
+    if spec.row_column:
+        address = F.col(spec.row_column).cast("bigint").alias("target_row")
+        last = F.max(F.struct(address, *columns)).alias("_state")
+        return target.groupBy(key).agg(last).withColumn("target_row", F.col("_state.target_row"))
+    grouped = target.groupBy(key).agg(F.first(F.struct(*columns)).alias("_state"), F.count("*").alias("_n"))
+    twice = F.raise_error(F.concat(F.lit("the target lists a key twice and has no row column: "), "_key"))
+    return grouped.where(F.when(F.col("_n") > 1, twice).otherwise(True)).drop("_n")
 
 
 def plan_upsert(mart: DataFrame, target: DataFrame, spec: UpsertSpec) -> DataFrame:
     """Mart rows as they would be delivered, plus ``action``.
 
     ``append``: the key is not in the target.  ``update``: it is, and a change column
-    differs (both read as tolerant integers).  ``skip``: nothing to do.
+    differs (both read as tolerant integers).  ``skip``: nothing to do.  ``target_row``, where
+    the target has addresses, is NULL for rows to append.
     """
     rows = stringify_dates(mart)
     state = _target_state(target, spec)
     joined = rows.join(state, rows[spec.key] == state["_key"], "left")
+    action = F.when(F.col("_key").isNull(), APPEND).when(_changed(spec), UPDATE).otherwise(SKIP)
+    planned = joined.withColumn("action", action).drop("_key", "_state")
+    return planned.fillna(0, subset=list(mart.columns))
+
+
+def _changed(spec: UpsertSpec, prefix: str = "") -> Column:
     changed = F.lit(False)
     for c in spec.change_columns:
-        changed = changed | (tolerant_int(F.col(c)) != F.col(f"_state.{c}"))
-    action = (
-        F.when(F.col("_key").isNull(), APPEND).when(changed, UPDATE).otherwise(SKIP)
-    )
-    return joined.withColumn("action", action).drop("_key", "_state").fillna(0)
+        changed = changed | (tolerant_int(F.col(prefix + c)) != F.col(f"_state.{c}"))
+    return changed
 
 
 def apply_upsert(mart: DataFrame, target: DataFrame, spec: UpsertSpec) -> DataFrame:
-    """The target after the upsert: appended and updated rows replace, the rest stays."""
-    columns = [c for c in mart.columns]
-    delivered = (
-        plan_upsert(mart, target, spec)
-        .where(F.col("action") != SKIP)
-        .select(*columns)
-    )
-    kept = stringify_dates(target).select(*columns)
-    untouched = kept.join(
-        delivered.select(F.col(spec.key).alias("_done")),
-        F.col(spec.key) == F.col("_done"),
-        "left_anti",
-    )
-    return untouched.unionByName(delivered)
+    """The target after the upsert: appended and updated rows replace, the rest stays.
+
+    One outer join by key, so mart and target are each read once.  Rows of the target that
+    repeat a key are all replaced by an update and all kept by a skip.
+    """
+    columns = list(mart.columns)
+    new = stringify_dates(mart).fillna(0).select(F.struct(*columns).alias("new"), F.col(spec.key).alias("_new"))
+    old = stringify_dates(target).withColumn("_old", F.col(spec.key).cast("string"))
+    state = [tolerant_int(F.col(c)).alias(c) for c in spec.change_columns]
+    old = old.select(F.struct(*columns).alias("old"), "_old", F.struct(*state).alias("_state"), *(
+        [F.col(spec.row_column).alias("_row")] if spec.row_column else [F.lit(0).alias("_row")]
+    ))
+    last = Window.partitionBy("_old").orderBy(F.desc("_row"))
+    if spec.row_column:
+        # The last row of a key decides, and an update leaves one row of it.
+        old = old.withColumn("_rank", F.row_number().over(last)).withColumn("_state", F.first("_state").over(last))
+    else:
+        old = old.withColumn("_rank", F.lit(1))
+    both = old.join(new, F.col("_old") == F.col("_new"), "full_outer")
+    replaced = F.col("_new").isNotNull() & (F.col("_old").isNull() | _changed(spec, "new."))
+    kept = both.where(~replaced | (F.coalesce("_rank", F.lit(1)) == 1))
+    pick = [F.when(replaced, F.col(f"new.{c}")).otherwise(F.col(f"old.{c}")).alias(c) for c in columns]
+    return kept.select(*pick)
 
 
 def deliver(plan: DataFrame, send: Callable[[Iterable[Row]], None]) -> None:
     """Hand the rows to write to ``send``, one call per partition, from the executors."""
     plan.where(F.col("action") != SKIP).foreachPartition(send)
-
-
-def changed_keys(plan: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys and actions that need writing, for logs and tests."""
-    return plan.where(F.col("action") != SKIP).select(*keys, "action")

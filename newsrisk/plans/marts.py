@@ -66,8 +66,8 @@ def recover_counts(daily: DataFrame) -> DataFrame:
 def _rollup(daily: DataFrame, period: str) -> DataFrame:
     # Works on one row per day, so this is small whatever the size of bronze.  Counts are
     # summed before dividing; averaging daily percentages would weight thin days too much.
-    if not set(COUNT_COLUMNS) <= set(daily.columns):
-        daily = recover_counts(daily)
+    if missing := sorted(set(COUNT_COLUMNS) - set(daily.columns)):
+        raise ValueError(f"no counts to sum ({', '.join(missing)}); see recover_counts")
     start = f"{period}_start"
     return (
         daily.groupBy(F.trunc("published_date", period).alias(start))

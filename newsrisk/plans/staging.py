@@ -28,6 +28,5 @@ def staging(bronze: DataFrame, rule: RelevanceRule = RELEVANCE) -> DataFrame:
 
     Lazy; callers that feed several marts from it should ``persist`` it once.
     """
-    return latest_per_link(clean(bronze)).withColumn(
-        "is_relevant", relevance("title_cleaned", rule)
-    )
+    # Cleaning comes after the dedup: only one copy of each title is sorted and moved.
+    return clean(latest_per_link(bronze)).withColumn("is_relevant", relevance("title_cleaned", rule))

@@ -31,13 +31,3 @@ DAILY = T.StructType(
         *[T.StructField(c, T.DoubleType()) for c in (*INDEX_COLUMNS, *COMPOSITE_COLUMNS)],
     ]
 )
-
-# One <url> entry of a sitemap; the news extension may be nested or direct.
-SITEMAP_URL = T.StructType(
-    [
-        T.StructField("loc", T.StringType()),
-        T.StructField("lastmod", T.StringType()),
-        T.StructField("news:title", T.StringType()),
-        T.StructField("news:news", T.StructType([T.StructField("news:title", T.StringType())])),
-    ]
-)

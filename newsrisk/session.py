@@ -50,6 +50,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Delete stored tables that are not needed any more."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    for path in paths:
+        place = hadoop.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """``df`` in at least as many partitions as the session has cores.
 

@@ -1,21 +1,70 @@
-"""Dated article files: reading batches, and writing a day."""
+"""Dated article files: reading batches, and writing a day.
+
+A landing folder holds JSON in one of two formats.  ``lines``: one object (or one array) per
+line; large files are split.  ``array``: each file is one array, which may span lines; such a
+file is one task.  ``write_landing`` writes lines, which is the default everywhere.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.readwriter import DataFrameReader
+from pyspark.sql.streaming import DataStreamReader
 
 from newsrisk.functions.dates import ISO_DATE, as_date
 from newsrisk.operators.dedup import last_occurrence
 from newsrisk.schema import ARTICLE, ARTICLE_COLUMNS
 
 FILE_TEMPLATE = "scrape_{date}.json"
+FORMATS = ("lines", "array")
 
+_FAIL = {"mode": "FAILFAST"}
+_STRING = r'"(?:[^"\\]|\\.)*+"'
 
-def with_file(raw: DataFrame) -> DataFrame:
-    """The article columns plus the name and path of the file each row came from."""
-    return raw.select(*ARTICLE_COLUMNS, "_metadata.file_name", "_metadata.file_path")
+
+def article_rows(
+    reader: DataFrameReader | DataStreamReader, path: str, format: str, strict: bool
+) -> DataFrame:
+    """The article columns plus the name and path of the file each row came from.
+
+    Batches and streams are read by these same expressions, in one pass: text to objects,
+    objects to columns.  Malformed JSON raises, an array file with anything behind its array
+    raises, and with ``strict`` so does a field that articles do not have.
+    """
+    if format not in FORMATS:
+        raise ValueError(f"format must be one of {FORMATS}")
+    text = (
+        reader.option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.json")
+        .text(path, wholetext=format == "array")
+        .select("value", "_metadata.file_name", "_metadata.file_path")
+        .where(F.trim("value") != "")
+    )
+    value = F.ltrim(F.col("value"))
+    many = F.from_json(value, "array<string>", _FAIL)
+    if format == "array":
+        # Articles are flat, so without its strings a file has one pair of brackets.
+        one = F.regexp_replace(F.col("value"), _STRING, "").rlike(r"^\s*\[[^\[\]]*\]\s*$")
+        objects = F.when(one, many).otherwise(_refuse("not one JSON array: "))
+    else:
+        objects = F.when(value.startswith("["), many).otherwise(F.array("value"))
+    rows = text.select("file_name", "file_path", F.explode(objects).alias("object"))
+    if strict:
+        known = F.array(*[F.lit(c) for c in ARTICLE_COLUMNS])
+        unknown = F.array_except(F.json_object_keys("object"), known)
+        bad = F.size(unknown) > 0
+        rows = rows.where(
+            F.when(bad, _refuse("unknown article fields: ", F.array_join(unknown, ", "), F.lit(" in "))).otherwise(True)
+        )
+    parsed = rows.withColumn("article", F.from_json("object", ARTICLE, _FAIL))
+    return parsed.select("article.*", "file_name", "file_path")
+
+
+def _refuse(*message: str | Column) -> Column:
+    parts = [F.lit(m) if isinstance(m, str) else m for m in message]
+    return F.raise_error(F.concat(*parts, "file_name"))
 
 
 def stamp_batch(articles: DataFrame, as_of: Column | dt.date | str) -> DataFrame:
@@ -41,43 +90,18 @@ def stamp_batch(articles: DataFrame, as_of: Column | dt.date | str) -> DataFrame
     )
 
 
-def check_columns(spark: SparkSession, path: str, multi_line: bool = True) -> None:
-    """Raise when a file has a field the article schema does not know.
-
-    A typed JSON read drops unknown fields silently, so the names are inferred once over the
-    batch; the types are ignored.
-    """
-    found = _reader(spark, multi_line).option("primitivesAsString", "true").json(path).columns
-    unknown = sorted(set(found) - set(ARTICLE_COLUMNS) - {"_corrupt_record"})
-    if unknown:
-        raise ValueError(f"unknown article fields: {', '.join(unknown)}")
-
-
-def _reader(spark: SparkSession, multi_line: bool):
-    return (
-        spark.read.option("multiLine", str(multi_line).lower())
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.json")
-    )
-
-
 def read_articles(
     spark: SparkSession,
     path: str,
     as_of: Column | dt.date | str,
-    multi_line: bool = True,
+    format: str = "lines",
     strict: bool = True,
 ) -> DataFrame:
     """All article files below ``path`` in one scan, stamped and typed.
 
-    ``multi_line`` files hold one JSON array; such a file is one task.  With
-    ``multi_line=False`` files hold one object per line and large ones are split.  Missing
-    fields become NULL; malformed JSON raises; ``strict`` also refuses unknown fields.
+    Missing fields become NULL; malformed JSON raises; ``strict`` also refuses unknown fields.
     """
-    if strict:
-        check_columns(spark, path, multi_line)
-    raw = _reader(spark, multi_line).schema(ARTICLE).option("mode", "FAILFAST").json(path)
-    return stamp_batch(with_file(raw), as_of)
+    return stamp_batch(article_rows(spark.read, path, format, strict), as_of)
 
 
 def read_day(
@@ -85,20 +109,24 @@ def read_day(
     root: str,
     target: dt.date | str | None = None,
     as_of: dt.date | None = None,
+    format: str = "lines",
+    strict: bool = True,
 ) -> DataFrame:
-    """The file of one day (default: the day before ``as_of``); empty when it is absent."""
+    """The articles of one day (default: the day before ``as_of``); empty when there are none.
+
+    These are the files in its ``published_date=`` folder, as ``write_landing`` leaves them,
+    and files named ``scrape_<day>.json`` anywhere below ``root``.  Files of other days are
+    listed but not read.
+    """
     if target is None:
         if as_of is None:
             raise ValueError("give a target date or as_of")
         target = as_of - dt.timedelta(days=1)
-    raw = (
-        _reader(spark, True)
-        .option("pathGlobFilter", FILE_TEMPLATE.format(date=target))
-        .schema(ARTICLE)
-        .option("mode", "FAILFAST")
-        .json(root)
+    rows = article_rows(spark.read, root, format, strict).where(
+        (F.col("file_name") == FILE_TEMPLATE.format(date=target))
+        | F.col("file_path").contains(f"/published_date={target}/")
     )
-    return stamp_batch(with_file(raw), as_of or F.date_add(as_date(target), 1))
+    return stamp_batch(rows, as_of or F.date_add(as_date(target), 1))
 
 
 def write_landing(articles: DataFrame, path: str, order: str | None = None) -> None:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from newsrisk.operators.skew import join_one_per_key
 from newsrisk.schema import RAW_NEWS
+from newsrisk.session import discard, scratch_path
 from newsrisk.sources.tables import read_or_empty
 
 KEY = ("published_date", "link")
@@ -72,29 +73,35 @@ def append(batch: DataFrame, path: str) -> None:
     )
 
 
-def dates_between(batch: DataFrame, bronze: DataFrame) -> DataFrame:
-    """Bronze restricted to the date span of ``batch``, so other partitions are not read.
+def dates_of(batch: DataFrame, bronze: DataFrame) -> DataFrame:
+    """Bronze restricted to the dates of ``batch``, so other partitions are not read.
 
-    One small aggregate of the batch; its two values reach the scan as partition filters.
+    The dates are collected (there are as many as the calendar has days) and reach the scan
+    as a partition filter; a straggler far from the rest does not open the span between.
     """
-    low, high = batch.agg(F.min("published_date"), F.max("published_date")).first()
-    if low is None:
-        return bronze.where(F.lit(False))
-    return bronze.where(F.col("published_date").between(F.lit(low), F.lit(high)))
+    dates = [r[0] for r in batch.select("published_date").distinct().collect()]
+    return bronze.where(F.col("published_date").isin(dates)) if dates else bronze.where(F.lit(False))
 
 
 def ingest(spark: SparkSession, batch: DataFrame, path: str, cache: bool = True) -> None:
     """Load a stamped batch into the bronze table at ``path``; repeating it changes nothing.
 
-    The date span, the keys and the rows of the batch are all needed, so a daily batch is
-    parsed once and cached.  A backfill larger than the executors' disks is better read
-    again for each of them: ``cache=False``.
+    The dates, the keys and the rows of the batch are all needed, but its files are parsed
+    once: a daily batch is cached, a backfill (``cache=False``) is staged as Parquet below
+    ``spark.checkpoint.dir`` and the stage is deleted afterwards.
     """
+    stage = None
     if cache:
         batch = batch.persist()
+    else:
+        stage = scratch_path(spark, "stage")
+        batch.write.parquet(stage)
+        batch = spark.read.schema(batch.schema).parquet(stage)
     try:
-        bronze = dates_between(batch, read_bronze(spark, path))
+        bronze = dates_of(batch, read_bronze(spark, path))
         append(unseen(batch, bronze), path)
     finally:
         if cache:
             batch.unpersist()
+        else:
+            discard(spark, stage)

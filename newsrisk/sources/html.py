@@ -9,6 +9,7 @@ happens in Spark columns.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -23,7 +24,7 @@ NONE: frozenset[str] = frozenset()
 class Element:
     """A start tag; its content is ``nodes[start + 1 : end]``."""
 
-    __slots__ = ("tag", "attrs", "classes", "parent", "nodes", "start", "end")
+    __slots__ = ("tag", "attrs", "classes", "parent", "nodes", "start", "end", "page")
 
     def __init__(self, tag, attrs, parent, nodes):
         self.tag = tag
@@ -32,13 +33,9 @@ class Element:
         self.parent, self.nodes = parent, nodes
         self.start = len(nodes)
         self.end = self.start + 1
+        self.page: _Page | None = None  # at the root only
         nodes.append(self)
 
-    def elements(self) -> Iterator[Element]:
-        for node in self.nodes[self.start + 1 : self.end]:
-            if isinstance(node, Element):
-                yield node
-
     def text(self) -> str:
         parts, skip_to = [], 0
         for i in range(self.start + 1, self.end):
@@ -51,10 +48,7 @@ class Element:
         return "".join(parts)
 
     def ancestor(self, tag: str) -> Element | None:
-        node = self.parent
-        while node is not None and node.tag != tag:
-            node = node.parent
-        return node
+        return _page(self).nearest(tag)[self.start]
 
 
 class _TreeBuilder(HTMLParser):
@@ -62,50 +56,99 @@ class _TreeBuilder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.nodes: list[Element | str] = []
         self.root = self.open = Element("", (), None, self.nodes)
-        self.joinable = False  # the last node is text that more text continues
+        self.by_tag: dict[str, list[Element]] = {}  # the open elements of each tag
+        self.text: list[str] = []  # the pieces of the last node while more text continues it
 
     def updatepos(self, i, j):
         return j  # line numbers are not needed, and counting them costs a fifth of the parse
 
+    def _end_text(self):
+        if self.text:
+            self.nodes[-1] = "".join(self.text)
+            self.text = []
+
     def handle_starttag(self, tag, attrs):
-        self.joinable = False
+        self._end_text()
         node = Element(tag, attrs, self.open, self.nodes)
         if tag not in VOID:
             self.open = node
+            self.by_tag.setdefault(tag, []).append(node)
 
     def handle_startendtag(self, tag, attrs):
-        self.joinable = False
+        self._end_text()
         Element(tag, attrs, self.open, self.nodes)
 
     def handle_endtag(self, tag):
-        self.joinable = False
-        node = self.open
-        while node is not self.root and node.tag != tag:
-            node = node.parent
-        if node is not self.root:  # an end tag without a start tag is ignored
-            self._close(node.parent)
+        self._end_text()
+        if starts := self.by_tag.get(tag):  # an end tag without a start tag is ignored
+            self._close(starts[-1].parent)
 
     def _close(self, until):
+        # Every element is closed once, so all end tags together cost one walk.
         while self.open is not until:
             self.open.end = len(self.nodes)
+            if self.open is not self.root:
+                self.by_tag[self.open.tag].pop()
             self.open = self.open.parent
 
     def handle_comment(self, data):
-        self.joinable = False
+        self._end_text()
 
     def handle_data(self, data):
-        if self.joinable:
-            self.nodes[-1] += data
-        else:
-            self.nodes.append(data)
-            self.joinable = True
+        if not self.text:
+            self.nodes.append("")
+        self.text.append(data)
 
     def finish(self) -> Element:
         self.close()
+        self._end_text()
         self._close(None)
         return self.root
 
 
+class _Page:
+    """What whole-document walks have found, so that no item walks for itself."""
+
+    def __init__(self, nodes: list):
+        self.elements = [n for n in nodes if isinstance(n, Element)]
+        self.size = len(nodes)
+        self.found: dict[str, tuple[list[Element], list[int]]] = {}
+        self.above: dict[str, list] = {}
+
+    def nearest(self, tag: str) -> list:
+        """For the place of each element its closest ancestor with ``tag``."""
+        if tag not in self.above:
+            out: list = [None] * self.size
+            for node in self.elements:
+                if (up := node.parent) is not None:
+                    out[node.start] = up if up.tag == tag else out[up.start]
+            self.above[tag] = out
+        return self.above[tag]
+
+    def all(self, selector: str) -> tuple[list[Element], list[int]]:
+        """The elements that match, in document order, and their places."""
+        if selector not in self.found:
+            hits = {}
+            for chain in _compile(selector):
+                # How many leading parts of the chain the ancestors satisfy, element by element.
+                depth, last = [0] * self.size, len(chain) - 1
+                for node in self.elements:
+                    above = depth[node.parent.start] if node.parent is not None else 0
+                    depth[node.start] = above + (above < last and _is(node, chain[above]))
+                    if above == last and node.parent is not None and _is(node, chain[last]):
+                        hits[node.start] = node
+            places = sorted(hits)
+            self.found[selector] = [hits[i] for i in places], places
+        return self.found[selector]
+
+
+def _page(node: Element) -> _Page:
+    root = node.nodes[0]
+    if root.page is None:
+        root.page = _Page(node.nodes)
+    return root.page
+
+
 def parse(html: str) -> Element:
     """Root of a parsed page; unclosed and stray tags are tolerated."""
     builder = _TreeBuilder()
@@ -141,26 +184,16 @@ def _is(node: Element, simple) -> bool:
     )
 
 
-def _inside(node: Element, chain) -> bool:
-    """The ancestors of ``node`` satisfy all but the last part of the selector."""
-    above = node.parent
-    for simple in reversed(chain[:-1]):
-        while above is not None and not _is(above, simple):
-            above = above.parent
-        if above is None:
-            return False
-        above = above.parent
-    return True
-
-
 def matches(root: Element, selector: str) -> Iterator[Element]:
-    """Descendants that match, in document order."""
-    chains = _compile(selector)
-    for node in root.elements():
-        for chain in chains:
-            if _is(node, chain[-1]) and _inside(node, chain):
-                yield node
-                break
+    """Descendants that match, in document order.
+
+    All parts of the selector may lie above ``root``, except the last one.
+    """
+    found, places = _page(root).all(selector)
+    for i in range(bisect_right(places, root.start), len(found)):
+        if places[i] >= root.end:
+            return
+        yield found[i]
 
 
 def select(root: Element, selector: str) -> list[Element]:

@@ -1,4 +1,4 @@
-"""Articles from sitemap XML, with Spark's own XML reader."""
+"""Articles from sitemap XML, entry by entry, with Spark's own XML functions."""
 
 from __future__ import annotations
 
@@ -8,32 +8,68 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from newsrisk.functions.dates import as_date, iso_date, strip
 from newsrisk.functions.text import slug_title
-from newsrisk.schema import SITEMAP_URL
+
+ENTRY = (
+    "loc array<string>, lastmod array<string>, news_title array<string>, "
+    "news_news struct<news_title: array<string>>, _corrupt_record string"
+)
+FIELDS = ("loc", "lastmod", "news_title", "reason")
+
+# An entry ends with its end tag, before the next entry, or where the text ends.
+_PIECE = r"(?s)<url(?:\s[^>]*)?>(?:(?!<url[\s>]|</url>).)*(?:</url>)?"
+_BARE_AND = r"&(?!(?:amp|lt|gt|quot|apos|#[0-9]+|#x[0-9A-Fa-f]+);)"
 
 
 def read_sitemaps(spark: SparkSession, path: str) -> DataFrame:
-    """One row per ``<url>`` element of the XML files below ``path``."""
-    return (
-        spark.read.format("xml")
-        .schema(SITEMAP_URL)
-        .option("rowTag", "url")
-        .option("recursiveFileLookup", "true")
-        .load(path)
+    """One row per ``<url>`` element of the XML files below ``path``; a file is one task."""
+    files = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
+    return sitemap_urls(files.withColumnRenamed("value", "xml"), "xml")
+
+
+def _entry(piece: Column) -> Column:
+    """One piece of text as an entry; what is unusual but readable in it is mended first."""
+    # Prefixes are declared at the document's root, which a piece does not have.
+    plain = F.regexp_replace(piece, r"(</?)([A-Za-z][\w.-]*):", "$1$2_")
+    closed = F.when(plain.endswith("</url>"), plain).otherwise(F.concat(plain, F.lit("</url>")))
+    mended = F.when(closed.contains("<![CDATA["), closed).otherwise(
+        F.regexp_replace(closed, _BARE_AND, "&amp;")
     )
+    return F.from_xml(mended, ENTRY, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
 
 
 def sitemap_urls(documents: DataFrame, xml: str) -> DataFrame:
-    """One row per ``<url>`` of sitemap documents held in the text column ``xml``."""
-    schema = f"url array<{SITEMAP_URL.simpleString()}>"
-    urls = F.from_xml(F.col(xml), _quoted(schema))
-    return documents.select(
-        *[c for c in documents.columns if c != xml], F.explode(urls["url"]).alias("_u")
-    ).select("*", "_u.*").drop("_u")
+    """One row per ``<url>`` of the sitemaps in the text column ``xml``, or more exactly:
 
+    ``loc``, ``lastmod`` and ``news_title`` are the entry's first of each.  Entries are read
+    one by one, so a broken one does not take its document along.  ``reason`` tells why an
+    entry cannot become an article: ``unreadable_document`` (no entry in it),
+    ``unreadable_entry``, ``missing_link`` or ``bad_date``.
+    """
+    kept = [c for c in documents.columns if c != xml]
+    pieces = F.regexp_extract_all(F.col(xml), F.lit(_PIECE), F.lit(0))
+    entries = documents.select(*kept, F.explode_outer(pieces).alias("_piece"))
+    parsed = entries.withColumn("_u", _entry(F.col("_piece")))
+    first = lambda path: F.get(F.col(path), F.lit(0))
+    fields = parsed.select(
+        *kept,
+        F.col("_piece").isNull().alias("_absent"),
+        (F.col("_u").isNull() | F.col("_u._corrupt_record").isNotNull()).alias("_broken"),
+        first("_u.loc").alias("loc"),
+        first("_u.lastmod").alias("lastmod"),
+        F.coalesce(first("_u.news_news.news_title"), first("_u.news_title")).alias("news_title"),
+    )
+    reason = (
+        F.when(F.col("_absent"), "unreadable_document")
+        .when(F.col("_broken"), "unreadable_entry")
+        .when(F.coalesce(F.col("loc"), F.lit("")) == "", "missing_link")
+        .when(iso_date(F.coalesce(F.col("lastmod"), F.lit(""))).isNull(), "bad_date")
+    )
+    return fields.withColumn("reason", reason).drop("_absent", "_broken")
 
-def _quoted(schema: str) -> str:
-    # Names with a colon need back quotes in a DDL string.
-    return schema.replace("news:title:", "`news:title`:").replace("news:news:", "`news:news`:")
+
+def sitemap_rejects(urls: DataFrame) -> DataFrame:
+    """The entries that cannot become articles, with ``reason``."""
+    return urls.where(F.col("reason").isNotNull())
 
 
 def sitemap_articles(urls: DataFrame, target: Column | dt.date | str) -> DataFrame:
@@ -42,20 +78,14 @@ def sitemap_articles(urls: DataFrame, target: Column | dt.date | str) -> DataFra
     Entries without an address are skipped.  The title is the news title when there is one,
     otherwise it is read from the address.
     """
-    raw = ("loc", "lastmod", "news:title", "news:news")
-    nested = F.coalesce(F.col("`news:news`.`news:title`"), F.col("`news:title`"))
     link = strip(F.col("loc"))
-    title = F.when(F.coalesce(nested, F.lit("")) != "", strip(nested)).otherwise(
+    title = F.when(F.coalesce("news_title", F.lit("")) != "", strip(F.col("news_title"))).otherwise(
         slug_title(link)
     )
-    wanted = urls.where(
-        F.col("loc").isNotNull()
-        & (F.col("loc") != "")
-        & (iso_date(F.col("lastmod")) == as_date(target))
-    )
+    wanted = urls.where(F.col("reason").isNull() & (iso_date(F.col("lastmod")) == as_date(target)))
     # After the filter the entry's date is the target, so it is not worked out again.
     return wanted.select(
-        *[c for c in urls.columns if c not in raw],
+        *[c for c in urls.columns if c not in FIELDS],
         title.alias("title"),
         link.alias("link"),
         F.date_format(as_date(target), "yyyy-MM-dd").alias("date_text"),

@@ -7,28 +7,24 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from newsrisk.schema import ARTICLE
-from newsrisk.sources.articles import stamp_batch, with_file
+from newsrisk.sources.articles import article_rows, stamp_batch
 from newsrisk.sources.bronze import ingest
 
 
 def stream_articles(
     spark: SparkSession,
     path: str,
-    multi_line: bool = True,
+    format: str = "lines",
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Articles of every file that appears below ``path``, with the file they came from."""
-    reader = (
-        spark.readStream.schema(ARTICLE)
-        .option("multiLine", str(multi_line).lower())
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.json")
-        .option("mode", "FAILFAST")
-    )
+    """Articles of every file that appears below ``path``, with the file they came from.
+
+    It refuses what a batch refuses: malformed JSON and unknown fields.
+    """
+    reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return with_file(reader.json(path))
+    return article_rows(reader, path, format, strict=True)
 
 
 def start_ingest(
@@ -37,7 +33,7 @@ def start_ingest(
     bronze_path: str,
     checkpoint: str,
     as_of: dt.date | str,
-    multi_line: bool = True,
+    format: str = "lines",
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Load everything that has landed, then stop; start again to load what came since.
@@ -49,7 +45,7 @@ def start_ingest(
     def load(batch: DataFrame, _batch_id: int) -> None:
         ingest(batch.sparkSession, stamp_batch(batch, as_of), bronze_path)
 
-    stream = stream_articles(spark, path, multi_line, max_files_per_trigger)
+    stream = stream_articles(spark, path, format, max_files_per_trigger)
     return (
         stream.writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)

@@ -1,4 +1,9 @@
+import time
+
+import pytest
+
 from newsrisk.sources.html import parse, select, select_one
+from newsrisk.sources.listing import LAYOUTS, ListingLayout, _items
 
 
 def test_text_joins_stripped_strings_and_decodes_entities():
@@ -41,3 +46,30 @@ def test_fallback_selectors_in_order():
 def test_enclosing_anchor():
     page = parse("<a href='out'><div class='c'><h2>t</h2></div></a>")
     assert select_one(page, ("div.c",)).ancestor("a").attrs["href"] == "out"
+
+
+@pytest.mark.parametrize(
+    "html",
+    ["</div><p>" * 40_000, "<div>" * 40_000 + "</p>" * 40_000, "< " * 200_000, "<b>x</i>" * 40_000],
+    ids=["stray", "deep", "brackets", "mixed"],
+)
+def test_broken_pages_take_linear_time(html):
+    start = time.process_time()
+    for layout in LAYOUTS.values():
+        assert _items(html + "<a href='deep'>x", layout) == (False, [])
+    assert time.process_time() - start < 2 * len(LAYOUTS)
+
+
+def test_unclosed_items_take_linear_time():
+    layout = ListingLayout(item=("ul li",), title=("h2 a",), date=("span.d", "time"), link="around")
+    html = "<ul>" + "".join(f"<li><h2><a href='{i}'>t{i}</a></h2>" for i in range(20_000))
+    start = time.process_time()
+    _, items = _items(html, layout)
+    assert time.process_time() - start < 2
+    assert len(items) == 20_000 and items[7]["title"] == "t7" and items[7]["link"] == "7"
+
+
+def test_nested_chain_needs_its_parts_in_order():
+    page = parse("<ul><li><b><ul><li><i>x</i></li></ul></b></li></ul><i>y</i>")
+    assert [n.text() for n in select(page, "ul li i")] == ["x"]
+    assert select(page, "b ul b") == [] and select(page, "i li") == []

@@ -10,7 +10,7 @@ from newsrisk.sources.articles import read_articles, read_day, write_landing
 from newsrisk.sources.bronze import (
     append,
     create_bronze,
-    dates_between,
+    dates_of,
     ingest,
     read_bronze,
     unseen,
@@ -65,8 +65,11 @@ def test_missing_fields_are_null_and_unknown_fields_are_refused(spark, tmp_path)
     put(tmp_path, "a_2025-06-15.json", [{"title": "t", "link": "a"}])
     assert read_articles(spark, str(tmp_path), AS_OF).first().category is None
     put(tmp_path, "b_2025-06-15.json", [{"title": "t", "content": "x"}])
-    with pytest.raises(ValueError, match="content"):
-        read_articles(spark, str(tmp_path), AS_OF)
+    with pytest.raises(Exception, match="content"):
+        read_articles(spark, str(tmp_path), AS_OF).count()
+    checkpoint, bronze = str(tmp_path / "c"), str(tmp_path / "b")
+    with pytest.raises(Exception, match="content"):
+        start_ingest(spark, str(tmp_path), bronze, checkpoint, AS_OF).awaitTermination()
     assert read_articles(spark, str(tmp_path), AS_OF, strict=False).count() == 2
 
 
@@ -144,7 +147,7 @@ def test_guard_reads_two_columns_of_the_batch_dates(spark, raw, tmp_path):
     path = str(tmp_path / "bronze")
     ingest(spark, read_articles(spark, str(raw), AS_OF), path)
     batch = read_articles(spark, str(raw), AS_OF)
-    text = plan(unseen(batch, dates_between(batch, read_bronze(spark, path))))
+    text = plan(unseen(batch, dates_of(batch, read_bronze(spark, path))))
     scans = [line for line in text.splitlines() if "FileScan parquet" in line]
     assert len(scans) == 1
     assert "ReadSchema: struct<link:string>" in scans[0]
@@ -191,7 +194,7 @@ def test_landing_replaces_only_its_dates(spark, rows, tmp_path):
     write_landing(rows(schema, [row("a", 15, 1), row("b", 16, 2)]), path)
     again = [row("a", 15, 1), row("c", 15, 2), row("c", 15, 3)]
     write_landing(rows(schema, again), path, order="ingest_seq")
-    got = read_articles(spark, path, AS_OF, multi_line=False)
+    got = read_articles(spark, path, AS_OF)
     assert state(got) == [("2025-06-15", "a"), ("2025-06-15", "c"), ("2025-06-16", "b")]
 
 
@@ -209,3 +212,41 @@ def test_stream_loads_new_files_only(spark, raw, tmp_path):
     assert state(read_bronze(spark, bronze)) == state(
         unseen(read_articles(spark, str(raw), AS_OF), spark.createDataFrame([], RAW_NEWS))
     )
+
+
+def test_landing_loads_back_with_the_defaults_of_the_steps(spark, rows, tmp_path):
+    from newsrisk.__main__ import main
+
+    schema = "title string, link string, category string, date_text string, source string, published_date date"
+    day = lambda n: dt.date(2025, 6, 15 + n % 3)
+    landing, some, every = (str(tmp_path / n) for n in ("landing", "some", "every"))
+    write_landing(rows(schema, [("t", f"l{i}", "c", "", "s", day(i)) for i in range(300)]), landing)
+    main(["load", "--landing", landing, "--bronze", some, "--as-of", "2025-06-17"])
+    assert read_bronze(spark, some).count() == 100
+    main(["load", "--landing", landing, "--bronze", every, "--as-of", "2025-06-17", "--all"])
+    assert read_bronze(spark, every).count() == 300
+
+
+def test_array_format_refuses_what_it_would_lose(spark, tmp_path):
+    one = tmp_path / "one"
+    put(one, "a_2025-06-15.json", [article("a", 'x "][" \\'), article("b")])
+    (one / "b_2025-06-15.json").write_text(json.dumps([article("c")], indent=4), encoding="utf-8")
+    assert read_articles(spark, str(one), AS_OF, "array").count() == 3
+    with pytest.raises(Exception):  # an array over several lines is not lines
+        read_articles(spark, str(one), AS_OF).collect()
+    lines, twice = tmp_path / "lines", tmp_path / "twice"
+    for folder, text in ((lines, '{"link": "a"}\n{"link": "b"}\n'), (twice, '[{"link": "a"}]\n[{"link": "b"}]')):
+        folder.mkdir()
+        (folder / "x_2025-06-15.json").write_text(text, encoding="utf-8")
+        with pytest.raises(Exception, match="not one JSON array"):
+            read_articles(spark, str(folder), AS_OF, "array").collect()
+        assert read_articles(spark, str(folder), AS_OF).count() == 2
+
+
+def test_a_straggler_opens_only_its_own_date(spark, raw, tmp_path):
+    path = str(tmp_path / "bronze")
+    ingest(spark, read_articles(spark, str(raw), AS_OF), path, cache=False)
+    assert read_bronze(spark, path).count() == 5
+    batch = read_articles(spark, str(raw), AS_OF).where("published_date <> '2025-06-16'")
+    text = plan(dates_of(batch, read_bronze(spark, path)))
+    assert "2025-06-16" not in text and "2025-06-15" in text

@@ -4,9 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from newsrisk.operators.stats import page_stats
-from newsrisk.schema import SITEMAP_URL
 from newsrisk.sources.listing import LAYOUTS, accepted, listing_items, parse_listing, rejects
-from newsrisk.sources.sitemap import read_sitemaps, sitemap_articles, sitemap_urls
+from newsrisk.sources.sitemap import read_sitemaps, sitemap_articles, sitemap_rejects, sitemap_urls
 
 AS_OF = dt.date(2026, 5, 20)
 
@@ -216,10 +215,35 @@ def test_sitemap_files_and_documents(spark, rows, tmp_path):
     for urls in (files, docs):
         got = sitemap_articles(urls, "2026-05-19").select("title", "link", "date_text")
         assert sorted(map(tuple, got.collect())) == EXPECTED
-    assert files.schema == SITEMAP_URL
+    assert files.columns == ["loc", "lastmod", "news_title", "reason"]
     assert sitemap_articles(docs, "2026-05-19").first().category == "politik"
 
 
 def test_sitemap_without_entries(rows):
     docs = rows("xml string", [("<urlset></urlset>",), ("<div>No sitemap</div>",), (None,)])
     assert sitemap_articles(sitemap_urls(docs, "xml"), "2026-05-19").count() == 0
+
+
+def test_sitemap_entries_fail_one_by_one(rows):
+    start = "<?xml version='1.0'?><urlset xmlns:news='n' xmlns:image='i'>"
+    entry = "<url><loc>https://n/{}</loc><lastmod>2026-05-19</lastmod></url>"
+    documents = [
+        (1, start + entry.format("a?x=1&y=2&amp;z=3") + "<url><loc>https://n/b</loc><lastmod>2026-05-19</lastmod>"),
+        (2, start + entry.format("c") + "<url><loc>https://n/d</loc><lastm"),
+        (3, start + "<url><loc>https://n/e</loc><loc>https://n/f</loc><lastmod>2026-05-19</lastmod></url></urlset>"),
+        (4, start + "<url><loc> </loc></url><url><lastmod>2026-05-19</lastmod></url><url><loc>g</loc></url>"),
+        (5, "<html>no entries"),
+        (6, None),
+        (7, start + "<url><image:image><image:loc>i</image:loc></image:image><loc><![CDATA[https://n/h?a=1&b=2]]></loc>"
+            "<lastmod>2026-05-18</lastmod></url></urlset>"),
+    ]
+    urls = sitemap_urls(rows("d int, xml string", documents), "xml").cache()
+    articles = sitemap_articles(urls, "2026-05-19").select("d", "link")
+    assert sorted(map(tuple, articles.collect())) == [
+        (1, "https://n/a?x=1&y=2&z=3"), (1, "https://n/b"), (2, "https://n/c"), (3, "https://n/e"),
+    ]
+    assert sorted((r.d, r.reason) for r in sitemap_rejects(urls).collect()) == [
+        (2, "unreadable_entry"), (4, "bad_date"), (4, "missing_link"), (4, "missing_link"),
+        (5, "unreadable_document"), (6, "unreadable_document"),
+    ]
+    assert [r.loc for r in urls.where("d = 7").collect()] == ["https://n/h?a=1&b=2"]
