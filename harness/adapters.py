@@ -226,3 +226,22 @@ def sitemaps(spark: SparkSession, sf_dir: str) -> DataFrame:
         "<url><loc></loc><lastmod>", day, "</lastmod></url></urlset>",
     )
     return o.withColumn("xml", xml)
+
+
+def broken_sitemaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One document per order: a bare ``&``, two addresses, none, no date, a cut last entry."""
+    o = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("doc_id"),
+        F.col("o_orderdate").cast("date").alias("target_date"),
+        F.lit("politik").alias("category"),
+    )
+    k, day = F.col("doc_id").cast("string"), F.date_format("target_date", "yyyy-MM-dd")
+    url = lambda *inner: ["<url>", *inner, "</url>"]
+    loc = lambda path: ["<loc>https://n.example/", path, k, "</loc>"]
+    dated = ["<lastmod>", day, "</lastmod>"]
+    xml = _html(
+        "<urlset>", *url(*loc("a?x=1&y="), *dated), *url(*loc("b/"), *loc("c/"), *dated),
+        *url("<loc></loc>", *dated), *url(*loc("d/"), "<lastmod>soon</lastmod>"),
+        "<url>", *loc("e/"), "<lastmo",
+    )
+    return o.withColumn("xml", F.when(F.col("doc_id") % 5 == 0, F.lit("<html>moved")).otherwise(xml))

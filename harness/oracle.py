@@ -155,10 +155,10 @@ ORACLE["word_match"] = """SELECT doc_id,
   CASE WHEN regexp_matches(lower(text), '\\bthe\\b') THEN 1 ELSE 0 END AS has_the
   FROM documents"""
 ORACLE["keyword_filter"] = f"""SELECT lang, COUNT(*) AS documents FROM documents
-  WHERE {_any('text', DOCUMENT_KEYWORDS).replace('ILIKE', 'LIKE')} GROUP BY lang"""
+  WHERE {_any('text', DOCUMENT_KEYWORDS)} GROUP BY lang"""
 ORACLE["document_rule"] = f"""SELECT doc_id, {_relevance('t')} AS is_relevant,
   {_rule('t', DOCUMENT_RULE)} AS is_mixed, {_flags('t')}
-  FROM (SELECT doc_id, lower(text) AS t FROM documents)"""
+  FROM (SELECT doc_id, lower(concat_ws(' ', text, {_headline('doc_id')})) AS t FROM documents)"""
 
 ORACLE["daily_counts"] = f"WITH {_STG} {_counts('stg')}"
 ORACLE["daily_mart"] = f"WITH {_STG_DAILY} SELECT * FROM daily"
@@ -172,7 +172,23 @@ ORACLE["audit_mart"] = f"""WITH {_STG} SELECT published_date, source, category,
   title_cleaned, {_flags('title_cleaned')} FROM stg WHERE is_relevant = 1
   ORDER BY published_date DESC, link"""
 
-ORACLE["mart_build"] = ORACLE["monthly_mart"]
+_NUMBERS = f"total_articles, {', '.join(f'idx_{c}' for c in COMPONENTS)}, total_index, CAST(NULL AS VARCHAR) AS link"
+_FLAG_NUMBERS = ", ".join(f"CAST(is_{r.name} AS DOUBLE)" for r in RISK_RULES)
+
+
+def _marts(staged: str, daily: str) -> str:
+    return f"""SELECT 'daily' AS mart, CAST(published_date AS VARCHAR) AS key, {_NUMBERS} FROM {daily}
+  UNION ALL SELECT 'weekly', CAST(week_start AS VARCHAR), {_NUMBERS} FROM ({_rollup('week')})
+  UNION ALL SELECT 'monthly', CAST(month_start AS VARCHAR), {_NUMBERS} FROM ({_rollup('month')})
+  UNION ALL SELECT 'audit', CAST(published_date AS VARCHAR), CAST(1 AS BIGINT), {_FLAG_NUMBERS},
+    CAST(NULL AS DOUBLE), link FROM (SELECT *, {_flags('title_cleaned')} FROM {staged} WHERE is_relevant = 1)"""
+
+
+ORACLE["mart_build"] = f"WITH {_STG_DAILY} {_marts('stg', 'daily')}"
+ORACLE["mart_build_incremental"] = f"""WITH {RAW}, grown AS (
+    SELECT * REPLACE (CASE WHEN published_date >= DATE '1998-01-01' THEN 'new/' || link ELSE link END AS link)
+    FROM raw_news),
+  {_staging('grown')}, {_daily()} {_marts('stg', 'daily')}"""
 ORACLE["staging_view"] = f"""WITH {_STG} SELECT category, COUNT(*) AS articles,
   CAST(SUM(is_relevant) AS BIGINT) AS relevant FROM stg GROUP BY category"""
 
@@ -218,6 +234,15 @@ ORACLE["export_snapshot"] = f"""WITH {_EXPORT}
   SELECT strftime(t.published_date, '%Y-%m-%d'), t.total_articles, {_TCOUNTS}, {_PLAIN}
   FROM target t LEFT JOIN daily d USING (published_date)
   WHERE d.published_date IS NULL OR t.total_articles = d.total_articles"""
+ORACLE["export_rows_addressed"] = f"""WITH {_EXPORT},
+  first AS (SELECT published_date, total_articles, date_diff('day', DATE '1992-01-01', published_date) * 2 AS sheet_row FROM target),
+  sheet AS (SELECT * FROM first UNION ALL SELECT published_date, 7, sheet_row + 1 FROM first WHERE sheet_row % 3 = 0),
+  last AS (SELECT published_date, arg_max(total_articles, sheet_row) AS total_articles, CAST(max(sheet_row) AS BIGINT) AS target_row
+           FROM sheet GROUP BY 1)
+  SELECT strftime(d.published_date, '%Y-%m-%d') AS published_date, d.total_articles, t.target_row,
+    CASE WHEN t.published_date IS NULL THEN 'append'
+         WHEN t.total_articles <> d.total_articles THEN 'update' ELSE 'skip' END AS action
+  FROM daily d LEFT JOIN last t USING (published_date)"""
 ORACLE["stringify_dates"] = f"""WITH {_STG_DAILY}, weekly AS ({_rollup('week')})
   SELECT * REPLACE (strftime(week_start, '%Y-%m-%d') AS week_start,
     strftime(first_day_in_week, '%Y-%m-%d') AS first_day_in_week,
@@ -242,6 +267,16 @@ ORACLE["landing_overwrite"] = f"""WITH {EVENTS}, kept AS (
   SELECT {_FIELDS} FROM kept
   UNION ALL SELECT {_FIELDS} FROM event_articles
   WHERE published_date NOT IN (SELECT published_date FROM kept)"""
+ORACLE["landing_round_trip"] = f"""WITH {EVENTS} SELECT 'all' AS scope, {_FIELDS} FROM event_articles
+  UNION ALL SELECT 'day', {_FIELDS} FROM event_articles
+  WHERE published_date = (SELECT MIN(published_date) FROM event_articles)"""
+ORACLE["stamp_files"] = f"""WITH f AS (SELECT CAST(o_orderkey AS VARCHAR) AS link, o_orderkey % 3 AS k,
+    strftime(o_orderdate, '%Y-%m-%d') AS d FROM orders)
+  SELECT link, CASE WHEN k = 2 THEN DATE '{FETCHED}' - 1 ELSE CAST(d AS DATE) END AS published_date,
+    CASE k WHEN 0 THEN d || '|/in/scrape_' || d || '.json'
+           WHEN 1 THEN 'part-0.json|/in/published_date=' || d || '/part-0.json'
+           ELSE 'part-0.json|/in/part-0.json' END AS load_key FROM f"""
+ORACLE["bronze_catalog"] = f"WITH {EVENTS} SELECT {_RAW_COLUMNS} FROM event_articles"
 ORACLE["bronze_append"] = f"""WITH {EVENTS} SELECT title, link, CAST(NULL AS VARCHAR) AS category,
   date_text, source, ingest_seq, published_date FROM event_articles"""
 
@@ -266,9 +301,10 @@ ORACLE["parse_relative_date"] = f"""SELECT o_orderkey,
     WHEN '2-HIGH' THEN DATE '{FETCHED}' - 1
     WHEN '3-MEDIUM' THEN CAST(o_orderdate AS DATE)
     WHEN '4-NOT SPECIFIED' THEN CAST(o_orderdate AS DATE)
+    ELSE CASE WHEN o_orderkey % 2 = 0 THEN CAST(o_orderdate AS DATE) END
   END AS parsed FROM orders"""
 ORACLE["parse_long_date"] = (
-    "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS parsed FROM orders"
+    "SELECT o_orderkey, CASE WHEN o_orderkey % 4 < 2 THEN CAST(o_orderdate AS DATE) END AS parsed FROM orders"
 )
 ORACLE["parse_iso_date"] = """SELECT event_id,
   CASE WHEN event_type <> 'purchase' THEN CAST(ts AS DATE) END AS parsed FROM events"""
@@ -359,6 +395,12 @@ ORACLE["extract_sitemap"] = """
     category, d AS date_text FROM o
   UNION ALL
   SELECT k, 'Judul ' || k || ' & lain', 'https://news.example/' || k, category, d FROM o"""
+ORACLE["sitemap_rejects"] = """WITH o AS (SELECT o_orderkey AS k FROM orders),
+  whole AS (SELECT k FROM o WHERE k % 5 <> 0)
+  SELECT k AS doc_id, 'article' AS outcome, 'https://n.example/a?x=1&y=' || k AS link FROM whole
+  UNION ALL SELECT k, 'article', 'https://n.example/b/' || k FROM whole
+  UNION ALL SELECT k, unnest(['missing_link', 'bad_date', 'unreadable_entry']), NULL FROM whole
+  UNION ALL SELECT k, 'unreadable_document', NULL FROM o WHERE k % 5 = 0"""
 ORACLE["prefix_cut"] = """
   SELECT o_custkey, o_orderkey, CAST(o_orderdate AS DATE) AS article_date
   FROM (SELECT *, MAX(CASE WHEN o_orderdate < DATE '1996-01-01' THEN 1 ELSE 0 END)

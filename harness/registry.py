@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -41,8 +42,8 @@ from newsrisk.plans.publish import build_marts, staging_view
 from newsrisk.plans.staging import clean, staging
 from newsrisk.schema import ARTICLE_COLUMNS, COUNT_COLUMNS, INDEX_COLUMNS
 from newsrisk.session import scratch_path, spread
-from newsrisk.sources.articles import read_articles, write_landing
-from newsrisk.sources.bronze import append, ingest, read_bronze, unseen
+from newsrisk.sources.articles import read_articles, read_day, stamp_batch, write_landing
+from newsrisk.sources.bronze import append, create_bronze, ingest, read_bronze, unseen
 from newsrisk.sources.listing import (
     ListingLayout,
     accepted,
@@ -50,7 +51,7 @@ from newsrisk.sources.listing import (
     parse_listing,
     rejects,
 )
-from newsrisk.sources.sitemap import sitemap_articles, sitemap_urls
+from newsrisk.sources.sitemap import sitemap_articles, sitemap_rejects, sitemap_urls
 from newsrisk.streaming.ingest import start_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -145,13 +146,13 @@ def q_word_match(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("keyword_filter")
 def q_keyword_filter(spark: SparkSession, sf: str) -> DataFrame:
-    docs = A.table(spark, sf, "documents").where(any_keyword("text", DOCUMENT_KEYWORDS))
-    return docs.groupBy("lang").agg(F.count(F.lit(1)).alias("documents"))
+    docs = A.table(spark, sf, "documents").withColumn("t", F.lower("text"))
+    return docs.where(any_keyword("t", DOCUMENT_KEYWORDS)).groupBy("lang").agg(F.count(F.lit(1)).alias("documents"))
 
 
 @query("document_rule")
 def q_document_rule(spark: SparkSession, sf: str) -> DataFrame:
-    text = F.coalesce(F.lower("text"), F.lit(""))
+    text = F.lower(F.concat_ws(" ", "text", A.headline("doc_id")))
     docs = spread(A.table(spark, sf, "documents")).withColumn("t", text)
     return docs.select(
         "doc_id",
@@ -190,7 +191,7 @@ def q_monthly(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("weekly_from_percentages")
 def q_weekly_from_percentages(spark: SparkSession, sf: str) -> DataFrame:
-    return weekly_mart(_daily(spark, sf).drop(*COUNT_COLUMNS)).orderBy("week_start")
+    return weekly_mart(recover_counts(_daily(spark, sf).drop(*COUNT_COLUMNS))).orderBy("week_start")
 
 
 @query("recovered_counts")
@@ -252,10 +253,41 @@ def q_mart_watermark(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("mart_build")
 def q_mart_build(spark: SparkSession, sf: str) -> DataFrame:
-    """All tables built and stored; the monthly one read back."""
+    """All tables built and stored, and all of them read back."""
     root = scratch_path(spark, "marts")
     build_marts(spark, A.raw_news(spark, sf), root)
-    return spark.read.parquet(f"{root}/monthly")
+    return _stored_marts(spark, root)
+
+
+def _stored_marts(spark: SparkSession, root: str) -> DataFrame:
+    daily = inc.read_daily(spark, f"{root}/daily")
+    part = lambda name, df, key, what: df.select(
+        F.lit(name).alias("mart"), F.col(key).cast("string").alias("key"), *what
+    )
+    numbers = [F.col("total_articles"), *[F.col(c) for c in (*INDEX_COLUMNS, "total_index")], F.lit(None).cast("string").alias("link")]
+    flags = [F.lit(1).cast("long"), *[F.col(f"is_{r.name}").cast("double") for r in RISK_RULES], F.lit(None).cast("double"), F.col("link")]
+    tables = [part("daily", daily, "published_date", numbers)]
+    for period in ("week", "month"):
+        mart = spark.read.parquet(f"{root}/{period}ly")
+        tables.append(part(f"{period}ly", mart, f"{period}_start", numbers))
+    tables.append(part("audit", spark.read.parquet(f"{root}/audit"), "published_date", flags))
+    out = tables[0]
+    for t in tables[1:]:
+        out = out.union(t)
+    return out
+
+
+@query("mart_build_incremental")
+def q_mart_build_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """History built first, then all of bronze incrementally: the tables of a full build, as
+    no article arrives for an older date."""
+    root, bronze = scratch_path(spark, "marts"), A.raw_news(spark, sf)
+    recent = bronze.where(F.col("published_date") >= F.lit("1998-01-01").cast("date"))
+    fresh = recent.withColumn("link", F.concat(F.lit("new/"), "link"))
+    older = bronze.where(F.col("published_date") < F.lit("1998-01-01").cast("date"))
+    build_marts(spark, older, root)
+    build_marts(spark, older.unionByName(fresh), root, incremental=True)
+    return _stored_marts(spark, root)
 
 
 # ---- export ----------------------------------------------------------------------------
@@ -284,6 +316,20 @@ def q_export_snapshot(spark: SparkSession, sf: str) -> DataFrame:
     return apply_upsert(_daily(spark, sf), target, export_spec("daily"))
 
 
+@query("export_rows_addressed")
+def q_export_rows_addressed(spark: SparkSession, sf: str) -> DataFrame:
+    """A target with row numbers that lists some days twice: the last row is the one to update."""
+    earlier = _delivered_earlier(spark, sf)
+    day = F.datediff(F.col("published_date").cast("date"), F.lit("1992-01-01").cast("date"))
+    first = earlier.withColumn("sheet_row", day * 2)
+    again = first.where(F.pmod("sheet_row", F.lit(3)) == 0).withColumns(
+        {"sheet_row": F.col("sheet_row") + 1, "total_articles": F.lit("7")}
+    )
+    spec = replace(export_spec("daily"), row_column="sheet_row")
+    plan = plan_upsert(_daily(spark, sf), first.unionByName(again), spec)
+    return plan.select("published_date", "total_articles", F.col("target_row").cast("bigint"), "action")
+
+
 @query("stringify_dates")
 def q_stringified_dates(spark: SparkSession, sf: str) -> DataFrame:
     return stringify_dates(weekly_mart(_daily(spark, sf)))
@@ -321,7 +367,7 @@ def q_ingest_articles(spark: SparkSession, sf: str) -> DataFrame:
     """Files written per day, read back, loaded twice: the second load adds nothing."""
     landing, bronze = scratch_path(spark, "landing"), scratch_path(spark, "bronze")
     write_landing(A.event_articles(spark, sf), landing)
-    batch = read_articles(spark, landing, as_of=A.FETCHED, multi_line=False)
+    batch = read_articles(spark, landing, as_of=A.FETCHED)
     ingest(spark, batch, bronze)
     ingest(spark, batch, bronze)
     return read_bronze(spark, bronze).drop("ingest_seq")
@@ -334,11 +380,48 @@ def q_landing_overwrite(spark: SparkSession, sf: str) -> DataFrame:
     news = A.event_articles(spark, sf)
     write_landing(news, landing)
     write_landing(news, landing, order="ingest_seq")
-    return read_articles(spark, landing, as_of=A.FETCHED, multi_line=False).select(
+    return read_articles(spark, landing, as_of=A.FETCHED).select(
         *ARTICLE_COLUMNS, "published_date"
     )
 
 
+@query("landing_round_trip")
+def q_landing_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """Files written per day and read with the defaults: all days, and the first day alone."""
+    landing, news = scratch_path(spark, "landing"), A.event_articles(spark, sf)
+    write_landing(news, landing)
+    first = news.agg(F.min("published_date")).first()[0]
+    every = read_articles(spark, landing, as_of=A.FETCHED).withColumn("scope", F.lit("all"))
+    day = read_day(spark, landing, first).withColumn("scope", F.lit("day"))
+    return every.unionByName(day).select("scope", *ARTICLE_COLUMNS, "published_date")
+
+
+@query("stamp_files")
+def q_stamp_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Dates from file names, from folders, and neither; files in the order they load."""
+    o = A.table(spark, sf, "orders")
+    day, k = F.date_format(F.col("o_orderdate").cast("date"), "yyyy-MM-dd"), F.col("o_orderkey") % 3
+    name = F.when(k == 0, F.concat(F.lit("scrape_"), day, F.lit(".json"))).otherwise(F.lit("part-0.json"))
+    folder = F.when(k == 1, F.concat(F.lit("/in/published_date="), day, F.lit("/"))).otherwise(F.lit("/in/"))
+    files = o.select(
+        *[F.col("o_orderkey").cast("string").alias(c) for c in ARTICLE_COLUMNS],
+        name.alias("file_name"),
+        F.concat(folder, name).alias("file_path"),
+    )
+    return stamp_batch(files, A.FETCHED).select("link", "published_date", "load_key")
+
+
+@query("bronze_catalog")
+def q_bronze_catalog(spark: SparkSession, sf: str) -> DataFrame:
+    """Bronze as a partitioned catalog table, loaded through its location."""
+    path = scratch_path(spark, "bronze")
+    name = f"raw_news_{path.rsplit('-', 1)[1]}"
+    create_bronze(spark, name, path)
+    append(A.event_articles(spark, sf), path)
+    spark.sql(f"MSCK REPAIR TABLE {name}")
+    return spark.table(name)
+
+
 @query("bronze_append")
 def q_bronze_append(spark: SparkSession, sf: str) -> DataFrame:
     """Append by name: a batch without a column gets NULLs there."""
@@ -355,7 +438,7 @@ def q_stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     write_landing(A.event_articles(spark, sf), landing)
     for _ in range(2):
         start_ingest(
-            spark, landing, bronze, checkpoint, as_of=A.FETCHED, multi_line=False
+            spark, landing, bronze, checkpoint, as_of=A.FETCHED
         ).awaitTermination()
     return read_bronze(spark, bronze).drop("ingest_seq")
 
@@ -382,6 +465,7 @@ def q_parse_relative_date(spark: SparkSession, sf: str) -> DataFrame:
         .when(F.col("o_orderpriority") == "2-HIGH", F.lit(" Kemarin 15:37"))
         .when(F.col("o_orderpriority") == "3-MEDIUM", A.indonesian_date(day))
         .when(F.col("o_orderpriority") == "4-NOT SPECIFIED", day.cast("string"))
+        .when(key % 2 == 0, F.translate(F.concat(A.indonesian_date(day), F.lit(" pagi")), " ", "\xa0"))
         .otherwise(F.concat(F.lit("31 "), F.date_format(day, "MMMM"), F.lit(" 1999")))
     )
     return o.select(key, relative_date(text, F.lit(A.FETCHED)).alias("parsed"))
@@ -395,6 +479,10 @@ def q_parse_long_date(spark: SparkSession, sf: str) -> DataFrame:
         A.indonesian_date(F.col("o_orderdate").cast("date")),
         F.lit(" 10:37 WIB"),
     )
+    k = F.col("o_orderkey") % 4
+    text = F.when(k == 1, F.translate(text, " ", "\u2003")).when(
+        k == 2, F.regexp_replace(text, r"(\d{4}) 10", "$10 10")
+    ).when(k == 3, F.regexp_replace(text, r", \d+ [A-Za-z]+ ", ", 31 Februari ")).otherwise(text)
     return o.select("o_orderkey", long_date(text).alias("parsed"))
 
 
@@ -487,6 +575,18 @@ def q_extract_sitemap(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("sitemap_rejects")
+def q_sitemap_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Every entry of broken sitemaps: an article, one of another date, or a reject."""
+    urls = sitemap_urls(A.broken_sitemaps(spark, sf), "xml")
+    articles = sitemap_articles(urls, F.col("target_date")).select(
+        "doc_id", F.lit("article").alias("outcome"), "link"
+    )
+    return articles.unionByName(
+        sitemap_rejects(urls).select("doc_id", F.col("reason").alias("outcome"), F.lit(None).cast("string").alias("link"))
+    )
+
+
 @query("prefix_cut")
 def q_newest_first_cut(spark: SparkSession, sf: str) -> DataFrame:
     """Orders of a customer read like a page, in key order, until the first before 1996."""

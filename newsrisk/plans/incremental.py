@@ -106,7 +106,17 @@ def refresh_watermark(spark: SparkSession, bronze: DataFrame, path: str) -> None
 
     Older dates are never touched, even when late articles arrive for them.
     """
-    fresh = since(bronze, watermark(read_daily(spark, path))).persist()
+    _replace_from(spark, since(bronze, watermark(read_daily(spark, path))), path)
+
+
+def refresh_watermark_from(spark: SparkSession, staged: DataFrame, path: str) -> None:
+    """The same from silver that exists already: only its dates from the latest stored one on."""
+    recent = staged.where(F.col("published_date") >= F.lit(watermark(read_daily(spark, path))))
+    _replace_from(spark, daily_mart(recent), path)
+
+
+def _replace_from(spark: SparkSession, daily: DataFrame, path: str) -> None:
+    fresh = daily.persist()
     try:
         replace_dates(spark, path, fresh, fresh.select("published_date"))
     finally:
@@ -116,24 +126,35 @@ def refresh_watermark(spark: SparkSession, bronze: DataFrame, path: str) -> None
 def affected_dates(batch: DataFrame, bronze: DataFrame) -> DataFrame:
     """Dates whose mart row can change through ``batch`` (already part of ``bronze``).
 
-    These are the dates of the batch and every date on which one of its links was seen
-    before, since a link counts only on its latest date.
+    A link counts only on its latest date, so for each link of the batch these are its latest
+    date now and its latest date before, which the batch may have taken it away from; and the
+    dates of the batch, whose rows may be new.
     """
+    key = ["link", "published_date"]
     links = batch.select("link").distinct()
-    sightings = bronze.select("link", "published_date")
-    touched = join_one_per_key(sightings, links, ["link"], "left_semi")
-    return touched.select("published_date").distinct()
+    sightings = join_one_per_key(bronze.select(*key), links, ["link"], "left_semi")
+    before = join_one_per_key(sightings, batch.select(*key).distinct(), key, "left_anti")
+    last = before.groupBy("link").agg(F.max("published_date").alias("published_date"))
+    now = sightings.groupBy("link").agg(F.max("published_date").alias("published_date"))
+    dates = [d.select("published_date") for d in (last, now, batch)]
+    return dates[0].union(dates[1]).union(dates[2]).distinct()
 
 
 def recompute(bronze: DataFrame, dates: DataFrame) -> DataFrame:
     """Daily rows of exactly ``dates`` (one column ``published_date``).
 
-    Bronze before the earliest of them cannot matter (see :func:`since`) and is not read.
+    Only links seen on one of the dates can count there, so only their sightings are
+    deduplicated; and none before the earliest date, which cannot matter (see :func:`since`).
+    The dates are collected, there are as many as the calendar has days: they are partition
+    filters of the first scan.
     """
-    first = dates.agg(F.min("published_date")).first()[0]
-    if first is None:
+    days = sorted(r[0] for r in dates.distinct().collect())
+    if not days:
         return daily_mart(staging(bronze.where(F.lit(False))))
-    return since(bronze, first).join(dates, "published_date", "left_semi")
+    links = bronze.where(F.col("published_date").isin(days)).select("link").distinct()
+    recent = bronze.where(F.col("published_date") >= F.lit(days[0]))
+    touched = join_one_per_key(recent, links, ["link"], "left_semi")
+    return daily_mart(staging(touched).where(F.col("published_date").isin(days)))
 
 
 def refresh_affected(

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from newsrisk.plans.incremental import (
     full_refresh_from,
     read_daily,
-    refresh_watermark,
+    refresh_watermark_from,
 )
 from newsrisk.plans.marts import audit_mart, monthly_mart, weekly_mart
 from newsrisk.plans.staging import staging
@@ -43,8 +43,7 @@ def build_marts(
 ) -> None:
     """Silver, daily, audit, weekly and monthly tables below ``root``.
 
-    Silver is stored once and read by both marts that need it, instead of being computed for
-    each.  Weekly and monthly read the small daily mart.  ``incremental`` refreshes the daily
+    Silver is stored once and read by all that need it, instead of being computed for each.  Weekly and monthly read the small daily mart.  ``incremental`` refreshes the daily
     mart from its latest date on and leaves older dates alone.
     """
     silver = f"{root}/stg_news"
@@ -52,7 +51,7 @@ def build_marts(
     staged = spark.read.parquet(silver)
     daily_path = f"{root}/daily"
     if incremental:
-        refresh_watermark(spark, bronze, daily_path)
+        refresh_watermark_from(spark, staged, daily_path)
     else:
         full_refresh_from(staged, daily_path)
     write_audit(audit_mart(staged), f"{root}/audit")
