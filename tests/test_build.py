@@ -1,6 +1,8 @@
 import json
 import os
 
+import pytest
+
 from newsrisk.__main__ import main
 from newsrisk.functions.lexicon import COMPONENTS
 
@@ -42,3 +44,34 @@ def test_load_build_and_export_steps(spark, tmp_path):
     assert month.total_articles == 2 and month[f"idx_{COMPONENTS[0]}"] == 50.0
     plan = {r.published_date: r.action for r in spark.read.parquet(str(tmp_path / "plan")).collect()}
     assert plan == {"2025-06-15": "update", "2025-06-16": "append"}
+
+
+def test_pages_to_marts_through_the_steps(spark, tmp_path):
+    landing, refused, bronze, marts = (str(tmp_path / n) for n in ("landing", "rejects", "bronze", "marts"))
+    post = (
+        "<div class='row x'><h2 class='post_title'><a href='{}'>{}</a></h2>"
+        "<span class='text-secondary'> {}</span></div>"
+    )
+    html = post.format("https://n/1", WAR, "Kemarin 15:37") + post.format("https://n/2", CALM, "entah")
+    spark.createDataFrame(
+        [("antara", "c", "post_rows", html), ("antara", "c", "no_such", "x")],
+        "source string, category string, layout string, html string",
+    ).write.parquet(str(tmp_path / "pages"))
+    xml = (
+        "<urlset><url><loc>https://n/konflik-gaza-1</loc><lastmod>2025-06-15</lastmod></url>"
+        "<url><loc>https://n/1</loc><lastmod>2025-06-15</lastmod></url><url><loc></loc></url>"
+    )
+    spark.createDataFrame([("tempo", "c", xml)], "source string, category string, xml string").write.parquet(
+        str(tmp_path / "maps")
+    )
+    main(["extract", "--pages", str(tmp_path / "pages"), "--sitemaps", str(tmp_path / "maps"), "--date", "2025-06-15",
+          "--as-of", "2025-06-16", "--landing", landing, "--rejects", refused])
+    reasons = sorted((r.origin, r.reason) for r in spark.read.parquet(refused).collect())
+    assert reasons == [("page", "bad_date"), ("page", "unknown_layout"), ("sitemap", "missing_link")]
+    main(["load", "--landing", landing, "--bronze", bronze, "--as-of", "2025-06-16"])
+    main(["build", "--bronze", bronze, "--marts", marts])
+    rows = {r.link: r.source for r in spark.read.parquet(bronze).collect()}
+    assert rows == {"https://n/1": "tempo", "https://n/konflik-gaza-1": "tempo"}  # the last occurrence
+    main(["check", "--bronze", bronze])
+    with pytest.raises(SystemExit):
+        main(["check", "--bronze", bronze, "--marts", marts])  # the only day has no relevant article
