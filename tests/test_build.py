@@ -54,14 +54,14 @@ def test_pages_to_marts_through_the_steps(spark, tmp_path):
     )
     html = post.format("https://n/1", WAR, "Kemarin 15:37") + post.format("https://n/2", CALM, "entah")
     spark.createDataFrame(
-        [("antara", "c", "post_rows", html), ("antara", "c", "no_such", "x")],
+        [("wire", "c", "post_rows", html), ("wire", "c", "no_such", "x")],
         "source string, category string, layout string, html string",
     ).write.parquet(str(tmp_path / "pages"))
     xml = (
         "<urlset><url><loc>https://n/konflik-gaza-1</loc><lastmod>2025-06-15</lastmod></url>"
         "<url><loc>https://n/1</loc><lastmod>2025-06-15</lastmod></url><url><loc></loc></url>"
     )
-    spark.createDataFrame([("tempo", "c", xml)], "source string, category string, xml string").write.parquet(
+    spark.createDataFrame([("maps", "c", xml)], "source string, category string, xml string").write.parquet(
         str(tmp_path / "maps")
     )
     main(["extract", "--pages", str(tmp_path / "pages"), "--sitemaps", str(tmp_path / "maps"), "--date", "2025-06-15",
@@ -71,7 +71,7 @@ def test_pages_to_marts_through_the_steps(spark, tmp_path):
     main(["load", "--landing", landing, "--bronze", bronze, "--as-of", "2025-06-16"])
     main(["build", "--bronze", bronze, "--marts", marts])
     rows = {r.link: r.source for r in spark.read.parquet(bronze).collect()}
-    assert rows == {"https://n/1": "tempo", "https://n/konflik-gaza-1": "tempo"}  # the last occurrence
+    assert rows == {"https://n/1": "maps", "https://n/konflik-gaza-1": "maps"}  # the last occurrence
     main(["check", "--bronze", bronze])
     with pytest.raises(SystemExit):
         main(["check", "--bronze", bronze, "--marts", marts])  # the only day has no relevant article
