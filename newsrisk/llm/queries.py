@@ -20,6 +20,7 @@ from newsrisk.llm import (
     toxicity,
 )
 from newsrisk.llm.common import documents, labels
+from newsrisk.llm.oracle import ORACLE
 
 
 def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
@@ -84,4 +85,4 @@ QUERIES = {
     "op10_repeated_bytes": op10_repeated_bytes,
 }
 
-ORACLE = {"op5_mixing": mixing.MIX_SQL, "op8_licences": licences.scan_sql()}
+__all__ = ["ORACLE", "QUERIES"]
