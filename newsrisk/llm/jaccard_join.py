@@ -45,6 +45,8 @@ BLOCK = 100_000
 SALTS = 64
 #: Rows of a few numbers that are broadcast at most; above, the join shuffles both sides.
 SHORT = 200_000
+#: Sets that are compared with one hub in one place.
+MEETINGS = 1_000
 HEAVY = np.uint64(1 << 63)
 
 
@@ -185,57 +187,87 @@ def can_link(n, at, m, there):
     return (100 * F.least(n, m) >= PERCENT * F.greatest(n, m)) & ((100 + PERCENT) * rest >= PERCENT * (n + m))
 
 
+def meeting_places(pairs: DataFrame) -> DataFrame:
+    """(node, to, salts): where each set of the pairs has to go.
+
+    Of a pair, the set in more pairs is the hub and stays; the other goes ``to`` it.  So no
+    set has to go to more places than the square root of twice the number of pairs, and a
+    hub of very many pairs is dealt over ``salts`` places.
+    """
+    degree = pairs.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("degree"))
+    degree = stored(degree, "degree")
+    for end in ("a", "b"):
+        pairs = lookup(pairs, degree.select(F.col("node").alias(end), F.col("degree").alias(f"of_{end}")), [end])
+    first = F.struct("of_a", "a") > F.struct("of_b", "b")
+    pairs = pairs.select(
+        F.when(first, F.col("a")).otherwise(F.col("b")).alias("hub"),
+        F.when(first, F.col("b")).otherwise(F.col("a")).alias("node"),
+        F.ceil(F.greatest("of_a", "of_b") / MEETINGS).cast("int").alias("salts"),
+    )
+    place = F.struct("hub", F.pmod(F.xxhash64("node"), F.col("salts")).cast("int").alias("salt"))
+    goes = pairs.groupBy("node").agg(F.collect_list(place).alias("to"))
+    stays = pairs.groupBy(F.col("hub").alias("node")).agg(F.max("salts").alias("salts"))
+    return goes.join(stays, "node", "full_outer")
+
+
 def overlaps(pairs: DataFrame, rows: DataFrame, texts_of: DataFrame) -> DataFrame:
-    """(a, b, n, m, common) for pairs of nodes, from their whole sets.
+    """(a, b, n, m, common) for the stored pairs of nodes, from their whole sets.
 
-    ``texts_of`` (node, rkey) names a document for each node.
+    ``texts_of`` (node, rkey) names a document for each node.  A pair's nodes come out in
+    either order.
     """
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    needed = stored(join_one_per_key(needed, texts_of, ["node"], "left").select("rkey"), "needed")
+    needed = join_one_per_key(meeting_places(pairs), texts_of, ["node"], "left")
+    needed = stored(needed.select("rkey", "to", "salts"), "needed")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for texts in batches_of(batch):
-                found = [shingles(t) for t in texts]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([set_id(s) for s in found], pa.int64()),
-                        pa.array([s.tobytes() for s in found], pa.binary()),
-                    ],
-                    names=["node", "members"],
-                )
+            out = []
+            for text, to, salts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                found = shingles(text)
+                node, members = set_id(found), found.tobytes()
+                out += [(node, salt, None, members) for salt in range(salts or 0)]
+                out += [(place["hub"], place["salt"], node, members) for place in to or ()]
+                if len(out) > 5_000:
+                    yield as_rows(out, SENT)
+                    out = []
+            yield as_rows(out, SENT)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, mine = None, None
+        hub = mine = None
         for batch in batches:
             out = []
-            for a, b, left, right in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if a != last:
-                    last, mine = a, np.frombuffer(left, np.uint64)
-                other = np.frombuffer(right, np.uint64)
+            for a, _, b, members in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                other = np.frombuffer(members, np.uint64)
+                if b is None:
+                    hub, mine = a, other
+                    continue
+                assert hub == a
                 at = np.minimum(np.searchsorted(mine, other), len(mine) - 1)
                 out.append((a, b, len(mine), len(other), int(np.count_nonzero(mine[at] == other))))
-            columns = zip(*out, strict=True) if out else ((), (), (), (), ())
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=["a", "b", "n", "m", "common"]
-            )
+            yield as_rows(out, COMPARED)
+
+    texts = rows.select("rkey", "text")
+    if pairs.count() <= SHORT:
+        texts = texts.join(F.broadcast(needed), "rkey")
+    else:
+        texts = texts.join(needed, "rkey")
+    sent = texts.select("text", "to", "salts").mapInArrow(sets, SENT)
+    met = sent.repartition("hub", "salt").sortWithinPartitions("hub", "salt", F.col("other").asc_nulls_first())
+    return stored(met.mapInArrow(compare, COMPARED).dropDuplicates(["a", "b"]), "overlaps")
 
-    texts = semi(rows.select("rkey", "text"), needed, "rkey")
-    found = texts.select("text").mapInArrow(sets, "node long, members binary")
-    found = stored(found.dropDuplicates(["node"]), "sets")
-    left = found.select(F.col("node").alias("a"), F.col("members").alias("left"))
-    right = found.select(F.col("node").alias("b"), F.col("members").alias("right"))
-    joined = pairs.select("a", "b").join(right, "b").join(left, "a").select("a", "b", "left", "right")
-    found = joined.mapInArrow(compare, "a long, b long, n int, m int, common int")
-    return stored(found.dropDuplicates(["a", "b"]), "overlaps")
 
+SENT = "hub long, salt int, other long, members binary"
+COMPARED = "a long, b long, n int, m int, common int"
+ARROW = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
 
-def semi(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
-    """``rows`` whose ``key`` is in the stored table ``wanted``, which is broadcast if it is short."""
-    if wanted.count() <= SHORT:
-        return rows.join(F.broadcast(wanted), key, "left_semi")
-    return join_one_per_key(rows, wanted.distinct(), [key], "left_semi")
+
+def as_rows(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    fields = [f.split() for f in schema.split(", ")]
+    columns = zip(*rows, strict=True) if rows else [()] * len(fields)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(list(c), ARROW[kind]) for c, (_, kind) in zip(columns, fields, strict=True)],
+        names=[name for name, _ in fields],
+    )
 
 
 def lookup(rows: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
@@ -357,7 +389,8 @@ def blocks(lists: DataFrame, roots: DataFrame, answers: DataFrame) -> DataFrame:
     placed = stored(placed, "mixed")
     long = placed.groupBy("top").agg(F.count("*").alias("size")).where(F.col("size") > BLOCK)
     placed = lookup(placed, stored(long, "long"), ["top"])
-    known = answers.select(F.col("a").alias("leader"), F.col("b").alias("node"), "common")
+    ways = F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))
+    known = answers.select(ways.alias("w"), "common").select("w.a", "w.b", "common").toDF("leader", "node", "common")
     common = F.when(F.col("node") == F.col("leader"), F.col("n")).otherwise(F.coalesce("common", F.lit(-1)))
     return (
         lookup(placed, known, ["leader", "node"])
@@ -383,7 +416,7 @@ def linked_sets(rows: DataFrame, seen: DataFrame) -> DataFrame:
     links = answers.where(linked()).select("a", "b")
     cross = cross_pairs(blocks(lists, components(links), answers))
     cross = stored(cross.groupBy("a", "b").agg(F.max("sure").alias("sure")), "cross")
-    compared = overlaps(cross.where("NOT sure"), rows, texts_of).where(linked()).select("a", "b")
+    compared = overlaps(stored(cross.where("NOT sure").select("a", "b"), "unsure"), rows, texts_of).where(linked()).select("a", "b")
     return components(links.union(cross.where("sure").select("a", "b")).union(compared))
 
 

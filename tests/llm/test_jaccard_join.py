@@ -63,6 +63,8 @@ def corpus(seed: int) -> list[tuple]:
 def test_join_matches_brute_force(docs, seed, monkeypatch):
     if seed == 2:  # long lists: a grid of blocks, many frequent shingles
         monkeypatch.setattr(J, "BLOCK", 4)
+        monkeypatch.setattr(J, "MEETINGS", 2)
+        monkeypatch.setattr(J, "SHORT", 0)
         monkeypatch.setattr(J, "NOTED", 2)
     rows = corpus(seed)
     got = sorted(map(tuple, J.join(docs(rows)).collect()), key=str)
