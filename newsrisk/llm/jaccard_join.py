@@ -10,8 +10,8 @@ documents hold last (a list of bounded length, found by counting over all docume
 shapes the lists, never the result).  A list of one entry is skipped.
 
 Set relations.  Equal sets are one entry.  In each list the first set leads: the others
-are compared with it only, and sets found linked share their component from then on.  In a
-second pass a list's sets of *different* components are paired: blocks of one component are
+are compared with it only, and sets found linked share their component from then on.  Where
+several components are left, a few further leaders are tried.  In a last pass a list's sets of *different* components are paired: blocks of one component are
 skipped as a whole, sizes and positions rule pairs out, and from the known overlaps with the
 list's leader follow bounds on the overlap of two sets, which decide most pairs without
 looking at them.  The rest are compared exactly.  Copies and near copies thus cost one
@@ -44,7 +44,9 @@ NOTED = 3
 BLOCK = 100_000
 SALTS = 64
 #: Rows of a few numbers that are broadcast at most; above, the join shuffles both sides.
-SHORT = 200_000
+SHORT = 500_000
+#: Further leaders that each list of several components gets.
+LEADERS = 4
 #: Sets that are compared with one hub in one place.
 MEETINGS = 1_000
 HEAVY = np.uint64(1 << 63)
@@ -194,7 +196,8 @@ def meeting_places(pairs: DataFrame) -> DataFrame:
     set has to go to more places than the square root of twice the number of pairs, and a
     hub of very many pairs is dealt over ``salts`` places.
     """
-    degree = pairs.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("degree"))
+    ends = [pairs.groupBy(F.col(end).alias("node")).agg(F.count("*").alias("n")) for end in ("a", "b")]
+    degree = ends[0].union(ends[1]).groupBy("node").agg(F.sum("n").alias("degree"))
     degree = stored(degree, "degree")
     for end in ("a", "b"):
         pairs = lookup(pairs, degree.select(F.col("node").alias(end), F.col("degree").alias(f"of_{end}")), [end])
@@ -378,15 +381,37 @@ def leader_pairs(lists: DataFrame) -> DataFrame:
     return pairs.where("a <> b").select("a", "b").distinct()
 
 
-def blocks(lists: DataFrame, roots: DataFrame, answers: DataFrame) -> DataFrame:
-    """The lists that hold several components, dealt and sorted for ``cross_pairs``."""
+def mixed_lists(lists: DataFrame, roots: DataFrame) -> DataFrame:
+    """The lists that hold several components: their entries with ``root``, the list's ``top``
+    leader and as many ``further`` ones, the earliest entries of as many hash classes."""
     placed = lookup(lists, roots, ["node"])
     placed = stored(placed.withColumn("root", F.coalesce("root", "node")), "placed")
     first = F.min_by("leader", F.struct("leader_at", "leader")).alias("top")
-    ends = placed.groupBy("shingle").agg(first, F.min("root").alias("low"), F.max("root").alias("high"))
-    mixed = ends.where("low <> high").select("shingle", "top")
-    placed = join_one_per_key(placed, mixed, ["shingle"], "left").where("top IS NOT NULL")
-    placed = stored(placed, "mixed")
+    kind = F.pmod(F.xxhash64("node"), F.lit(LEADERS))
+    best = [F.min(F.when(kind == i, F.struct("at", "node", "n", "root"))) for i in range(LEADERS)]
+    ends = placed.groupBy("shingle").agg(
+        first, F.array(*best).alias("further"), F.min("root").alias("low"), F.max("root").alias("high")
+    )
+    mixed = ends.where("low <> high").select("shingle", "top", "further")
+    return stored(join_one_per_key(placed, mixed, ["shingle"], "left").where("top IS NOT NULL"), "mixed")
+
+
+def further_pairs(mixed: DataFrame) -> DataFrame:
+    """(a, b): every entry with the further leaders of its list that are in other components."""
+    pairs = []
+    for i in range(LEADERS):
+        leader = F.col("further")[i]
+        near = can_link(F.col("n"), F.col("at"), leader["n"], leader["at"]) & (leader["root"] != F.col("root"))
+        ends = (F.least(leader["node"], F.col("node")), F.greatest(leader["node"], F.col("node")))
+        pairs.append(mixed.where(near).select(ends[0].alias("a"), ends[1].alias("b")))
+    out = pairs[0]
+    for more in pairs[1:]:
+        out = out.union(more)
+    return out.distinct()
+
+
+def blocks(placed: DataFrame, answers: DataFrame) -> DataFrame:
+    """The entries of ``mixed_lists``, dealt and sorted for ``cross_pairs``."""
     long = placed.groupBy("top").agg(F.count("*").alias("size")).where(F.col("size") > BLOCK)
     placed = lookup(placed, stored(long, "long"), ["top"])
     ways = F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))
@@ -413,11 +438,15 @@ def linked_sets(rows: DataFrame, seen: DataFrame) -> DataFrame:
     texts_of = seen.where("n > 0").groupBy("node").agg(F.min("rkey").alias("rkey"))
     lists = prefix_lists(rows, seen)
     answers = overlaps(stored(leader_pairs(lists), "pairs"), rows, texts_of)
+    mixed = mixed_lists(lists, components(answers.where(linked())))
+    more = overlaps(stored(further_pairs(mixed), "further"), rows, texts_of)
+    answers = stored(answers.union(more).dropDuplicates(["a", "b"]), "answers")
     links = answers.where(linked()).select("a", "b")
-    cross = cross_pairs(blocks(lists, components(links), answers))
+    cross = cross_pairs(blocks(mixed_lists(lists, components(links)), answers))
     cross = stored(cross.groupBy("a", "b").agg(F.max("sure").alias("sure")), "cross")
-    compared = overlaps(stored(cross.where("NOT sure").select("a", "b"), "unsure"), rows, texts_of).where(linked()).select("a", "b")
-    return components(links.union(cross.where("sure").select("a", "b")).union(compared))
+    compared = overlaps(stored(cross.where("NOT sure").select("a", "b"), "unsure"), rows, texts_of)
+    links = links.union(cross.where("sure").select("a", "b")).union(compared.where(linked()).select("a", "b"))
+    return components(links)
 
 
 def members(docs: DataFrame) -> DataFrame:
