@@ -7,12 +7,18 @@ n * P / (200 - P) and n * (200 - P) / P bigrams, and only if as many of its bigr
 any template.  What is left is compared with the templates of fitting size; the best match
 is kept, the first name of equal ones.  All of it happens within the row.
 
+``spans`` scans texts as a whole instead, across lines and within them, also for the full
+texts of licences.  Its windows run from where a run of a template's bigrams starts to where
+one ends: whatever else reaches ``PERCENT`` gains, or loses nothing, by being carried on or
+cut back to these.  Every line that ``scan`` reports thus overlaps a span.
+
 A missing or empty text and a line of fewer than two words match nothing.  Rows that repeat
 a doc_id are scanned one by one.  Extra columns do not matter.
 """
 
 from __future__ import annotations
 
+import pkgutil
 import re
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -83,6 +89,18 @@ TEMPLATES = (
     ("CC0-1.0", "This work is dedicated to the public domain under CC0 1.0."),
 )
 
+#: Licences with a full text in ``licence_texts``.
+BODIES = (
+    "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC0-1.0", "GPL-2.0", "GPL-3.0", "ISC", "LGPL-2.1", "LGPL-3.0",
+    "MIT", "MPL-2.0",
+)
+
+
+def whole_templates() -> tuple[tuple[str, str], ...]:
+    """The notices and the full texts."""
+    text = lambda name: pkgutil.get_data(__package__, f"licence_texts/{name}.txt").decode()
+    return (*TEMPLATES, *((name, text(name)) for name in BODIES))
+
 
 def template_bigrams(text: str) -> list[str]:
     """The distinct word bigrams of a template, normalised as lines are."""
@@ -90,9 +108,12 @@ def template_bigrams(text: str) -> list[str]:
     return sorted({f"{a} {b}" for a, b in zip(words, words[1:], strict=False)})
 
 
+def words_of(text: Column) -> Column:
+    return F.split(F.trim(F.regexp_replace(F.translate(text, UPPER, UPPER.lower()), "[^a-z0-9]+", " ")), " ")
+
+
 def line_bigrams(line: Column) -> Column:
-    words = F.trim(F.regexp_replace(F.translate(line, UPPER, UPPER.lower()), "[^a-z0-9]+", " "))
-    words = F.split(words, " ")
+    words = words_of(line)
     pairs = F.zip_with(
         F.slice(words, 1, F.size(words) - 1),
         F.slice(words, 2, F.size(words) - 1),
@@ -141,6 +162,120 @@ def scan(docs: DataFrame, templates=TEMPLATES, percent: int = PERCENT) -> DataFr
     return found.where(F.col("dice") >= percent / 100)
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def windows(grams: Column, t: Column, percent: int) -> Column:
+    """(common, dice, name, start, end) of all windows of ``grams`` that reach ``percent`` with t.
+
+    A matching window has at most ``most`` distinct bigrams.  Where 3 * size bigrams hold more,
+    no longer window of that start needs to be tried.
+    """
+    most, far = t["size"] * (200 - percent) / percent, 3 * t["size"]
+    size = F.size(grams)
+
+    def ending(s: Column, ends: Column) -> Column:
+        short = F.size(F.array_distinct(F.slice(grams, s["at"] + 1, far))) > most
+        return let(
+            F.when(short, s["at"] + far).otherwise(size),
+            lambda stop: F.transform(
+                # As many bigrams of the template must lie between start and end.
+                F.filter(
+                    ends,
+                    lambda e: (e["at"] < stop)
+                    & ((200 - percent) * (e["nth"] - s["nth"] + 1) >= percent * t["size"]),
+                ),
+                lambda e: let(
+                    F.array_distinct(F.slice(grams, s["at"] + 1, e["at"] - s["at"] + 1)),
+                    lambda g: let(
+                        F.size(F.array_intersect(g, t["grams"])),
+                        lambda c: F.struct(
+                            (-c).alias("common"), (-2 * c / (F.size(g) + t["size"])).alias("dice"),
+                            t["name"].alias("name"), s["at"].alias("start"), (-e["at"]).alias("end"),
+                        ),
+                    ),
+                ),
+            ),
+        )
+
+    def runs(places: Column) -> Column:
+        at = F.transform(places, lambda x, k: F.struct(x.alias("at"), k.alias("nth")))
+        starts = F.filter(at, lambda x: F.coalesce(F.get(places, x["nth"] - 1) < x["at"] - 1, F.lit(True)))
+        ends = F.filter(at, lambda x: F.coalesce(F.get(places, x["nth"] + 1) > x["at"] + 1, F.lit(True)))
+        return let(ends, lambda e: F.flatten(F.transform(starts, lambda s: ending(s, e))))
+
+    places = F.filter(F.sequence(F.lit(0), size - 1), lambda i: F.array_contains(t["grams"], F.get(grams, i)))
+    return F.filter(let(places, runs), lambda w: w["dice"] <= -percent / 100)
+
+
+def without_overlaps(found: Column) -> Column:
+    """Of windows that share words the one with most bigrams in common, then the best match."""
+    shares = lambda h, w: (h["start"] <= 1 - w["end"]) & (w["start"] <= 1 - h["end"])
+    return F.aggregate(
+        F.array_sort(found),
+        F.slice(found, 1, 0),
+        lambda have, w: F.when(F.exists(have, lambda h: shares(h, w)), have).otherwise(F.concat(have, F.array(w))),
+    )
+
+
+def spans(docs: DataFrame, templates=None, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, line, licence, dice) for every notice or licence anywhere in a text.
+
+    ``line`` is that of the first word, from 0.  Several spans may start in one line.
+    """
+    known = sorted((name, template_bigrams(text)) for name, text in templates or whole_templates())
+    known = [(name, grams) for name, grams in known if grams]
+    every = ", ".join(f"'{g}'" for g in sorted({g for _, grams in known for g in grams}))
+    # One literal each, folded to constants: the full texts are long.
+    table = F.array(
+        *[
+            F.struct(
+                F.lit(name).alias("name"), F.lit(len(grams)).alias("size"),
+                F.split(F.lit("|".join(grams)), "[|]").alias("grams"),
+            )
+            for name, grams in known
+        ]
+    )
+
+    def grams_of(words: Column) -> Column:
+        n = F.size(words) - 1
+        return F.zip_with(F.slice(words, 1, n), F.slice(words, 2, n), lambda a, b: F.concat(a, F.lit(" "), b))
+
+    def fitting(seen: Column) -> Column:
+        """Templates of which the text holds as many bigrams as any match needs."""
+        need = lambda t, n: (200 - percent) * n >= percent * t["size"]
+        return F.filter(
+            table, lambda t: need(t, F.size(seen)) & need(t, F.size(F.array_intersect(seen, t["grams"])))
+        )
+
+    def found(grams: Column) -> Column:
+        fit = let(F.expr(f"array_distinct(filter(_grams, g -> g IN ({every})))"), fitting)
+        return let(F.flatten(F.transform(fit, lambda t: windows(grams, t, percent))), without_overlaps)
+
+    # Words up to the end of each line.
+    length = lambda x: let(words_of(x), lambda w: F.when(F.get(w, F.lit(0)) != "", F.size(w)).otherwise(0))
+    counts = F.transform(F.split("text", "\n"), length)
+    upto = F.aggregate(
+        counts,
+        F.array(F.lit(0)),
+        lambda have, n: F.concat(have, F.array(F.element_at(have, -1) + n)),
+        lambda have: F.slice(have, 2, F.size(have) - 1),
+    )
+    # explode_outer: nothing is inferred from it that would compute the windows twice.
+    out = docs.select("doc_id", "text", let(words_of(F.col("text")), grams_of).alias("_grams"))
+    out = out.select("doc_id", "text", F.explode_outer(F.array(found(F.col("_grams")))).alias("spans"))
+    out = out.where(F.size("spans") > 0).select("doc_id", "spans", upto.alias("upto"))
+    out = out.select("doc_id", "upto", F.explode_outer("spans").alias("w"))
+    return out.select(
+        "doc_id",
+        F.size(F.filter("upto", lambda n: n <= F.col("w.start"))).alias("line"),
+        F.col("w.name").alias("licence"),
+        (-F.col("w.dice")).alias("dice"),
+    )
+
+
 def scan_sql(templates=TEMPLATES, percent: int = PERCENT) -> str:
     """The same scan in SQL, every line against every template."""
     quote = lambda s: "'" + s.replace("'", "''") + "'"

@@ -61,7 +61,7 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licences.scan(documents(spark, sf_dir))
+    return licences.spans(documents(spark, sf_dir))
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
