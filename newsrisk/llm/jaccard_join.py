@@ -6,8 +6,10 @@ Shingles are 63-bit hashes, sets have 64-bit ids.
 
 Index lists.  Sets that link share a shingle among the first ``n - ceil(0.8 n) + 1`` of each
 in any common order, so only those prefixes are indexed.  The order puts shingles that many
-documents hold last (a list of bounded length, found by counting over all documents; it
-shapes the lists, never the result).  A list of one entry is skipped.
+documents hold last (a list of bounded length, by a lower bound of the counts that depends on
+the layout of batches: only batches that hold a shingle ``NOTED`` times or more count, so one
+spread thinly over many batches passes as rare and is not salted; the list shapes the order
+and length of the lists, never the result).  A list of one entry is skipped.
 
 Set relations.  Equal sets are one entry.  In each list the first set leads: the others
 are compared with it only, and sets found linked share their component from then on.  Where
@@ -38,7 +40,7 @@ from newsrisk.operators.skew import join_one_per_key
 WORDS, PERCENT = 5, 80
 #: How many frequent shingles are put last in the order (eight bytes each in every task).
 FREQUENT = 2**17
-#: A shingle that a batch of documents holds this often is counted over all of them.
+#: Occurrences of a shingle count only in Arrow batches that hold it this often.
 NOTED = 3
 #: Entries of a leader's lists on one side of a block; more are dealt as a grid of blocks.
 BLOCK = 100_000
