@@ -17,6 +17,7 @@ from newsrisk.llm import (
     repeated_bytes,
     repeated_words,
     shards,
+    spelling,
     toxicity,
 )
 from newsrisk.llm.common import documents, labels
@@ -72,6 +73,10 @@ def op10_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_bytes.digest(documents(spark, sf_dir))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_repeated_words": op2_repeated_words,
@@ -83,6 +88,7 @@ QUERIES = {
     "op8_licences": op8_licences,
     "op9_toxicity": op9_toxicity,
     "op10_repeated_bytes": op10_repeated_bytes,
+    "op11_spelling": op11_spelling,
 }
 
 __all__ = ["ORACLE", "QUERIES"]
