@@ -71,3 +71,39 @@ ORACLE = {
     "op8_licences": scan_sql(),
     "op10_repeated_bytes": REPEATED_BYTES,
 }
+
+COLLOCATIONS = rf"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS t FROM documents
+),
+p AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p),
+tot AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+g AS (
+  SELECT lang, w[i:i + m - 1] AS ph FROM w, unnest(range(1, len(w) + 1)) AS t(i), unnest(range(1, 6)) AS u(m)
+  WHERE i + m - 1 <= len(w)
+),
+f AS (SELECT lang, ph, CAST(count(*) AS BIGINT) AS f FROM g GROUP BY lang, ph HAVING count(*) >= 100),
+c AS (SELECT lang, ph, f AS a FROM f WHERE len(ph) BETWEEN 2 AND 5),
+inside AS (
+  SELECT DISTINCT s.lang, s.ph
+  FROM c s JOIN c q ON s.lang = q.lang AND len(q.ph) > len(s.ph) AND q.a >= s.a
+  WHERE EXISTS (SELECT 1 FROM unnest(range(1, len(q.ph) - len(s.ph) + 2)) AS o(o) WHERE q.ph[o:o + len(s.ph) - 1] = s.ph)
+),
+cut AS (
+  SELECT c.lang, c.ph, c.a, tot.n, k, fl.f AS l, fr.f AS r,
+         CAST((CAST(1000 AS HUGEINT) * c.a * tot.n) // (CAST(fl.f AS HUGEINT) * fr.f) AS BIGINT) AS score
+  FROM c JOIN tot USING (lang) JOIN (SELECT unnest(range(1, 5)) AS k) ks ON ks.k < len(c.ph)
+  JOIN f fl ON fl.lang = c.lang AND fl.ph = c.ph[1:k]
+  JOIN f fr ON fr.lang = c.lang AND fr.ph = c.ph[k + 1:len(c.ph)]
+  WHERE NOT EXISTS (SELECT 1 FROM inside i WHERE i.lang = c.lang AND i.ph = c.ph)
+),
+best AS (SELECT *, row_number() OVER (PARTITION BY lang, ph ORDER BY score, k) AS pick FROM cut),
+ranked AS (
+  SELECT lang, array_to_string(ph, ' ') AS phrase, a, l, r, n, score,
+         row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(ph, ' ')) AS rank
+  FROM best WHERE pick = 1
+)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+"""
+ORACLE["op12_collocations"] = COLLOCATIONS

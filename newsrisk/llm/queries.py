@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from newsrisk.llm import (
     bpe,
+    collocations,
     fingerprints,
     jaccard_join,
     licences,
@@ -77,6 +78,10 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(documents(spark, sf_dir))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_repeated_words": op2_repeated_words,
@@ -89,6 +94,7 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_repeated_bytes": op10_repeated_bytes,
     "op11_spelling": op11_spelling,
+    "op12_collocations": op12_collocations,
 }
 
 __all__ = ["ORACLE", "QUERIES"]
