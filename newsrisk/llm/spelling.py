@@ -27,7 +27,6 @@ Empty inputs give no rows; rows that repeat a doc_id and text are counted as oft
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -93,46 +92,71 @@ def one_edit(a: str, b: str) -> bool:
     return a[i + 1 :] == b[i + 1 :] if len(a) == len(b) else a[i + 1 :] == b[i:]
 
 
-def _search(vecs: np.ndarray, words: list[str], part: int, query_vec: np.ndarray, query: str) -> Iterator[str]:
-    """Words of the sorted trie ``vecs`` one edit from ``query``, reported by this part only."""
-    parts = GROUPS // 3
-
-    def walk(depth: int, lo: int, hi: int, surplus: int, deficit: int) -> Iterator[int]:
-        if lo >= hi:
-            return
-        if depth == GROUPS:
-            yield from range(lo, hi)
-            return
-        column = vecs[lo:hi, depth]
+def _walk(vecs: np.ndarray, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The trie walk of all queries at once: (query, row) of every leaf row reached.
+
+    ``vecs`` are sorted lexicographically, so the rows below a trie node of depth d are a range
+    with one prefix of d counts.  A node is named by the rank of its prefix; the children of all
+    nodes of the frontier are found with one binary search over the keys (rank of the parent,
+    count), which grow along the rows.  A step may add one to a count (the surplus) or take one
+    away (the deficit), each at most once on a path.
+    """
+    n = len(vecs)
+    if n == 0 or len(queries) == 0:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    radix = int(max(vecs.max(), queries.max())) + 3
+    parent = np.zeros(n, np.int64)
+    q = np.arange(len(queries))
+    node = np.zeros(len(queries), np.int64)
+    surplus = np.ones(len(queries), np.int8)
+    deficit = np.ones(len(queries), np.int8)
+    lo = hi = None
+    for depth in range(GROUPS):
+        keys = parent * radix + vecs[:, depth]
+        steps = []
         for delta in (0, 1, -1):
-            if (delta == 1 and not surplus) or (delta == -1 and not deficit):
-                continue
-            want = query_vec[depth] + delta
-            a = lo + int(np.searchsorted(column, want, "left"))
-            b = lo + int(np.searchsorted(column, want, "right"))
-            yield from walk(depth + 1, a, b, surplus - (delta == 1), deficit - (delta == -1))
-
-    for at in walk(0, 0, len(words), 1, 1):
-        other = vecs[at]
-        earlier = any(
-            np.array_equal(other[q * parts : (q + 1) * parts], query_vec[q * parts : (q + 1) * parts]) for q in range(part)
-        )
-        if not earlier and one_edit(query, words[at]):
-            yield words[at]
+            ok = np.ones(len(q), bool) if delta == 0 else (surplus > 0 if delta == 1 else deficit > 0)
+            want = queries[q, depth] + delta
+            ok &= want >= 0
+            probe = node[ok] * radix + want[ok]
+            a = np.searchsorted(keys, probe, "left")
+            b = np.searchsorted(keys, probe, "right")
+            hit = b > a
+            steps.append(
+                (q[ok][hit], a[hit], b[hit], surplus[ok][hit] - (delta == 1), deficit[ok][hit] - (delta == -1))
+            )
+        q, lo, hi, surplus, deficit = (np.concatenate(x) for x in zip(*steps, strict=True))
+        change = np.ones(n, bool)
+        change[1:] = keys[1:] != keys[:-1]
+        rank = np.cumsum(change) - 1
+        node = rank[lo]
+        parent = rank
+    sizes = hi - lo
+    starts = np.repeat(lo, sizes)
+    offsets = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    return np.repeat(q, sizes), starts + offsets
 
 
 def _near_in_block(block: pd.DataFrame) -> pd.DataFrame:
     index = block[block["role"] == 1]
     queries = block[block["role"] == 0]
-    vecs = np.array(index["vec"].tolist(), np.int32).reshape(len(index), GROUPS)
+    vecs = np.array(index["vec"].tolist(), np.int64).reshape(len(index), GROUPS)
     order = np.lexsort(vecs.T[::-1]) if len(vecs) else np.arange(0)
-    vecs, words = vecs[order], [index["word"].iloc[i] for i in order]
-    part = int(block["part"].iloc[0])
+    vecs, words = vecs[order], index["word"].to_numpy()[order]
+    qvecs = np.array(queries["vec"].tolist(), np.int64).reshape(len(queries), GROUPS)
+    qwords = queries["word"].to_numpy()
+    part, width = int(block["part"].iloc[0]), GROUPS // 3
+    who, row = _walk(vecs, qvecs)
+    # A pair is reported by the first part on which the two words agree.
+    earlier = np.zeros(len(who), bool)
+    for q in range(part):
+        cols = slice(q * width, (q + 1) * width)
+        earlier |= (qvecs[who, cols] == vecs[row, cols]).all(axis=1)
     found_word, found_near = [], []
-    for word, vec in zip(queries["word"], queries["vec"], strict=True):
-        for near in _search(vecs, words, part, np.asarray(vec, np.int32), word):
-            found_word.append(word)
-            found_near.append(near)
+    for a, b in zip(qwords[who[~earlier]], words[row[~earlier]], strict=True):
+        if one_edit(a, b):
+            found_word.append(a)
+            found_near.append(b)
     return pd.DataFrame({"word": pd.Series(found_word, dtype=object), "near": pd.Series(found_near, dtype=object)})
 
 
