@@ -15,6 +15,7 @@ from newsrisk.llm import (
     licences,
     mixing,
     quality,
+    quality_classifier,
     repeated_bytes,
     repeated_words,
     shards,
@@ -82,6 +83,10 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(documents(spark, sf_dir))
 
 
+def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.classify(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_repeated_words": op2_repeated_words,
@@ -95,6 +100,7 @@ QUERIES = {
     "op10_repeated_bytes": op10_repeated_bytes,
     "op11_spelling": op11_spelling,
     "op12_collocations": op12_collocations,
+    "op13_quality_classifier": op13_quality_classifier,
 }
 
 __all__ = ["ORACLE", "QUERIES"]
