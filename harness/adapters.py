@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from newsrisk.functions.dates import INDONESIAN_MONTHS
 from newsrisk.session import spread
@@ -245,3 +245,34 @@ def broken_sitemaps(spark: SparkSession, sf_dir: str) -> DataFrame:
         "<url>", *loc("e/"), "<lastmo",
     )
     return o.withColumn("xml", F.when(F.col("doc_id") % 5 == 0, F.lit("<html>moved")).otherwise(xml))
+
+
+#: Every fifth title of ``tricky_articles`` ends so: braces, quotes and backslashes inside a string.
+TRICKY = ' {"cut} here\\ and\\"there}} '
+
+
+def tricky_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``event_articles`` with every fifth title ending in ``TRICKY``."""
+    news = event_articles(spark, sf_dir)
+    odd = F.col("ingest_seq") % 5 == 0
+    return news.withColumn("title", F.when(odd, F.concat("title", F.lit(TRICKY))).otherwise(F.col("title")))
+
+
+def write_array_files(articles: DataFrame, path: str) -> None:
+    """One JSON array a ``published_date`` folder, an element a line, in ``ingest_seq`` order.
+
+    A writer of test input: each date is written by one task.
+    """
+    columns = ["title", "link", "category", "date_text", "source"]
+    place = F.row_number().over(Window.partitionBy("published_date").orderBy("ingest_seq"))
+    size = F.count("*").over(Window.partitionBy("published_date"))
+    line = F.concat(
+        F.when(place == 1, "[").otherwise(","), F.to_json(F.struct(*columns)), F.when(place == size, "]").otherwise("")
+    )
+    (
+        articles.select("published_date", "ingest_seq", line.alias("value"))
+        .sortWithinPartitions("published_date", "ingest_seq")
+        .select("published_date", "value")
+        .write.partitionBy("published_date")
+        .text(path)
+    )

@@ -6,7 +6,7 @@ checks the reduced lists and the stored counts instead of repeating them.
 
 from __future__ import annotations
 
-from harness.adapters import FETCHED, HEADLINES
+from harness.adapters import FETCHED, HEADLINES, TRICKY
 from harness.registry import DOCUMENT_KEYWORDS, DOCUMENT_RULE
 from newsrisk.functions.dates import INDONESIAN_MONTHS
 from newsrisk.functions.lexicon import COMPONENTS, COMPOSITES, RELEVANCE, RISK_RULES
@@ -270,6 +270,12 @@ ORACLE["landing_overwrite"] = f"""WITH {EVENTS}, kept AS (
 ORACLE["landing_round_trip"] = f"""WITH {EVENTS} SELECT 'all' AS scope, {_FIELDS} FROM event_articles
   UNION ALL SELECT 'day', {_FIELDS} FROM event_articles
   WHERE published_date = (SELECT MIN(published_date) FROM event_articles)"""
+ORACLE["array_files"] = f"""WITH {EVENTS}, tricky AS (
+    SELECT CASE WHEN ingest_seq % 5 = 0 THEN title || '{TRICKY}' ELSE title END AS title,
+           link, category, date_text, source, ingest_seq, published_date FROM event_articles)
+  SELECT {_FIELDS},
+         CAST(ROW_NUMBER() OVER (PARTITION BY published_date ORDER BY ingest_seq) AS BIGINT) AS place
+  FROM tricky"""
 ORACLE["stamp_files"] = f"""WITH f AS (SELECT CAST(o_orderkey AS VARCHAR) AS link, o_orderkey % 3 AS k,
     strftime(o_orderdate, '%Y-%m-%d') AS d FROM orders)
   SELECT link, CASE WHEN k = 2 THEN DATE '{FETCHED}' - 1 ELSE CAST(d AS DATE) END AS published_date,

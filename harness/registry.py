@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from harness import adapters as A
 from newsrisk.functions.dates import (
@@ -396,6 +396,16 @@ def q_landing_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     return every.unionByName(day).select("scope", *ARTICLE_COLUMNS, "published_date")
 
 
+@query("array_files")
+def q_array_files(spark: SparkSession, sf: str) -> DataFrame:
+    """A JSON array a day, read back in byte ranges; ``place`` is the order within the file."""
+    landing, news = scratch_path(spark, "arrays"), A.tricky_articles(spark, sf)
+    A.write_array_files(news, landing)
+    read = read_articles(spark, landing, as_of=A.FETCHED, format="array", pattern="*.txt")
+    place = F.row_number().over(Window.partitionBy("published_date").orderBy("ingest_seq"))
+    return read.select(*ARTICLE_COLUMNS, "published_date", place.cast("long").alias("place"))
+
+
 @query("stamp_files")
 def q_stamp_files(spark: SparkSession, sf: str) -> DataFrame:
     """Dates from file names, from folders, and neither; files in the order they load."""

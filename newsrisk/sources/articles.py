@@ -1,8 +1,9 @@
 """Dated article files: reading batches, and writing a day.
 
 A landing folder holds JSON in one of two formats.  ``lines``: one object (or one array) per
-line; large files are split.  ``array``: each file is one array, which may span lines; such a
-file is one task.  ``write_landing`` writes lines, which is the default everywhere.
+line; large files are split.  ``array``: each file is one array, which may span lines; a batch
+reads such files in byte ranges (``sources.arrays``), a stream reads each file whole.
+``write_landing`` writes lines, which is the default everywhere.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql.streaming import DataStreamReader
 from newsrisk.functions.dates import ISO_DATE, as_date
 from newsrisk.operators.dedup import last_occurrence
 from newsrisk.schema import ARTICLE, ARTICLE_COLUMNS
+from newsrisk.sources.arrays import array_objects
 
 FILE_TEMPLATE = "scrape_{date}.json"
 FORMATS = ("lines", "array")
@@ -25,19 +27,22 @@ _STRING = r'"(?:[^"\\]|\\.)*+"'
 
 
 def article_rows(
-    reader: DataFrameReader | DataStreamReader, path: str, format: str, strict: bool
+    reader: DataFrameReader | DataStreamReader, path: str, format: str, strict: bool, pattern: str = "*.json"
 ) -> DataFrame:
     """The article columns plus the name and path of the file each row came from.
 
     Batches and streams are read by these same expressions, in one pass: text to objects,
     objects to columns.  Malformed JSON raises, an array file with anything behind its array
-    raises, and with ``strict`` so does a field that articles do not have.
+    raises, and with ``strict`` so does a field that articles do not have.  Array files read in
+    a batch also give ``position``, the place of each object in its file.
     """
     if format not in FORMATS:
         raise ValueError(f"format must be one of {FORMATS}")
+    if format == "array" and isinstance(reader, DataFrameReader):
+        return _parsed(array_objects(reader, path, pattern), strict)
     text = (
         reader.option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.json")
+        .option("pathGlobFilter", pattern)
         .text(path, wholetext=format == "array")
         .select("value", "_metadata.file_name", "_metadata.file_path")
         .where(F.trim("value") != "")
@@ -50,7 +55,12 @@ def article_rows(
         objects = F.when(one, many).otherwise(_refuse("not one JSON array: "))
     else:
         objects = F.when(value.startswith("["), many).otherwise(F.array("value"))
-    rows = text.select("file_name", "file_path", F.explode(objects).alias("object"))
+    return _parsed(text.select("file_name", "file_path", F.explode(objects).alias("object")), strict)
+
+
+def _parsed(rows: DataFrame, strict: bool) -> DataFrame:
+    """Objects (column ``object``) as article columns; the other columns stay behind them."""
+    carried = [c for c in rows.columns if c != "object"]
     if strict:
         known = F.array(*[F.lit(c) for c in ARTICLE_COLUMNS])
         unknown = F.array_except(F.json_object_keys("object"), known)
@@ -59,7 +69,7 @@ def article_rows(
             F.when(bad, _refuse("unknown article fields: ", F.array_join(unknown, ", "), F.lit(" in "))).otherwise(True)
         )
     parsed = rows.withColumn("article", F.from_json("object", ARTICLE, _FAIL))
-    return parsed.select("article.*", "file_name", "file_path")
+    return parsed.select("article.*", *carried)
 
 
 def _refuse(*message: str | Column) -> Column:
@@ -82,7 +92,7 @@ def stamp_batch(articles: DataFrame, as_of: Column | dt.date | str) -> DataFrame
     )
     return articles.select(
         *ARTICLE_COLUMNS,
-        F.monotonically_increasing_id().alias("ingest_seq"),
+        (F.col("position") if "position" in articles.columns else F.monotonically_increasing_id()).alias("ingest_seq"),
         F.coalesce(
             named.try_cast("date"), folder.try_cast("date"), F.date_sub(as_date(as_of), 1)
         ).alias("published_date"),
@@ -96,12 +106,13 @@ def read_articles(
     as_of: Column | dt.date | str,
     format: str = "lines",
     strict: bool = True,
+    pattern: str = "*.json",
 ) -> DataFrame:
-    """All article files below ``path`` in one scan, stamped and typed.
+    """All article files below ``path`` (names matching ``pattern``) in one scan, stamped and typed.
 
     Missing fields become NULL; malformed JSON raises; ``strict`` also refuses unknown fields.
     """
-    return stamp_batch(article_rows(spark.read, path, format, strict), as_of)
+    return stamp_batch(article_rows(spark.read, path, format, strict, pattern), as_of)
 
 
 def read_day(
