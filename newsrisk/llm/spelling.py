@@ -40,10 +40,11 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 MARKED = 199
 #: Fixed values of the contract: shortest word, least count, factor of a form.
 SHORTEST, COMMON, STEP = 6, 5, 5
-#: Letter groups of the vectors (three parts of three), and the most words a task searches in.
-GROUPS, BLOCK = 9, 50_000
-#: a-z from frequent to rare in English prose: dealt round the groups so that each part
-#: carries about as many letters of a typical word.
+#: Letter groups of the vectors (three parts of ten), the most words a task searches in, and
+#: the queries searched at once (which bounds the candidates held).
+GROUPS, BLOCK, CHUNK = 30, 50_000, 2048
+#: a-z from frequent to rare in English prose, each its own group, so that the three parts
+#: carry about as many letters of a typical word; the letters of U+00C0..U+00FF share groups.
 _ORDER = "etaoinshrdlcumwfgypbvkjxqz"
 
 
@@ -146,17 +147,19 @@ def _near_in_block(block: pd.DataFrame) -> pd.DataFrame:
     qvecs = np.array(queries["vec"].tolist(), np.int64).reshape(len(queries), GROUPS)
     qwords = queries["word"].to_numpy()
     part, width = int(block["part"].iloc[0]), GROUPS // 3
-    who, row = _walk(vecs, qvecs)
-    # A pair is reported by the first part on which the two words agree.
-    earlier = np.zeros(len(who), bool)
-    for q in range(part):
-        cols = slice(q * width, (q + 1) * width)
-        earlier |= (qvecs[who, cols] == vecs[row, cols]).all(axis=1)
     found_word, found_near = [], []
-    for a, b in zip(qwords[who[~earlier]], words[row[~earlier]], strict=True):
-        if one_edit(a, b):
-            found_word.append(a)
-            found_near.append(b)
+    for at in range(0, len(qvecs), CHUNK):
+        who, row = _walk(vecs, qvecs[at : at + CHUNK])
+        who += at
+        # A pair is reported by the first part on which the two words agree.
+        earlier = np.zeros(len(who), bool)
+        for q in range(part):
+            cols = slice(q * width, (q + 1) * width)
+            earlier |= (qvecs[who, cols] == vecs[row, cols]).all(axis=1)
+        for a, b in zip(qwords[who[~earlier]], words[row[~earlier]], strict=True):
+            if one_edit(a, b):
+                found_word.append(a)
+                found_near.append(b)
     return pd.DataFrame({"word": pd.Series(found_word, dtype=object), "near": pd.Series(found_near, dtype=object)})
 
 
