@@ -119,12 +119,14 @@ def context_vectors(docs: DataFrame, vocab: dict[str, int]) -> np.ndarray:
 
     parts = docs.select("text").mapInArrow(gather, "id int, vec array<float>")
     summed = parts.select("id", F.posexplode("vec").alias("dim", "v")).groupBy("id", "dim").agg(F.sum("v").alias("v"))
-    # At most VOCAB rows of DIM numbers.
-    rows = summed.groupBy("id").agg(F.collect_list(F.struct("dim", "v")).alias("vs")).collect()
+    by_word = summed.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("dim", "v"))).alias("m"))
+    dense = F.transform(F.sequence(F.lit(0), F.lit(DIM - 1)), lambda d: F.coalesce(F.element_at("m", d), F.lit(0.0)))
+    # At most VOCAB rows of DIM numbers, as Arrow columns.
+    table = by_word.select("id", dense.cast("array<float>").alias("vec")).toArrow()
     matrix = np.zeros((len(vocab), DIM), np.float32)
-    for r in rows:
-        for dim, v in r.vs:
-            matrix[r.id, dim] = v
+    if table.num_rows:
+        flat = table.column("vec").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        matrix[table.column("id").to_numpy()] = flat.reshape(table.num_rows, DIM)
     norm = np.linalg.norm(matrix, axis=1, keepdims=True)
     return matrix / np.where(norm > 0, norm, 1)
 
@@ -258,10 +260,11 @@ def learn(docs: DataFrame, labels: DataFrame, vocab: dict[str, int], matrix: np.
     rows = docs.select("doc_id", "text").join(chosen, "doc_id")
     calibrate = F.pmod(F.crc32(F.concat(F.lit("calibrate:"), F.col("doc_id").cast("string"))), F.lit(5)) == 0
     rows = rows.withColumn("cal", calibrate)
-    got = _featurised(rows, vocab, matrix, ["quality", "cal"]).collect()
-    x = np.array([r.x for r in got], np.float32).reshape(len(got), DIM + SHAPE)
-    y = np.array([r.quality for r in got], np.int64)
-    cal = np.array([r.cal for r in got], bool)
+    got = _featurised(rows, vocab, matrix, ["quality", "cal"]).toArrow()
+    flat = got.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False) if got.num_rows else np.zeros(0)
+    x = flat.astype(np.float32).reshape(got.num_rows, DIM + SHAPE)
+    y = got.column("quality").to_numpy().astype(np.int64)
+    cal = got.column("cal").to_numpy(zero_copy_only=False).astype(bool)
     return train(x, y, cal)
 
 
