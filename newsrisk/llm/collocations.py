@@ -9,8 +9,9 @@ the lowest-scoring cut counts, ties to the smallest k.  A candidate that lies in
 candidate counted at least as often goes.  Each language keeps its first ``TOP`` by score, a
 (both descending) and phrase (ascending, words joined by a space, in UTF-8 byte order).
 
-Counting is one grouping of all phrases of 1 to 5 words, combined in each task before the
-shuffle.  The rest runs on the counts of at least ``LEAST`` only, as two streams: one sorted in
+Counting goes level by level, Apriori-like: a phrase of m words is counted only where both of
+its parts of m - 1 words are frequent, tested before the shuffle (see ``counts``), and combined
+in each task.  The rest runs on the counts of at least ``LEAST`` only, as two streams: one sorted in
 prefix order (phrase by phrase, a phrase right behind its prefixes and followed by its
 extensions), one in suffix order (the same on the reversed words).  Each stream is walked once
 with a stack of at most five phrases, which gives, without any hashing, the count of every
@@ -43,25 +44,62 @@ LONGEST, LEAST, TOP = 5, 100, 2000
 OUT = "lang string, phrase array<string>, f long, parts array<long>, ext long, seeded boolean"
 
 
-def counts(docs: DataFrame, longest: int = LONGEST) -> tuple[DataFrame, DataFrame]:
-    """(lang, phrase, f) of all phrases of 1 to ``longest`` words, and (lang, n)."""
+def word_lists(docs: DataFrame) -> DataFrame:
+    """(lang, w): the words of every piece that has some."""
     text = F.translate(F.coalesce(F.col("text"), F.lit("")), UPPER, LOWER)
     pieces = docs.select(
         F.coalesce(F.col("lang"), F.lit("und")).alias("lang"), F.explode(F.split(text, PIECES)).alias("piece")
     )
-    words = pieces.select("lang", F.filter(F.split("piece", WORDS), lambda w: w != "").alias("w")).where(
-        F.size("w") > 0
+    words = pieces.select("lang", F.filter(F.split("piece", WORDS), lambda w: w != "").alias("w"))
+    return words.where(F.size("w") > 0)
+
+
+def _key(lang: str, phrase) -> F.Column:
+    return F.xxhash64(F.col(lang), phrase)
+
+
+def _known(rows: DataFrame, frequent: DataFrame, key: F.Column, small: int) -> DataFrame:
+    """``rows`` whose ``key`` is a key of ``frequent``; map-side when ``frequent`` is small."""
+    keys = frequent.select(F.col("key").alias("_probe")).distinct()
+    count = keys.count()
+    keys = F.broadcast(keys) if count <= small else keys
+    return rows.join(keys, key == F.col("_probe"), "left_semi")
+
+
+def counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, small: int = 1 << 21) -> tuple[DataFrame, DataFrame]:
+    """(lang, phrase, f, key) of all phrases of 1 to ``longest`` words with f >= ``least``, and (lang, n).
+
+    Level by level: an m-word phrase is counted only where its first and its last m - 1 words
+    are frequent, as no other can be (f only shrinks as a phrase grows).  That test runs before
+    the shuffle, against a 64-bit key of the frequent phrases of the level below, broadcast
+    only when a count shows at most ``small`` keys (else joined by a shuffle).  A key that
+    collides only lets a phrase through to be counted by its words, so counts stay exact.
+    """
+    words = stored(word_lists(docs), "collocation_words")
+    n = words.groupBy("lang").agg(F.sum(F.size("w")).cast("long").alias("n"))
+    level = (
+        words.select("lang", F.explode(F.transform("w", lambda x: F.array(x))).alias("phrase"))
+        .groupBy("lang", "phrase")
+        .agg(F.count("*").alias("f"))
+        .where(F.col("f") >= least)
     )
-    size = F.size("w")
-    grams = F.flatten(
-        F.transform(
-            F.sequence(F.lit(0), size - 1),
-            lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(longest), size - i)), lambda m: F.slice("w", i + 1, m)),
+    level = stored(level.withColumn("key", _key("lang", F.col("phrase"))), "collocation_level")
+    found = [level]
+    for m in range(2, longest + 1):
+        size = F.size("w")
+        grams = words.where(size >= m).select(
+            "lang",
+            F.explode(F.transform(F.sequence(F.lit(1), size - m + 1), lambda i: F.slice("w", i, m))).alias("phrase"),
         )
-    )
-    phrases = words.select("lang", F.explode(grams).alias("phrase")).groupBy("lang", "phrase").agg(F.count("*").alias("f"))
-    n = words.groupBy("lang").agg(F.sum(size).cast("long").alias("n"))
-    return phrases, n
+        grams = _known(grams, level, _key("lang", F.slice("phrase", 1, m - 1)), small)
+        grams = _known(grams, level, _key("lang", F.slice("phrase", 2, m - 1)), small)
+        level = grams.groupBy("lang", "phrase").agg(F.count("*").alias("f")).where(F.col("f") >= least)
+        level = stored(level.withColumn("key", _key("lang", F.col("phrase"))), "collocation_level")
+        found.append(level)
+    frequent = found[0]
+    for more in found[1:]:
+        frequent = frequent.unionByName(more)
+    return frequent, n
 
 
 def _walk(batches: Iterator[pa.RecordBatch], seeds: dict) -> Iterator[pa.RecordBatch]:
@@ -136,8 +174,8 @@ def stream(frequent: DataFrame, reverse: bool) -> DataFrame:
 
 def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, longest: int = LONGEST) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): each language's best ``top`` candidates."""
-    phrases, n = counts(docs, longest)
-    frequent = stored(phrases.where(F.col("f") >= least), "collocation_counts")
+    frequent, n = counts(docs, least, longest)
+    frequent = frequent.select("lang", "phrase", "f")
     ahead = stream(frequent, reverse=False).select(
         "lang", "phrase", "f", F.col("parts").alias("lefts"), F.col("ext").alias("right_ext")
     )
