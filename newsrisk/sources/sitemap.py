@@ -15,8 +15,13 @@ ENTRY = (
 )
 FIELDS = ("loc", "lastmod", "news_title", "reason")
 
-# An entry ends with its end tag, before the next entry, or where the text ends.
-_PIECE = r"(?s)<url(?:\s[^>]*)?>(?:(?!<url[\s>]|</url>).)*(?:</url>)?"
+# An entry ends with its end tag, before the next entry, or where the text ends; its tags may
+# carry a prefix.  Comments are blanked first (an unclosed one to the end of the text).  Texts
+# are cut by splitting, so no pattern repeats a group per character of an entry.
+_COMMENT, _OPEN_COMMENT = r"(?s)<!--.*?-->", r"(?s)<!--.*$"
+_CLOSE = r"</(?:[A-Za-z][\w.-]*:)?url\s*>"
+_BEFORE_OPEN = r"(?=<(?:[A-Za-z][\w.-]*:)?url[\s>])"
+_OPEN = r"^<([A-Za-z][\w.-]*:)?url[\s>]"
 _BARE_AND = r"&(?!(?:amp|lt|gt|quot|apos|#[0-9]+|#x[0-9A-Fa-f]+);)"
 
 
@@ -26,11 +31,26 @@ def read_sitemaps(spark: SparkSession, path: str) -> DataFrame:
     return sitemap_urls(files.withColumnRenamed("value", "xml"), "xml")
 
 
+def _pieces(xml: Column) -> Column:
+    """The entries of a text, each from its start tag up to (without) its end tag."""
+    blank = F.regexp_replace(F.regexp_replace(xml, _COMMENT, ""), _OPEN_COMMENT, "")
+    return F.flatten(
+        F.transform(
+            F.split(blank, _CLOSE),
+            lambda part: F.filter(F.split(part, _BEFORE_OPEN), lambda piece: piece.rlike(_OPEN)),
+        )
+    )
+
+
 def _entry(piece: Column) -> Column:
     """One piece of text as an entry; what is unusual but readable in it is mended first."""
-    # Prefixes are declared at the document's root, which a piece does not have.
-    plain = F.regexp_replace(piece, r"(</?)([A-Za-z][\w.-]*):", "$1$2_")
-    closed = F.when(plain.endswith("</url>"), plain).otherwise(F.concat(plain, F.lit("</url>")))
+    # The entry's own prefix is the sitemap's: its tags lose it.  Other prefixes are declared
+    # at the document's root, which a piece does not have.
+    prefix = F.regexp_extract(piece, _OPEN, 1)
+    own = F.concat(F.lit("(</?)"), F.regexp_replace(prefix, r"\.", r"\\."))
+    bare = F.when(prefix != "", F.regexp_replace(piece, own, F.lit("$1"))).otherwise(piece)
+    plain = F.regexp_replace(bare, r"(</?)([A-Za-z][\w.-]*):", "$1$2_")
+    closed = F.concat(plain, F.lit("</url>"))
     mended = F.when(closed.contains("<![CDATA["), closed).otherwise(
         F.regexp_replace(closed, _BARE_AND, "&amp;")
     )
@@ -41,14 +61,15 @@ def sitemap_urls(documents: DataFrame, xml: str) -> DataFrame:
     """One row per ``<url>`` of the sitemaps in the text column ``xml``, or more exactly:
 
     ``loc``, ``lastmod`` and ``news_title`` are the entry's first of each.  Entries are read
-    one by one, so a broken one does not take its document along.  ``reason`` tells why an
+    one by one, so a broken one does not take its document along; entries inside comments are
+    none, and ``<s:url>`` is read as ``<url>`` with its ``s:`` tags.  ``reason`` tells why an
     entry cannot become an article: ``unreadable_document`` (no entry in it),
     ``unreadable_entry``, ``missing_link`` or ``bad_date``.
     """
     kept = [c for c in documents.columns if c != xml]
-    pieces = F.regexp_extract_all(F.col(xml), F.lit(_PIECE), F.lit(0))
-    entries = documents.select(*kept, F.explode_outer(pieces).alias("_piece"))
-    parsed = entries.withColumn("_u", _entry(F.col("_piece")))
+    entries = documents.select(*kept, F.explode_outer(_pieces(F.col(xml))).alias("_piece"))
+    # Behind a generator the parse is made once, not again inside every filter on its fields.
+    parsed = entries.select("*", F.explode(F.array(_entry(F.col("_piece")))).alias("_u"))
     first = lambda path: F.get(F.col(path), F.lit(0))
     fields = parsed.select(
         *kept,

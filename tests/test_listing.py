@@ -247,3 +247,27 @@ def test_sitemap_entries_fail_one_by_one(rows):
         (5, "unreadable_document"), (6, "unreadable_document"),
     ]
     assert [r.loc for r in urls.where("d = 7").collect()] == ["https://n/h?a=1&b=2"]
+
+
+def test_sitemap_long_titles_comments_and_prefixes(rows):
+    title = "a\U0001F600" * 100_000
+    start = "<?xml version='1.0'?><urlset xmlns:news='n'>"
+    entry = "<url><loc>https://n/{}</loc><lastmod>2026-05-19</lastmod>{}</url>"
+    documents = [
+        (1, start + entry.format("long", f"<news:news><news:title>{title}</news:title></news:news>")),
+        (2, start + "<!-- " + entry.format("hidden", "") + " -->" + entry.format("shown", "")),
+        (3, "<s:urlset xmlns:s='x'><s:url><s:loc>https://n/p</s:loc><s:lastmod>2026-05-19</s:lastmod></s:url>"),
+        (4, start + entry.format("before", "") + "<!-- unclosed " + entry.format("after", "")),
+    ]
+    urls = sitemap_urls(rows("d int, xml string", documents), "xml")
+    got = sitemap_articles(urls, "2026-05-19").select("d", "link", F.length("title").alias("n")).collect()
+    assert sorted((r.d, r.link) for r in got) == [
+        (1, "https://n/long"), (2, "https://n/shown"), (3, "https://n/p"), (4, "https://n/before"),
+    ]
+    assert [r.n for r in got if r.d == 1] == [200_000]
+
+
+def test_sitemap_parses_each_entry_once(rows):
+    urls = sitemap_urls(rows("category string, xml string", [("politik", SITEMAP)]), "xml")
+    plan = sitemap_articles(urls, "2026-05-19")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_xml") == 1
