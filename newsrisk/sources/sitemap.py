@@ -1,10 +1,21 @@
-"""Articles from sitemap XML, entry by entry, with Spark's own XML functions."""
+"""Articles from sitemap XML, entry by entry, with Spark's own XML functions.
+
+Sitemap files are read in byte ranges (``read_sitemaps``): records end at ``</url>``, so every
+entry lies within one record and no entry is shuffled.  What crosses records is whether a
+comment is open; it follows from the last comment mark before a record (``<!--`` opens, ``-->``
+closes).  Each task notes it for the records of its ranges, one row per range carries the last
+mark of the range, and a window over the few ranges of a file gives each range the state at its
+start.  A file written with prefixed end tags (``</s:url>``) has no such records and is one
+record.  A ``</url>`` inside CDATA is taken for an end tag.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from newsrisk.functions.dates import as_date, iso_date, strip
 from newsrisk.functions.text import slug_title
@@ -25,10 +36,69 @@ _OPEN = r"^<([A-Za-z][\w.-]*:)?url[\s>]"
 _BARE_AND = r"&(?!(?:amp|lt|gt|quot|apos|#[0-9]+|#x[0-9A-Fa-f]+);)"
 
 
+def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per record, in the order of its range: its number, the comment state that the records
+    before it in the range leave (null if they have no mark) and the state its own last mark
+    leaves (null if it has none): 1 open, 0 closed."""
+    at, seq, state = None, 0, None
+    for batch in batches:
+        values = batch.column("value").to_pylist()
+        places = zip(batch.column("file_path").to_pylist(), batch.column("block").to_pylist(), strict=True)
+        seqs, inherited, marked = [], [], []
+        for value, place in zip(values, places, strict=True):
+            if place != at:
+                at, seq, state = place, 0, None
+            opened, closed = value.rfind("<!--"), value.rfind("-->")
+            own = None if opened < 0 and closed < 0 else int(opened > closed)
+            seqs.append(seq)
+            inherited.append(state)
+            marked.append(own)
+            seq += 1
+            state = state if own is None else own
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column("value"),
+                batch.column("file_path"),
+                batch.column("block"),
+                pa.array(seqs, pa.int64()),
+                pa.array(inherited, pa.int32()),
+                pa.array(marked, pa.int32()),
+            ],
+            names=["value", "file_path", "block", "seq", "inherited", "marked"],
+        )
+
+
 def read_sitemaps(spark: SparkSession, path: str) -> DataFrame:
-    """One row per ``<url>`` element of the XML files below ``path``; a file is one task."""
-    files = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
-    return sitemap_urls(files.withColumnRenamed("value", "xml"), "xml")
+    """One row per ``<url>`` element of the XML files below ``path``, read in byte ranges.
+
+    Rows are those of ``sitemap_urls``; a file without any entry is one ``unreadable_document``.
+    """
+    records = (
+        spark.read.option("recursiveFileLookup", "true")
+        .option("lineSep", "</url>")
+        .text(path)
+        .select("value", "_metadata.file_path", F.col("_metadata.file_block_start").alias("block"))
+    )
+    walked = records.mapInArrow(
+        _marks, "value string, file_path string, block long, seq long, inherited int, marked int"
+    )
+    last = F.max(F.when(F.col("marked").isNotNull(), F.struct("seq", "marked")))
+    ranges = walked.groupBy("file_path", "block").agg(last["marked"].alias("leaves"))
+    earlier = Window.partitionBy("file_path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.select(
+        "file_path", "block", F.coalesce(F.last("leaves", ignorenulls=True).over(earlier), F.lit(0)).alias("start")
+    )
+    # One row per byte range of the input.
+    placed = walked.join(F.broadcast(ranges), ["file_path", "block"])
+    opened = F.coalesce(F.col("inherited"), F.col("start")) == 1
+    rest = F.when(F.col("value").contains("-->"), F.regexp_replace("value", r"(?s)^.*?-->", "")).otherwise(F.lit(""))
+    text = F.when(opened, rest).otherwise(F.col("value"))
+    found = placed.select("file_path", F.explode_outer(_pieces(text)).alias("_piece"))
+    empty = found.groupBy("file_path").agg(F.count("_piece").alias("n")).where("n = 0")
+    entries = found.where(F.col("_piece").isNotNull()).unionByName(
+        empty.select("file_path", F.lit(None).cast("string").alias("_piece"))
+    )
+    return _fields(entries.drop("file_path"), [])
 
 
 def _pieces(xml: Column) -> Column:
@@ -68,6 +138,11 @@ def sitemap_urls(documents: DataFrame, xml: str) -> DataFrame:
     """
     kept = [c for c in documents.columns if c != xml]
     entries = documents.select(*kept, F.explode_outer(_pieces(F.col(xml))).alias("_piece"))
+    return _fields(entries, kept)
+
+
+def _fields(entries: DataFrame, kept: list[str]) -> DataFrame:
+    """Entries (``_piece``, null for a document without any) parsed, with ``reason``."""
     # Behind a generator the parse is made once, not again inside every filter on its fields.
     parsed = entries.select("*", F.explode(F.array(_entry(F.col("_piece")))).alias("_u"))
     first = lambda path: F.get(F.col(path), F.lit(0))

@@ -271,3 +271,27 @@ def test_sitemap_parses_each_entry_once(rows):
     urls = sitemap_urls(rows("category string, xml string", [("politik", SITEMAP)]), "xml")
     plan = sitemap_articles(urls, "2026-05-19")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_xml") == 1
+
+
+def test_sitemap_files_in_byte_ranges(spark, rows, tmp_path):
+    entry = "<url><loc>https://n/{0}</loc><lastmod>2026-05-{1:02d}</lastmod>{2}</url>\n"
+    parts = ["<?xml version='1.0'?><urlset xmlns:news='n'>\n"]
+    for i in range(400):
+        extra = f"<news:news><news:title>T{i} &amp; {'é' * (i % 7)}</news:title></news:news>" if i % 3 else ""
+        if i % 50 == 10:
+            parts.append("<!-- " + entry.format(f"hidden{i}", 19, "") * 3 + " -->\n")
+        parts.append(entry.format(i, 18 + i % 3, extra))
+    text = "".join(parts) + "</urlset>\n"
+    (tmp_path / "big.xml").write_text(text, encoding="utf-8")
+    (tmp_path / "none.xml").write_text("<urlset></urlset>", encoding="utf-8")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
+    try:
+        got = sorted(map(tuple, read_sitemaps(spark, str(tmp_path)).collect()), key=str)
+        ranges = spark.read.text(str(tmp_path / "big.xml")).select("_metadata.file_block_start").distinct().count()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    docs = rows("xml string", [(text,), ("<urlset></urlset>",)])
+    want = sorted(map(tuple, sitemap_urls(docs, "xml").collect()), key=str)
+    assert got == want and ranges >= 8
+    assert not any("hidden" in (r[0] or "") for r in got) and len(got) == 401
