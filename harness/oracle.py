@@ -401,6 +401,14 @@ ORACLE["extract_sitemap"] = """
     category, d AS date_text FROM o
   UNION ALL
   SELECT k, 'Judul ' || k || ' & lain', 'https://news.example/' || k, category, d FROM o"""
+ORACLE["sitemap_files"] = """
+  WITH o AS (SELECT CAST(o_orderkey AS VARCHAR) AS k, strftime(o_orderdate, '%Y-%m-%d') AS d,
+                    strftime(CAST(o_orderdate AS DATE) - 1, '%Y-%m-%d') AS old FROM orders)
+  SELECT 'https://news.example/politik/harga-emas-naik-2026-' || k || '?ref=' || k AS loc, d AS day,
+         CAST(NULL AS VARCHAR) AS news_title, CAST(NULL AS VARCHAR) AS reason FROM o
+  UNION ALL SELECT 'https://news.example/' || k, d, 'Judul ' || k || ' & lain', NULL FROM o
+  UNION ALL SELECT 'https://news.example/lama-' || k, old, NULL, NULL FROM o
+  UNION ALL SELECT NULL, d, NULL, 'missing_link' FROM o"""
 ORACLE["sitemap_rejects"] = """WITH o AS (SELECT o_orderkey AS k FROM orders),
   whole AS (SELECT k FROM o WHERE k % 5 <> 0)
   SELECT k AS doc_id, 'article' AS outcome, 'https://n.example/a?x=1&y=' || k AS link FROM whole

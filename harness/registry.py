@@ -51,7 +51,7 @@ from newsrisk.sources.listing import (
     parse_listing,
     rejects,
 )
-from newsrisk.sources.sitemap import sitemap_articles, sitemap_rejects, sitemap_urls
+from newsrisk.sources.sitemap import read_sitemaps, sitemap_articles, sitemap_rejects, sitemap_urls
 from newsrisk.streaming.ingest import start_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -585,6 +585,20 @@ def q_extract_sitemap(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("sitemap_files")
+def q_sitemap_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The sitemap documents written as four large files, read back in byte ranges."""
+    folder = scratch_path(spark, "sitemaps")
+    A.sitemaps(spark, sf).select("xml").repartition(4).write.text(folder)
+    urls = read_sitemaps(spark, folder)
+    return urls.select(
+        F.nullif(F.trim("loc"), F.lit("")).alias("loc"),
+        F.substring("lastmod", 1, 10).alias("day"),
+        F.trim("news_title").alias("news_title"),
+        "reason",
+    )
+
+
 @query("sitemap_rejects")
 def q_sitemap_rejects(spark: SparkSession, sf: str) -> DataFrame:
     """Every entry of broken sitemaps: an article, one of another date, or a reject."""
