@@ -10,8 +10,9 @@ Two words are near when one inserted, deleted or replaced code point turns one i
 They are found by a frequency-vector trie: a word's vector counts its letters by ``GROUPS``
 letter groups, and a near word's vector differs by at most +1 in one group and -1 in another.
 The vocabulary is cut into blocks so that near words always share one: the groups form three
-parts, an edit changes at most two of them, so near words agree on the counts of one part at
-least, and every word goes to one block per part.  A pair is reported by the first part on which
+parts (group g in part g mod 3, so that each part holds frequent and rare letters), an edit
+changes at most two of them, so near words agree on the counts of one part at least, and every
+word goes to one block per part.  A pair is reported by the first part on which
 its words agree, so once.  Within a block the words are sorted by their vectors (the trie, each
 node a range of the sorted list); a word's search walks it group by group and may spend a
 surplus of one and a deficit of one; the words in the leaves reached are verified exactly.
@@ -43,8 +44,8 @@ SHORTEST, COMMON, STEP = 6, 5, 5
 #: Letter groups of the vectors (three parts of ten), the most words a task searches in, and
 #: the queries searched at once (which bounds the candidates held).
 GROUPS, BLOCK, CHUNK = 30, 50_000, 2048
-#: a-z from frequent to rare in English prose, each its own group, so that the three parts
-#: carry about as many letters of a typical word; the letters of U+00C0..U+00FF share groups.
+#: a-z from frequent to rare in English prose, each its own group; dealt round the three parts,
+#: they carry about as many letters of a typical word; the letters of U+00C0..U+00FF share groups.
 _ORDER = "etaoinshrdlcumwfgypbvkjxqz"
 
 
@@ -146,7 +147,7 @@ def _near_in_block(block: pd.DataFrame) -> pd.DataFrame:
     vecs, words = vecs[order], index["word"].to_numpy()[order]
     qvecs = np.array(queries["vec"].tolist(), np.int64).reshape(len(queries), GROUPS)
     qwords = queries["word"].to_numpy()
-    part, width = int(block["part"].iloc[0]), GROUPS // 3
+    part = int(block["part"].iloc[0])
     found_word, found_near = [], []
     for at in range(0, len(qvecs), CHUNK):
         who, row = _walk(vecs, qvecs[at : at + CHUNK])
@@ -154,8 +155,7 @@ def _near_in_block(block: pd.DataFrame) -> pd.DataFrame:
         # A pair is reported by the first part on which the two words agree.
         earlier = np.zeros(len(who), bool)
         for q in range(part):
-            cols = slice(q * width, (q + 1) * width)
-            earlier |= (qvecs[who, cols] == vecs[row, cols]).all(axis=1)
+            earlier |= (qvecs[who][:, q::3] == vecs[row][:, q::3]).all(axis=1)
         for a, b in zip(qwords[who[~earlier]], words[row[~earlier]], strict=True):
             if one_edit(a, b):
                 found_word.append(a)
@@ -165,10 +165,9 @@ def _near_in_block(block: pd.DataFrame) -> pd.DataFrame:
 
 def near_pairs(vocab: DataFrame, block: int = BLOCK) -> DataFrame:
     """(word, near): every ordered pair of vocabulary words one edit apart, once."""
-    parts = GROUPS // 3
     keyed = vocab.select(
         "word", "vec", F.explode(F.sequence(F.lit(0), F.lit(2))).alias("part")
-    ).withColumn("sub", F.slice("vec", F.col("part") * parts + 1, parts))
+    ).withColumn("sub", F.filter("vec", lambda x, i: i % 3 == F.col("part")))
     keyed = stored(keyed, "spelling_keys")
     # Blocks above ``block`` words: at most 3 * |vocabulary| / block rows.
     hot = keyed.groupBy("part", "sub").agg(F.count("*").alias("size")).where(F.col("size") > block)
