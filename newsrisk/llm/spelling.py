@@ -139,6 +139,42 @@ def _walk(vecs: np.ndarray, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.repeat(q, sizes), starts + offsets
 
 
+def _points(words: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Code points of words of at most ``width``, padded left-aligned and right-aligned, and lengths."""
+    lengths = np.array([len(w) for w in words], np.int64)
+    left = np.zeros((len(words), width), np.uint32)
+    right = np.zeros((len(words), width), np.uint32)
+    for i, w in enumerate(words):
+        if lengths[i] <= width:
+            cps = np.frombuffer(w.encode("utf-32-le"), np.uint32)
+            left[i, : len(cps)] = cps
+            right[i, width - len(cps) :] = cps
+    return left, right, lengths
+
+
+def _one_edit_pairs(a: tuple, b: tuple, who: np.ndarray, row: np.ndarray, width: int) -> np.ndarray:
+    """``one_edit`` for many pairs of words of at most ``width`` code points, in numpy.
+
+    With p the common prefix and q the common suffix of two words (the longer of length L), one
+    edit turns one into the other exactly when they differ and p + q >= L - 1 (same lengths:
+    the one replaced place; lengths one apart: the deleted one).
+    """
+    (al, ar, alen), (bl, br, blen) = a, b
+    la, lb = alen[who], blen[row]
+    longer = np.maximum(la, lb)
+    sentinel = np.ones((len(who), 1), bool)
+    same = np.concatenate([al[who] != bl[row], sentinel], axis=1)
+    prefix = np.minimum(same.argmax(axis=1), np.minimum(la, lb))
+    tail = np.concatenate([(ar[who] != br[row])[:, ::-1], sentinel], axis=1)
+    suffix = np.minimum(tail.argmax(axis=1), np.minimum(la, lb))
+    differ = (la != lb) | (prefix < la)
+    return differ & (np.abs(la - lb) <= 1) & (prefix + suffix >= longer - 1)
+
+
+#: Words up to this many code points are verified in numpy; longer ones one by one.
+WIDE = 32
+
+
 def _near_in_block(block: pd.DataFrame) -> pd.DataFrame:
     index = block[block["role"] == 1]
     queries = block[block["role"] == 0]
@@ -148,6 +184,7 @@ def _near_in_block(block: pd.DataFrame) -> pd.DataFrame:
     qvecs = np.array(queries["vec"].tolist(), np.int64).reshape(len(queries), GROUPS)
     qwords = queries["word"].to_numpy()
     part = int(block["part"].iloc[0])
+    qcodes, codes = _points(qwords, WIDE), _points(words, WIDE)
     found_word, found_near = [], []
     for at in range(0, len(qvecs), CHUNK):
         who, row = _walk(vecs, qvecs[at : at + CHUNK])
@@ -156,7 +193,12 @@ def _near_in_block(block: pd.DataFrame) -> pd.DataFrame:
         earlier = np.zeros(len(who), bool)
         for q in range(part):
             earlier |= (qvecs[who][:, q::3] == vecs[row][:, q::3]).all(axis=1)
-        for a, b in zip(qwords[who[~earlier]], words[row[~earlier]], strict=True):
+        who, row = who[~earlier], row[~earlier]
+        short = (qcodes[2][who] <= WIDE) & (codes[2][row] <= WIDE)
+        hit = _one_edit_pairs(qcodes, codes, who[short], row[short], WIDE)
+        found_word.extend(qwords[who[short][hit]])
+        found_near.extend(words[row[short][hit]])
+        for a, b in zip(qwords[who[~short]], words[row[~short]], strict=True):
             if one_edit(a, b):
                 found_word.append(a)
                 found_near.append(b)

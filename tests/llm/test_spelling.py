@@ -63,6 +63,9 @@ def fixture(seed=3, size=400):
         rows.append((i, text.upper() if i % 7 == 0 else text))
     rows += [(None, "Colour colour COLOUR colour colour"), (None, None), (5, ""), (5, "colour " * 30)]
     rows += [(9, "programme, PROGRAMME; programme") for _ in range(6)]
+    # Words longer than the numpy check's width go the slow way.
+    long = "abcdefghij" * 4
+    rows += [(11, " ".join([long] * 30 + [long[:-1] + "z"] * 5 + [long + "k"] * 5))]
     return rows
 
 
