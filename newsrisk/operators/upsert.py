@@ -91,8 +91,9 @@ def _changed(spec: UpsertSpec, prefix: str = "") -> Column:
 def apply_upsert(mart: DataFrame, target: DataFrame, spec: UpsertSpec) -> DataFrame:
     """The target after the upsert: appended and updated rows replace, the rest stays.
 
-    One outer join by key, so mart and target are each read once.  Rows of the target that
-    repeat a key are all replaced by an update and all kept by a skip.
+    One outer join by key, so mart and target are each read once.  With a row column, the last
+    row of a key decides and an update leaves one row of it; without one, a key that the target
+    lists twice raises, as in ``plan_upsert``.
     """
     columns = list(mart.columns)
     new = stringify_dates(mart).fillna(0).select(F.struct(*columns).alias("new"), F.col(spec.key).alias("_new"))
@@ -106,7 +107,9 @@ def apply_upsert(mart: DataFrame, target: DataFrame, spec: UpsertSpec) -> DataFr
         # The last row of a key decides, and an update leaves one row of it.
         old = old.withColumn("_rank", F.row_number().over(last)).withColumn("_state", F.first("_state").over(last))
     else:
-        old = old.withColumn("_rank", F.lit(1))
+        twice = F.raise_error(F.concat(F.lit("the target lists a key twice and has no row column: "), "_old"))
+        listed = F.count("*").over(Window.partitionBy("_old"))
+        old = old.withColumn("_rank", F.when(listed > 1, twice).otherwise(F.lit(1)).cast("int"))
     both = old.join(new, F.col("_old") == F.col("_new"), "full_outer")
     replaced = F.col("_new").isNotNull() & (F.col("_old").isNull() | _changed(spec, "new."))
     kept = both.where(~replaced | (F.coalesce("_rank", F.lit(1)) == 1))

@@ -246,6 +246,16 @@ def test_merged_snapshot_and_delivery(rows, tmp_path):
         "2025-01-02": "update", "2025-01-03": "append"}
 
 
+def test_snapshot_refuses_a_key_listed_twice_without_rows(rows):
+    mart = rows("published_date date, total_articles long", [(D(2025, 1, 1), 10)])
+    sheet = rows("published_date string, total_articles long", [("2025-01-01", 4), ("2025-01-01", 7)])
+    for make in (plan_upsert, apply_upsert):
+        with pytest.raises(Exception, match="lists a key twice"):
+            make(mart, sheet, SPEC).collect()
+    once = rows("published_date string, total_articles long", [("2025-01-01", 4), ("2025-01-02", 7)])
+    assert {tuple(r) for r in apply_upsert(mart, once, SPEC).collect()} == {("2025-01-01", 10), ("2025-01-02", 7)}
+
+
 # ---- union, counters, quality ----------------------------------------------------------
 
 
