@@ -15,6 +15,12 @@ from newsrisk.sources.sitemap import sitemap_articles, sitemap_rejects, sitemap_
 REJECT_COLUMNS = ("source", "origin", "reason", "title", "link")
 
 
+def _order(df: DataFrame, origin: int, place: str) -> F.Column:
+    """(origin, seq, place) as one long: 1 bit, 38 bits, 24 bits."""
+    seq = F.col("seq").cast("long") if "seq" in df.columns else F.lit(0).cast("long")
+    return F.lit(origin << 62) + F.shiftleft(seq, 24) + F.coalesce(F.col(place).cast("long"), F.lit(0))
+
+
 def extract(
     spark: SparkSession,
     target: dt.date | str,
@@ -28,9 +34,12 @@ def extract(
 
     ``pages`` has ``source``, ``category``, ``layout``, ``html`` and, if pages were fetched on
     different days, ``fetched_on`` (default: ``as_of``, or the day after ``target``).  ``sitemaps`` has ``source``,
-    ``category`` and ``xml``.  Every page and document is parsed once and its result stored
-    while articles and rejects are taken from it.  A link that occurs again keeps its last
-    occurrence; sitemaps come after pages.
+    ``category`` and ``xml``.  Both may have ``seq``, the order in which they were fetched.
+    Every page and document is parsed once and its result stored while articles and rejects are
+    taken from it.  A link that occurs again keeps its last occurrence: by ``seq``, then by place
+    on the page or in the document; sitemaps come after pages.  The order is carried as columns,
+    so it does not depend on files or partitions; without ``seq``, occurrences on different pages
+    tie and one of them is kept.
     """
     found: list[DataFrame] = []
     refused: list[DataFrame] = []
@@ -53,20 +62,19 @@ def extract(
             if "fetched_on" in pages.columns:
                 fetched = F.coalesce(F.col("fetched_on").cast("date"), fetched)
             items = once(listing_items(parse_listing(pages, fetched, day)))
-            found.append(accepted(items))
+            found.append(accepted(items).withColumn("_order", _order(items, 0, "pos")))
             refused.append(reject_rows(rejects(items), "page"))
         if sitemaps is not None:
             urls = once(sitemap_urls(sitemaps, "xml"))
-            found.append(sitemap_articles(urls, day))
+            found.append(sitemap_articles(urls, day).withColumn("_order", _order(urls, 1, "position")))
             refused.append(reject_rows(sitemap_rejects(urls), "sitemap"))
         if not found:
             raise ValueError("give pages or sitemaps")
-        articles, broken = found[0].select(*ARTICLE_COLUMNS), refused[0]
+        articles, broken = found[0].select(*ARTICLE_COLUMNS, "_order"), refused[0]
         for more, bad in zip(found[1:], refused[1:], strict=True):
-            articles, broken = articles.unionByName(more.select(*ARTICLE_COLUMNS)), broken.unionByName(bad)
-        ordered = articles.withColumns(
-            {"published_date": day, "ingest_seq": F.monotonically_increasing_id()}
-        )
+            articles = articles.unionByName(more.select(*ARTICLE_COLUMNS, "_order"))
+            broken = broken.unionByName(bad)
+        ordered = articles.withColumns({"published_date": day, "ingest_seq": F.col("_order")}).drop("_order")
         write_landing(ordered, landing, order="ingest_seq")
         broken.select(*REJECT_COLUMNS).hint("rebalance").write.mode("overwrite").parquet(reject_path)
     finally:

@@ -130,6 +130,7 @@ def _entry(piece: Column) -> Column:
 def sitemap_urls(documents: DataFrame, xml: str) -> DataFrame:
     """One row per ``<url>`` of the sitemaps in the text column ``xml``, or more exactly:
 
+    ``position`` is the entry's place in its document (from 0).
     ``loc``, ``lastmod`` and ``news_title`` are the entry's first of each.  Entries are read
     one by one, so a broken one does not take its document along; entries inside comments are
     none, and ``<s:url>`` is read as ``<url>`` with its ``s:`` tags.  ``reason`` tells why an
@@ -137,8 +138,8 @@ def sitemap_urls(documents: DataFrame, xml: str) -> DataFrame:
     ``unreadable_entry``, ``missing_link`` or ``bad_date``.
     """
     kept = [c for c in documents.columns if c != xml]
-    entries = documents.select(*kept, F.explode_outer(_pieces(F.col(xml))).alias("_piece"))
-    return _fields(entries, kept)
+    entries = documents.select(*kept, F.posexplode_outer(_pieces(F.col(xml))).alias("position", "_piece"))
+    return _fields(entries, [*kept, "position"])
 
 
 def _fields(entries: DataFrame, kept: list[str]) -> DataFrame:

@@ -75,3 +75,26 @@ def test_pages_to_marts_through_the_steps(spark, tmp_path):
     main(["check", "--bronze", bronze])
     with pytest.raises(SystemExit):
         main(["check", "--bronze", bronze, "--marts", marts])  # the only day has no relevant article
+
+
+def test_last_occurrence_follows_the_fetch_order_not_file_sizes(spark, tmp_path):
+    from newsrisk.plans.extract import extract
+    from newsrisk.sources.articles import read_articles
+
+    post = (
+        "<div class='row x'><h2 class='post_title'><a href='https://n/same'>{}</a></h2>"
+        "<span class='text-secondary'> Kemarin 15:37</span></div>"
+    )
+    for order in ((1, 2, 3, 4), (4, 3, 2, 1)):
+        pages = tmp_path / f"pages{order[0]}"
+        for n, seq in enumerate(order):
+            # Files of different sizes, which Spark reads largest first.
+            html = post.format(f"page {n}") + "<p>" + "x" * (1000 * (n % 2 + 1) * (n + 1)) + "</p>"
+            spark.createDataFrame(
+                [("wire", "c", "post_rows", html, seq)], "source string, category string, layout string, html string, seq int"
+            ).write.mode("append").parquet(str(pages))
+        landing = str(tmp_path / f"landing{order[0]}")
+        extract(spark, "2025-06-15", landing, str(tmp_path / f"rejects{order[0]}"), spark.read.parquet(str(pages)),
+                as_of="2025-06-16")
+        got = [r.title for r in read_articles(spark, landing, as_of="2025-06-16").collect()]
+        assert got == [f"page {order.index(4)}"]
