@@ -18,8 +18,8 @@ with a stack of at most five phrases, which gives, without any hashing, the coun
 prefix (l), of every suffix (r) and of the largest extension to the right and to the left.  As
 f can only shrink when a phrase grows, a candidate lies inside a longer candidate of at least its
 count exactly when one of its one-word extensions has its count.  The streams are laid out by
-ranges of the phrase order; a range starts with the stack the earlier ranges leave open, which
-is looked up for its first phrase (at most four phrases a range).
+ranges of the phrase order; a range starts with the prefixes of its first phrase open on the
+stack, whose counts are looked up after the walk (at most four phrases a range).
 
 Scores are computed with decimals of 38 digits and an integral division, so they are exact for
 all inputs up to 10^13 words a language.  Rows with extra columns keep none of them; an empty
@@ -102,12 +102,14 @@ def counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, small: i
     return frequent, n
 
 
-def _walk(batches: Iterator[pa.RecordBatch], seeds: dict) -> Iterator[pa.RecordBatch]:
+def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Phrases in stream order to (lang, phrase, f, parts, ext, seeded).
 
     ``parts`` are the counts of the phrase's proper prefixes by length, ``ext`` the largest count
     of a one-word extension in this range (0 if none).  The stack holds the prefixes of the
-    current phrase; those that an earlier range left open come out with ``seeded``.
+    current phrase.  Those that an earlier range left open (the prefixes of the range's first
+    phrase) stand on it with an unknown count: they come out with ``seeded``, and the parts
+    they give are null until ``_fill``.
     """
     stack: list[list] = []  # [lang, words, f, ext, seeded]
     out: list[list] = []
@@ -120,7 +122,7 @@ def _walk(batches: Iterator[pa.RecordBatch], seeds: dict) -> Iterator[pa.RecordB
     for batch in batches:
         for lang, words, f in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if first:
-                stack = [[lang, words[:k], seeds[(lang, tuple(words[:k]))], 0, True] for k in range(1, len(words))]
+                stack = [[lang, words[:k], None, 0, True] for k in range(1, len(words))]
                 first = False
             while stack and (stack[-1][0] != lang or stack[-1][1] != words[: len(stack[-1][1])]):
                 pop()
@@ -135,6 +137,17 @@ def _walk(batches: Iterator[pa.RecordBatch], seeds: dict) -> Iterator[pa.RecordB
     yield _batch(out)
 
 
+def _fill(batches: Iterator[pa.RecordBatch], seeds: dict) -> Iterator[pa.RecordBatch]:
+    """Null parts (prefixes an earlier range left open) from their counts."""
+    for batch in batches:
+        rows = [list(r) for r in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
+        for row in rows:
+            lang, words, parts = row[0], row[1], row[3]
+            if None in parts:
+                row[3] = [seeds[(lang, tuple(words[: i + 1]))] if x is None else x for i, x in enumerate(parts)]
+        yield _batch(rows)
+
+
 def _batch(rows: list[list]) -> pa.RecordBatch:
     cols = list(zip(*rows, strict=True)) if rows else [[]] * 6
     types = [pa.string(), pa.list_(pa.string()), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.bool_()]
@@ -146,22 +159,19 @@ def _batch(rows: list[list]) -> pa.RecordBatch:
 def stream(frequent: DataFrame, reverse: bool) -> DataFrame:
     """(lang, phrase, f, parts, ext): one walk over ``frequent`` in prefix order, or suffix order.
 
-    The phrases are range-partitioned by (lang, key) and sorted within each range.  A range's
-    first phrase has its open prefixes (at most ``LONGEST - 1``) looked up in the counts and
-    passed to its task; the extensions those prefixes meet in later ranges are merged after.
+    The phrases are range-partitioned by (lang, key) and sorted within each range.  The
+    prefixes that a range finds open (at most ``LONGEST - 1``) are looked up in the counts after
+    the walk, from the walk's own output, and the extensions they meet are merged.
     """
     keyed = frequent.select("lang", (F.reverse("phrase") if reverse else F.col("phrase")).alias("phrase"), "f")
     laid = keyed.repartitionByRange("lang", "phrase").sortWithinPartitions("lang", "phrase")
-    firsts = laid.groupBy(F.spark_partition_id().alias("part")).agg(F.min(F.struct("lang", "phrase")).alias("first"))
-    prefix = F.transform(F.sequence(F.lit(1), F.size("first.phrase")), lambda k: F.slice("first.phrase", 1, k))
-    # At most LONGEST rows a range of the stream.
-    wanted = firsts.select(F.col("first.lang").alias("lang"), F.explode(prefix).alias("phrase")).distinct()
-    seeds = {(r.lang, tuple(r.phrase)): r.f for r in keyed.join(wanted, ["lang", "phrase"]).collect()}
-    walked = laid.mapInArrow(lambda batches: _walk(batches, seeds), OUT)
-    walked = stored(walked, "collocation_walk")
-    # At most LONGEST - 1 rows a range.
+    walked = stored(laid.mapInArrow(_walk, OUT), "collocation_walk")
+    # The prefixes that ranges found open: at most LONGEST - 1 rows a range.
     later = walked.where("seeded").groupBy("lang", "phrase").agg(F.max("ext").alias("later"))
-    whole = walked.where(~F.col("seeded")).join(F.broadcast(later), ["lang", "phrase"], "left")
+    later = stored(later, "collocation_open")
+    seeds = {(r.lang, tuple(r.phrase)): r.f for r in keyed.join(later, ["lang", "phrase"]).collect()}
+    own = walked.where(~F.col("seeded")).mapInArrow(lambda batches: _fill(batches, seeds), OUT)
+    whole = own.join(F.broadcast(later), ["lang", "phrase"], "left")
     whole = whole.select(
         "lang",
         F.reverse("phrase").alias("phrase") if reverse else "phrase",
