@@ -95,10 +95,11 @@ def context_vectors(docs: DataFrame, vocab: dict[str, int]) -> np.ndarray:
                 if len(words) < 2:
                     continue
                 uniq, inv = np.unique(np.array(words, dtype=object), return_inverse=True)
+                # Forget between texts only, so that a text's words stay while it is read.
+                if len(cache) + len(uniq) > 200_000:
+                    cache.clear()
                 for w in uniq:
                     if w not in cache:
-                        if len(cache) > 200_000:
-                            cache.clear()
                         cache[w] = (vocab.get(w, -1), *index_vector(w))
                 known = [cache[w] for w in uniq]
                 ids = np.array([k[0] for k in known], np.int64)[inv]
