@@ -61,6 +61,32 @@ def index_vector(word: str) -> tuple[np.ndarray, np.ndarray]:
     return np.array([b % DIM for b in bits]), np.array([1.0 if (b >> 16) & 1 else -1.0 for b in bits])
 
 
+class _WordTable:
+    """Per task: a number for every word met, with its vocabulary number and index vector."""
+
+    def __init__(self, vocab: dict[str, int], most: int = 1 << 21):
+        self.known, self.lookup, self.most = {}, vocab, most
+        self.vocab = np.empty(1 << 12, np.int64)
+        self.places = np.empty((1 << 12, NONZERO), np.int64)
+        self.signs = np.empty((1 << 12, NONZERO))
+
+    def _add(self, word: str) -> int:
+        at = len(self.known)
+        if at == len(self.vocab):
+            self.vocab, self.places, self.signs = (np.concatenate([a, np.empty_like(a)]) for a in (self.vocab, self.places, self.signs))
+        self.known[word] = at
+        self.vocab[at] = self.lookup.get(word, -1)
+        self.places[at], self.signs[at] = index_vector(word)
+        return at
+
+    def ids(self, words: list[str]) -> np.ndarray:
+        """Numbers of the words; the table starts again between texts once it holds ``most``."""
+        if len(self.known) > self.most:
+            self.known = {}
+        known, add = self.known, self._add
+        return np.fromiter((known[w] if w in known else add(w) for w in words), np.int64, len(words))
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """(word, n) over all texts, combined in each batch before the shuffle."""
 
@@ -86,36 +112,34 @@ def context_vectors(docs: DataFrame, vocab: dict[str, int]) -> np.ndarray:
     """Unit context vectors of the vocabulary: sums over all documents, combined by Spark."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache: dict[str, tuple] = {}
+        table = _WordTable(vocab)
         for batch in batches:
-            sums = np.zeros((len(vocab), DIM), np.float64)
+            sums = np.zeros(len(vocab) * DIM, np.float64)
             touched = np.zeros(len(vocab), bool)
+            spots, weights, held = [], [], 0
             for text in batch.column(0).to_pylist():
                 words = words_of(text)
                 if len(words) < 2:
                     continue
-                uniq, inv = np.unique(np.array(words, dtype=object), return_inverse=True)
-                # Forget between texts only, so that a text's words stay while it is read.
-                if len(cache) + len(uniq) > 200_000:
-                    cache.clear()
-                for w in uniq:
-                    if w not in cache:
-                        cache[w] = (vocab.get(w, -1), *index_vector(w))
-                known = [cache[w] for w in uniq]
-                ids = np.array([k[0] for k in known], np.int64)[inv]
-                places = np.array([k[1] for k in known], np.int64)[inv]
-                signs = np.array([k[2] for k in known])[inv]
+                local = table.ids(words)
+                ids, places, signs = table.vocab[local], table.places[local], table.signs[local]
                 for d in [*range(-WINDOW, 0), *range(1, WINDOW + 1)]:
                     at = np.arange(max(0, -d), min(len(words), len(words) - d))
                     at = at[ids[at] >= 0]
                     if len(at):
-                        rows = np.repeat(ids[at], NONZERO)
-                        np.add.at(sums, (rows, places[at + d].ravel()), signs[at + d].ravel())
+                        spots.append((ids[at][:, None] * DIM + places[at + d]).ravel())
+                        weights.append(signs[at + d].ravel())
                         touched[ids[at]] = True
+                        held += len(at) * NONZERO
+                if held > 1 << 22:
+                    sums += np.bincount(np.concatenate(spots), np.concatenate(weights), len(sums))
+                    spots, weights, held = [], [], 0
+            if spots:
+                sums += np.bincount(np.concatenate(spots), np.concatenate(weights), len(sums))
             word = np.flatnonzero(touched)
+            rows = sums.reshape(len(vocab), DIM)[word].astype(np.float32)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(word, pa.int32()), pa.array(list(sums[word].astype(np.float32)), pa.list_(pa.float32()))],
-                names=["id", "vec"],
+                [pa.array(word, pa.int32()), pa.array(list(rows), pa.list_(pa.float32()))], names=["id", "vec"]
             )
 
     parts = docs.select("text").mapInArrow(gather, "id int, vec array<float>")
@@ -150,12 +174,9 @@ def features(text: str | None, vocab: dict[str, int], matrix: np.ndarray) -> np.
     """Pooled context vectors and measures of shape of one text."""
     text = text or ""
     words = words_of(text)
-    if words:
-        uniq, inv = np.unique(np.array(words, dtype=object), return_inverse=True)
-        ids = np.array([vocab.get(w, -1) for w in uniq], np.int64)[inv]
-        lengths = np.array([len(w) for w in uniq])[inv]
-    else:
-        uniq, ids, lengths = [], np.zeros(0, np.int64), np.zeros(0)
+    ids = np.fromiter((vocab.get(w, -1) for w in words), np.int64, len(words))
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    uniq = set(words)
     known = ids[ids >= 0]
     pooled = matrix[known].mean(axis=0) if len(known) else np.zeros(DIM, np.float32)
     points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
