@@ -4,7 +4,8 @@ Random indexing: every word has a fixed sparse index vector (``NONZERO`` entries
 places drawn from a hash of the word, in ``DIM`` dimensions).  A word's context vector is the sum
 of the index vectors of the words around each of its occurrences (``WINDOW`` on each side), over
 all documents; the ``VOCAB`` most frequent words (counted over all documents, ties by the word)
-have one.  A document's features are the mean of the unit context vectors of its known words and
+have one.  Each task sums its own texts first, so at most ``VOCAB`` x ``DIM`` entries leave it.
+A document's features are the mean of the unit context vectors of its known words and
 a few measures of its shape (length, share of unknown words, letters, digits, capitals, symbols,
 distinct words and repeated lines).  A network of one hidden layer (``HIDDEN`` tanh units) and a
 logistic output is fitted in numpy to the labels, and its logits are divided by a temperature
@@ -37,7 +38,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from newsrisk.llm.common import stored
 
 #: Dimensions, entries of an index vector, neighbours on each side, words with a vector.
-DIM, NONZERO, WINDOW, VOCAB = 128, 4, 2, 1 << 15
+DIM, NONZERO, WINDOW, VOCAB = 64, 4, 2, 1 << 13
 #: Labelled documents a class that the fit may use; hidden units, steps, weight decay.
 SAMPLE, HIDDEN, STEPS, DECAY = 20_000, 32, 600, 1e-3
 #: Predicted 1 from this score on.
@@ -112,11 +113,11 @@ def context_vectors(docs: DataFrame, vocab: dict[str, int]) -> np.ndarray:
     """Unit context vectors of the vocabulary: sums over all documents, combined by Spark."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Sums of the whole task: at most VOCAB x DIM entries leave it, whatever its input.
         table = _WordTable(vocab)
+        sums = np.zeros(len(vocab) * DIM, np.float64)
+        spots, weights, held = [], [], 0
         for batch in batches:
-            sums = np.zeros(len(vocab) * DIM, np.float64)
-            touched = np.zeros(len(vocab), bool)
-            spots, weights, held = [], [], 0
             for text in batch.column(0).to_pylist():
                 words = words_of(text)
                 if len(words) < 2:
@@ -129,21 +130,20 @@ def context_vectors(docs: DataFrame, vocab: dict[str, int]) -> np.ndarray:
                     if len(at):
                         spots.append((ids[at][:, None] * DIM + places[at + d]).ravel())
                         weights.append(signs[at + d].ravel())
-                        touched[ids[at]] = True
                         held += len(at) * NONZERO
                 if held > 1 << 22:
                     sums += np.bincount(np.concatenate(spots), np.concatenate(weights), len(sums))
                     spots, weights, held = [], [], 0
-            if spots:
-                sums += np.bincount(np.concatenate(spots), np.concatenate(weights), len(sums))
-            word = np.flatnonzero(touched)
-            rows = sums.reshape(len(vocab), DIM)[word].astype(np.float32)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(word, pa.int32()), pa.array(list(rows), pa.list_(pa.float32()))], names=["id", "vec"]
-            )
+        if spots:
+            sums += np.bincount(np.concatenate(spots), np.concatenate(weights), len(sums))
+        spot = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(spot // DIM, pa.int32()), pa.array(spot % DIM, pa.int32()), pa.array(sums[spot], pa.float64())],
+            names=["id", "dim", "v"],
+        )
 
-    parts = docs.select("text").mapInArrow(gather, "id int, vec array<float>")
-    summed = parts.select("id", F.posexplode("vec").alias("dim", "v")).groupBy("id", "dim").agg(F.sum("v").alias("v"))
+    parts = docs.select("text").mapInArrow(gather, "id int, dim int, v double")
+    summed = parts.groupBy("id", "dim").agg(F.sum("v").alias("v"))
     by_word = summed.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("dim", "v"))).alias("m"))
     dense = F.transform(F.sequence(F.lit(0), F.lit(DIM - 1)), lambda d: F.coalesce(F.element_at("m", d), F.lit(0.0)))
     # At most VOCAB rows of DIM numbers, as Arrow columns.
