@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
 from newsrisk.functions.dates import as_date, long_date, relative_date
-from newsrisk.sources.html import parse, select, select_one
+from newsrisk.sources.html import parse, release, select, select_one
 
 
 @dataclass(frozen=True)
@@ -127,7 +127,9 @@ def _items(html: str, layout: ListingLayout) -> tuple[bool, list[dict]]:
         date_text = date_node.text() if date_node is not None else layout.date_default
         items.append({"pos": pos, "title": title, "link": link, "date_text": date_text})
     more = select_one(root, layout.next_page)
-    return more is not None and not more.attrs.get("disabled"), items
+    found = more is not None and not more.attrs.get("disabled"), items
+    release(root)
+    return found
 
 
 def _parser(layouts: Mapping[str, ListingLayout]):

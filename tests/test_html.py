@@ -2,6 +2,7 @@ import time
 
 import pytest
 
+from newsrisk.sources import html
 from newsrisk.sources.html import parse, select, select_one
 from newsrisk.sources.listing import LAYOUTS, ListingLayout, _items
 
@@ -73,3 +74,32 @@ def test_nested_chain_needs_its_parts_in_order():
     page = parse("<ul><li><b><ul><li><i>x</i></li></ul></b></li></ul><i>y</i>")
     assert [n.text() for n in select(page, "ul li i")] == ["x"]
     assert select(page, "b ul b") == [] and select(page, "i li") == []
+
+
+def standard(page):
+    builder = html._TreeBuilder()
+    builder.feed(page)
+    return builder.finish()
+
+
+def tree(root):
+    return [n if isinstance(n, str) else (n.tag, n.attrs, n.start, n.end, n.parent and n.parent.start) for n in root.nodes]
+
+
+PLAIN_PAGE = "<main><div class='row x'><a HREF=\"u\" b> T &amp; x<br/>&copy</a></p></div><LI>x > y<img src='a'></main>z"
+
+
+def test_plain_pages_do_not_go_through_the_standard_parser(monkeypatch):
+    expected = tree(standard(PLAIN_PAGE))
+    monkeypatch.setattr(html._TreeBuilder, "feed", None)
+    assert tree(html.parse(PLAIN_PAGE)) == expected
+
+
+@pytest.mark.parametrize(
+    "odd",
+    ["<!-- c -->", "<script>a<b</script>", "<title>x<b></title>", "<a href=u>", "<a href='?a=1&b=2'>", "< p>", "<x-y>",
+     "<p a='1'b='2'>", "</p >", "<", "</", "<a b = 'c'>", "<a href='>'>", "<!DOCTYPE html>", '<p a=""b>', "&#65;"],
+)
+def test_odd_markup_reads_as_the_standard_parser_does(odd):
+    page = PLAIN_PAGE + odd + PLAIN_PAGE
+    assert tree(html.parse(page)) == tree(standard(page))
