@@ -148,12 +148,16 @@ def iso_date(text: Column | str) -> Column:
             .otherwise(english(clean)),
         )
 
-    return let(
-        strip(text),
-        lambda clean: F.when(
-            clean.rlike(r"^[^ ]{4}-[^ ]{2}-[^ ]{2} "), F.left(clean, F.lit(10)).try_cast("date")
-        ).otherwise(unspaced(clean)),
-    )
+    def anywhere(text: Column) -> Column:
+        return let(
+            strip(text),
+            lambda clean: F.when(
+                clean.rlike(r"^[^ ]{4}-[^ ]{2}-[^ ]{2} "), F.left(clean, F.lit(10)).try_cast("date")
+            ).otherwise(unspaced(clean)),
+        )
+
+    # Text that begins with an ISO date is decided by it, whatever follows.
+    return F.when(text.rlike(f"^{ISO_DATE}"), F.left(text, F.lit(10)).try_cast("date")).otherwise(anywhere(text))
 
 
 def stringify_dates(df: DataFrame) -> DataFrame:

@@ -5,7 +5,14 @@ from pyspark.sql import functions as F
 
 from newsrisk.operators.stats import page_stats
 from newsrisk.sources.listing import LAYOUTS, accepted, listing_items, parse_listing, rejects
-from newsrisk.sources.sitemap import read_sitemaps, sitemap_articles, sitemap_rejects, sitemap_urls
+from newsrisk.sources.sitemap import (
+    _entries,
+    _entry,
+    read_sitemaps,
+    sitemap_articles,
+    sitemap_rejects,
+    sitemap_urls,
+)
 
 AS_OF = dt.date(2026, 5, 20)
 
@@ -295,3 +302,46 @@ def test_sitemap_files_in_byte_ranges(spark, rows, tmp_path):
     want = sorted(map(tuple, sitemap_urls(docs, "xml").drop("position").collect()), key=str)
     assert got == want and ranges >= 8
     assert not any("hidden" in (r[0] or "") for r in got) and len(got) == 401
+
+
+PLAIN_ENTRY = (
+    "<url>\n <loc> https://t.example/a?x=1&y=2&amp;lt; </loc>\r\n<lastmod>2026-05-15T01:02:03Z</lastmod>"
+    "<news:news><news:publication><news:name>n</news:name></news:publication>"
+    "<news:title>\U0001f600 &quot;J&apos; </news:title></news:news>"
+)
+ODD_ENTRIES = [
+    "<url a='b'><loc>x</loc>", "<url><loc>&#65;</loc>", "<url><loc><![CDATA[a&b]]></loc>", "<url><loc>a\rb</loc>",
+    "<url><loc>x</loc><loc>y</loc>", "<url><loc>a>b</loc>", "<url><loc>]]></loc>", "<url><loc>\x01</loc>",
+    "<url>text<loc>x</loc>", "<url><lastmod>x</lastmod><loc>y</loc>", "<url><loc/>", "<s:url><s:loc>x</s:loc>",
+    "<url><loc>x</loc><lastmo",
+]
+
+
+def test_plain_entries_do_not_go_through_the_xml_parser(rows):
+    fields = (None, "https://t.example/a?x=1&y=2&lt;", "2026-05-15T01:02:03Z", '\U0001f600 "J\'')
+    assert _entries(f"<urlset>{PLAIN_ENTRY}</url></urlset>") == [fields]
+    parsed = rows("p string", [(PLAIN_ENTRY,)]).select(_entry(F.col("p")).alias("u")).first().u
+    assert (parsed.loc, parsed.lastmod, parsed.news_title) == fields[1:]
+    assert [e[0] for e in _entries("</url>".join(ODD_ENTRIES))] == ODD_ENTRIES
+
+
+def test_an_unplain_entry_lends_nothing_to_the_next(rows):
+    xml = "<url><loc>a</loc><b/></url><url><lastmod>2026-05-15</lastmod></url><!-- <!-- --><url><loc>z</loc>"
+    urls = sitemap_urls(rows("xml string", [(xml,), (None,), ("<html>",)]), "xml").collect()
+    got = [(r.position, r.loc, r.lastmod, r.reason) for r in urls]
+    assert got[:3] == [
+        (0, "a", None, "bad_date"), (1, None, "2026-05-15", "missing_link"), (2, "z", None, "bad_date"),
+    ]
+    assert got[3:] == [(None, None, None, "unreadable_document")] * 2
+
+
+def test_files_without_entries_are_one_row_each(spark, tmp_path):
+    (tmp_path / "a.xml").write_text("<urlset><!-- <url><loc>x</loc></url> <url><loc>y</loc></url> --></urlset>")
+    (tmp_path / "b.xml").write_text(" ")
+    (tmp_path / "c.xml").write_text("<!-- --><url><loc>c</loc></url><!--" + "<url></url>" * 50 + "--><url><loc>d</loc></url>")
+    urls = read_sitemaps(spark, str(tmp_path))
+    assert sorted((r.loc or "", r.reason) for r in urls.collect()) == [
+        ("", "unreadable_document"), ("", "unreadable_document"), ("c", "bad_date"), ("d", "bad_date"),
+    ]
+    plan = urls._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 2
