@@ -5,7 +5,10 @@ The functions on bytes run inside Spark tasks, on one text at a time.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -42,6 +45,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of at most ``rows`` rows, so that a task makes Python objects of few texts."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def with_fields(df: DataFrame, ddl: str) -> StructType:
     """The schema of ``df`` and more fields behind it."""
     return StructType([*df.schema.fields, *StructType.fromDDL(ddl).fields])

@@ -20,12 +20,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from newsrisk.llm.common import CUTS, KEY, VALUES, as_bytes, covered, row_key, with_fields
+from newsrisk.llm.common import CUTS, KEY, VALUES, as_bytes, covered, row_key, sliced, with_fields
 from newsrisk.llm.superkmers import repeated, split
 
 WIDTH, GRAM, Q = 200, 32, 8
-#: Runs that share a minimiser before its windows travel one by one.
-HOT = 24_000
+#: Runs that share a minimiser, and windows in them, before its windows travel one by one.
+HOT, MOST = 24_000, 4_000_000
 OUT = ("n_bytes", "n_removed", "n_spans", "kept_bytes", "kept_text")
 
 
@@ -102,21 +102,21 @@ def repeated_runs(buckets: list[list[tuple]], width: int = WIDTH) -> Iterator[tu
             yield pid, [(a, b, first) for a, b in zip(starts.tolist(), stops.tolist(), strict=True)]
 
 
-def drop_repeated(docs: DataFrame, width: int = WIDTH, hot: int = HOT, as_text: bool = False) -> DataFrame:
+def drop_repeated(docs: DataFrame, width: int = WIDTH, hot: int = HOT, as_text: bool = False, most: int = MOST) -> DataFrame:
     """``docs`` with n_bytes, n_removed, n_spans (runs removed) and kept_bytes.
 
     ``as_text``: kept_text instead, without the bytes of characters of which a part has gone.
     """
     found = repeated(
         docs.select("doc_id", "text"), byte_values, byte_cutter, lambda b: repeated_runs(b, width),
-        width, min(GRAM, width), hot, size=500_000, earlier=False,
+        width, min(GRAM, width), hot, most, size=500_000, earlier=False,
     )
     kept = docs.drop(*OUT).withColumn(KEY, row_key()).join(found.toDF(KEY, CUTS), KEY, "left").drop(KEY)
     schema = with_fields(kept.drop(CUTS), "n_bytes long, n_removed long, n_spans long, " + ("kept_text string" if as_text else "kept_bytes binary"))
     text = schema.names.index("text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             *same, spans = batch.columns
             counts, removed, runs, left = [], [], [], []
             for value, cut in zip(batch.column(text).to_pylist(), spans.to_pylist(), strict=True):

@@ -17,12 +17,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from newsrisk.llm.common import CUTS, KEY, VALUES, as_bytes, covered, gram_hashes, mix, row_key, span_hashes, with_fields, word_spans
+from newsrisk.llm.common import CUTS, KEY, VALUES, as_bytes, covered, gram_hashes, mix, row_key, sliced, span_hashes, with_fields, word_spans
 from newsrisk.llm.superkmers import repeated, split
 
 WIDTH, GRAM = 50, 5
-#: Runs that share a minimiser before its windows travel one by one.
-HOT = 20_000
+#: Runs that share a minimiser, and windows in them, before its windows travel one by one.
+HOT, MOST = 20_000, 200_000
 OUT = ("n_words", "n_removed", "kept_text")
 
 
@@ -86,18 +86,18 @@ def first_owners(buckets: list[list[tuple]], width: int = WIDTH) -> Iterator[tup
         yield pid, [r for r in runs if times > 1 or r[2] < first]
 
 
-def drop_repeated(docs: DataFrame, width: int = WIDTH, hot: int = HOT) -> DataFrame:
+def drop_repeated(docs: DataFrame, width: int = WIDTH, hot: int = HOT, most: int = MOST) -> DataFrame:
     """``docs`` with n_words, n_removed and kept_text (the words left, joined by one blank)."""
     found = repeated(
         docs.select("doc_id", "text"), word_values, word_cutter, lambda b: first_owners(b, width),
-        width, min(GRAM, width), hot, size=50_000, earlier=True,
+        width, min(GRAM, width), hot, most, size=50_000, earlier=True,
     )
     kept = docs.drop(*OUT).withColumn(KEY, row_key()).join(found.toDF(KEY, CUTS), KEY, "left").drop(KEY)
     schema = with_fields(kept.drop(CUTS), "n_words long, n_removed long, kept_text string")
     text = schema.names.index("text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             *same, spans = batch.columns
             counts, removed, left = [], [], []
             for value, cut in zip(batch.column(text).to_pylist(), spans.to_pylist(), strict=True):

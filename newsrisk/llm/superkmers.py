@@ -7,9 +7,12 @@ mostly share theirs, so a run of windows with one minimiser travels as one packe
 1. ``super_windows``: one row a run (minimiser, place), no text.
 2. ``wanted``: runs whose minimiser occurs once cannot hold a repeat and are left behind.
 3. ``pack``: the others are cut out of the texts.  A minimiser shared by more than ``hot``
-   runs would make one bucket too large; its windows go one by one under their digests.
+   runs, or by runs of more than ``most`` windows together (a text that repeats itself makes one
+   long run), would make one bucket too large; its windows go one by one under their digests,
+   equal windows of a run together.
 4. ``distinct``: equal strings become one row with their number and least owner, before
-   anything is brought together by bucket.  What is left of a bucket is at most ``hot`` strings.
+   anything is brought together by bucket.  What is left of a bucket is at most ``hot``
+   strings and ``most`` windows.
 5. The caller compares the windows of each bucket (``by_bucket``) and
 6. ``cuts`` brings the answers back to the texts.
 
@@ -25,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from newsrisk.llm.common import LAST, gram_hashes, row_key, sliding_min, stored
+from newsrisk.llm.common import LAST, gram_hashes, row_key, sliced, sliding_min, stored
 from newsrisk.operators.skew import join_one_per_key
 
 #: Bytes of a window's digest.  A row whose number of windows is 0 is one window's digest.
@@ -63,7 +66,7 @@ def super_windows(rows: DataFrame, values_of: Callable, width: int, gram: int) -
     """One row a run of windows that share a minimiser; texts below one window give none."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             found = [runs_of(values_of(t), width, gram) for t in batch.column(1).to_pylist()]
             keys = batch.column(0).to_numpy(zero_copy_only=False)
             parts = [np.concatenate(c) for c in zip(*found, strict=True)] if found else [np.empty(0, np.int64)] * 4
@@ -83,45 +86,51 @@ def super_windows(rows: DataFrame, values_of: Callable, width: int, gram: int) -
     )
 
 
-def wanted(runs: DataFrame, hot: int, within: bool) -> DataFrame:
+def wanted(runs: DataFrame, hot: int, most: int, within: bool) -> DataFrame:
     """The runs that can hold a repeat; ``within`` also counts repeats inside one run."""
-    counts = runs.groupBy("minimiser").agg(F.count("*").alias("n_runs")).where("n_runs > 1")
+    counts = runs.groupBy("minimiser").agg(F.count("*").alias("n_runs"), F.sum("n").alias("n_windows"))
+    counts = counts.where("n_runs > 1")
     found = join_one_per_key(runs, counts, ["minimiser"], "left")
     keep = F.col("n_runs").isNotNull()
     if within:
         keep = keep | F.col("again")
+    large = (F.col("n_runs") > hot) | (F.col("n_windows") > most)
     return found.where(keep).select(
-        "rkey", "minimiser", "start", "n", "again", F.coalesce(F.col("n_runs") > hot, F.lit(False)).alias("hot")
+        "rkey", "minimiser", "start", "n", "again", F.coalesce(large, F.lit(False)).alias("hot")
     )
 
 
 def pack(rows: DataFrame, runs: DataFrame, cutter: Callable, width: int) -> DataFrame:
-    """(bucket, packed, rid, rkey, start, n, again, pid) for the wanted runs.
+    """(bucket, packed, rid, rkey, starts, n, again, pid) for the wanted runs.
 
     ``cutter(text)`` gives a function (first unit, end unit) -> bytes.
     """
     places = runs.groupBy("rkey").agg(
         F.collect_list(F.struct("minimiser", "start", "n", "again", "hot")).alias("places")
     )
-    schema = "bucket long, packed binary, rid long, rkey long, start int, n int, again boolean"
-    size = 50_000
+    schema = "bucket long, packed binary, rid long, rkey long, starts array<int>, n int, again boolean"
+    size = 10_000
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
-        for batch in batches:
+        for batch in sliced(batches):
             for rid, rkey, text, places in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 cut = cutter(text)
                 for p in places:
                     a, n = p["start"], p["n"]
                     if not p["hot"]:
-                        out.append((p["minimiser"], cut(a, a + n + width - 1), rid, rkey, a, n, p["again"]))
-                        continue
-                    for w in range(a, a + n):
-                        digest = hashlib.blake2b(cut(w, w + width), digest_size=DIGEST).digest()
-                        out.append((int.from_bytes(digest[:8], "little", signed=True), digest, rid, rkey, w, 0, False))
-                if len(out) > size:
-                    yield rows_as_batch(out, schema)
-                    out = []
+                        out.append((p["minimiser"], cut(a, a + n + width - 1), rid, rkey, [a], n, p["again"]))
+                    else:
+                        where: dict[bytes, list[int]] = {}
+                        for w in range(a, a + n):
+                            digest = hashlib.blake2b(cut(w, w + width), digest_size=DIGEST).digest()
+                            where.setdefault(digest, []).append(w)
+                        for digest, starts in where.items():
+                            key = int.from_bytes(digest[:8], "little", signed=True)
+                            out.append((key, digest, rid, rkey, starts, 0, False))
+                    if len(out) > size:
+                        yield rows_as_batch(out, schema)
+                        out = []
         if out:
             yield rows_as_batch(out, schema)
 
@@ -133,7 +142,9 @@ def pack(rows: DataFrame, runs: DataFrame, cutter: Callable, width: int) -> Data
     )
 
 
-ARROW = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "boolean": pa.bool_()}
+ARROW = {
+    "long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "boolean": pa.bool_(), "array<int>": pa.list_(pa.int32()),
+}
 
 
 def rows_as_batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
@@ -148,7 +159,7 @@ def rows_as_batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
 def distinct(pieces: DataFrame) -> DataFrame:
     """Equal strings as one row: how often, the least owner."""
     return pieces.groupBy("bucket", "pid", "packed", "n").agg(
-        F.min("rid").alias("first"), F.count("*").alias("times"), F.max("again").alias("again")
+        F.min("rid").alias("first"), F.sum(F.size("starts")).alias("times"), F.max("again").alias("again")
     )
 
 
@@ -162,7 +173,7 @@ def by_bucket(strings: DataFrame, compare: Callable, size: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: list[list[tuple]] = []
         bucket, held, last = [], 0, None
-        for batch in batches:
+        for batch in sliced(batches):
             for key, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if key != last:
                     if bucket:
@@ -223,14 +234,16 @@ def cuts(pieces: DataFrame, found: DataFrame, width: int, earlier: bool) -> Data
     mine = F.col("runs")
     if earlier:
         mine = F.filter(mine, lambda r: r["first"] < F.col("rid"))
-    moved = F.transform(
-        mine,
-        lambda r: F.struct(
-            (F.col("start") + r["lo"]).alias("lo"), (F.col("start") + r["hi"] + (width - 1)).alias("hi")
-        ),
+    moved = F.flatten(
+        F.transform(
+            "starts",
+            lambda start: F.transform(
+                mine, lambda r: F.struct((start + r["lo"]).alias("lo"), (start + r["hi"] + (width - 1)).alias("hi"))
+            ),
+        )
     )
     return (
-        pieces.select("pid", "rid", "rkey", "start")
+        pieces.select("pid", "rid", "rkey", "starts")
         .join(found, "pid")
         .select("rkey", moved.alias("moved"))
         .where(F.size("moved") > 0)
@@ -247,13 +260,14 @@ def repeated(
     width: int,
     gram: int,
     hot: int,
+    most: int,
     size: int,
     earlier: bool,
 ) -> DataFrame:
     """Steps 1 to 6 over ``docs`` (doc_id, text): (rkey, cuts)."""
     rows = keyed(docs)
     runs = stored(super_windows(rows, values_of, width, gram), "runs")
-    picked = stored(wanted(runs, hot, within=not earlier), "wanted")
+    picked = stored(wanted(runs, hot, most, within=not earlier), "wanted")
     pieces = stored(pack(rows, picked, cutter, width), "pieces")
     found = by_bucket(distinct(pieces), compare, size)
     return stored(cuts(pieces, found, width, earlier), "cuts")

@@ -119,3 +119,26 @@ def test_refinement_numbers_equal_strings_alike():
             for j in at:
                 same = flat[i : i + width].tobytes() == flat[j : j + width].tobytes()
                 assert same == (bucket[i] == bucket[j])
+
+
+def test_buckets_are_bounded_by_windows_too(docs):
+    """Texts that repeat themselves make few runs of many windows; no bucket may grow with them."""
+    from pyspark.sql import functions as F
+    from newsrisk.llm import superkmers
+
+    rows = [(i, f"{i} " + "h i " * 150 + f"x{i}") for i in range(12)] + corpus(3)
+    runs = superkmers.super_windows(superkmers.keyed(docs(rows)), repeated_words.word_values, 9, 5)
+    picked = superkmers.wanted(runs, 10_000, 400, within=False)
+    left = picked.where(~F.col("hot")).groupBy("minimiser").agg(F.sum("n").alias("n")).agg(F.max("n")).first()[0]
+    assert 0 < left <= 400
+    # Equal windows of a run travel together: 12 texts of two alternating words give few rows.
+    hot = superkmers.pack(superkmers.keyed(docs(rows)), picked.where("hot"), repeated_words.word_cutter, 9)
+    size = hot.agg(F.count("*"), F.sum(F.size("starts"))).first()
+    assert size[1] == picked.where("hot").agg(F.sum("n")).first()[0] > 12 * 280 and size[0] < size[1] / 3
+
+    found = repeated_words.drop_repeated(docs(rows), width=9, most=400)
+    got = Counter(map(tuple, found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256)).collect()))
+    assert got == brute_words(rows, 9)
+    found = repeated_bytes.drop_repeated(docs(rows), width=40, most=400)
+    found = found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256))
+    assert Counter(map(tuple, found.collect())) == brute_bytes(rows, 40)
