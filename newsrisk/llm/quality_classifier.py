@@ -29,6 +29,7 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +44,8 @@ DIM, NONZERO, WINDOW, VOCAB = 64, 4, 2, 1 << 13
 SAMPLE, HIDDEN, STEPS, DECAY = 20_000, 32, 600, 1e-3
 #: Predicted 1 from this score on.
 CUTOFF = 0.7
+#: Words whose neighbours are summed up at a time.
+LOT = 1 << 17
 WORD = regex.compile(r"[\p{L}\p{N}_]+")
 SHAPE = 10
 
@@ -55,37 +58,68 @@ def words_of(text: str | None) -> list[str]:
     return WORD.findall((text or "").lower())
 
 
+#: Bytes of an ASCII text: capitals in lower case, blanks for what belongs to no word.
+_ASCII = bytes(c if chr(c).isalnum() or chr(c) == "_" else 32 for c in bytes(range(128)).lower()) + bytes(128)
+_INSIDE: list[np.ndarray] = []
+
+
+def _inside() -> np.ndarray:
+    """Whether each code point belongs to a word, as ``WORD`` has it."""
+    if not _INSIDE:
+        points = np.delete(np.arange(0x110000, dtype="<u4"), np.s_[0xD800:0xE000])
+        table = np.zeros(0x110000, bool)
+        table[np.frombuffer("".join(WORD.findall(points.tobytes().decode("utf-32-le"))).encode("utf-32-le"), "<u4")] = True
+        _INSIDE.append(table)
+    return _INSIDE[0]
+
+
+def raw_words(text: str) -> tuple[list[bytes], int]:
+    """``words_of`` in UTF-8, and how many code points they hold."""
+    if text.isascii():
+        words = text.encode().translate(_ASCII).split()
+        return words, sum(map(len, words))
+    points = np.frombuffer(text.lower().encode("utf-32-le"), "<u4")
+    inside = _inside()[points]
+    blanked = np.where(inside, points, np.uint32(32)).astype("<u4").tobytes().decode("utf-32-le")
+    return blanked.encode().split(), int(np.count_nonzero(inside))
+
+
+def raw_vocabulary(vocab: dict[str, int]) -> dict[bytes, int]:
+    return {word.encode(): i for word, i in vocab.items()}
+
+
+SALTS = [0x9E3779B9 * (j + 1) & 0xFFFFFFFF for j in range(NONZERO)]
+
+
 def index_vector(word: str) -> tuple[np.ndarray, np.ndarray]:
     """Places and signs of the word's index vector, from crc32 of the word with a salt."""
     raw = word.encode()
-    bits = [zlib.crc32(raw, 0x9E3779B9 * (j + 1) & 0xFFFFFFFF) for j in range(NONZERO)]
+    bits = [zlib.crc32(raw, salt) for salt in SALTS]
     return np.array([b % DIM for b in bits]), np.array([1.0 if (b >> 16) & 1 else -1.0 for b in bits])
 
 
-class _WordTable:
-    """Per task: a number for every word met, with its vocabulary number and index vector."""
+class _IndexVectors:
+    """The index vectors of many words at once.
 
-    def __init__(self, vocab: dict[str, int], most: int = 1 << 21):
-        self.known, self.lookup, self.most = {}, vocab, most
-        self.vocab = np.empty(1 << 12, np.int64)
-        self.places = np.empty((1 << 12, NONZERO), np.int64)
-        self.signs = np.empty((1 << 12, NONZERO))
+    What a salt changes in a crc32 depends on the word's length only, so one crc32 a word and
+    a row for each length give them all.
+    """
 
-    def _add(self, word: str) -> int:
-        at = len(self.known)
-        if at == len(self.vocab):
-            self.vocab, self.places, self.signs = (np.concatenate([a, np.empty_like(a)]) for a in (self.vocab, self.places, self.signs))
-        self.known[word] = at
-        self.vocab[at] = self.lookup.get(word, -1)
-        self.places[at], self.signs[at] = index_vector(word)
-        return at
+    def __init__(self):
+        self.rows: dict[int, int] = {}
+        self.changes = np.empty((0, NONZERO), np.uint32)
 
-    def ids(self, words: list[str]) -> np.ndarray:
-        """Numbers of the words; the table starts again between texts once it holds ``most``."""
-        if len(self.known) > self.most:
-            self.known = {}
-        known, add = self.known, self._add
-        return np.fromiter((known[w] if w in known else add(w) for w in words), np.int64, len(words))
+    def __call__(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        sums = np.fromiter(map(zlib.crc32, words), np.uint32, len(words))
+        lengths = list(map(len, words))
+        for n in set(lengths).difference(self.rows):
+            zeros = bytes(n)
+            change = [zlib.crc32(zeros, salt) ^ zlib.crc32(zeros) for salt in SALTS]
+            self.rows[n] = len(self.rows)
+            self.changes = np.concatenate([self.changes, np.array([change], np.uint32)])
+        at = np.fromiter(map(self.rows.__getitem__, lengths), np.int64, len(words))
+        bits = sums[:, None] ^ self.changes[at]
+        return (bits % DIM).astype(np.int64), np.where(bits & 0x10000, 1.0, -1.0)
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -95,7 +129,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
         for batch in batches:
             found = Counter()
             for text in batch.column(0).to_pylist():
-                found.update(words_of(text))
+                found.update(raw_words(text or "")[0])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], names=["word", "n"]
             )
@@ -114,28 +148,34 @@ def context_vectors(docs: DataFrame, vocab: dict[str, int]) -> np.ndarray:
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Sums of the whole task: at most VOCAB x DIM entries leave it, whatever its input.
-        table = _WordTable(vocab)
+        numbers, vectors = raw_vocabulary(vocab), _IndexVectors()
         sums = np.zeros(len(vocab) * DIM, np.float64)
-        spots, weights, held = [], [], 0
+
+        def add(texts: list[list[bytes]]) -> None:
+            # Blanks between the texts have no number, and no text reaches over them.
+            flat = list(chain.from_iterable(texts))
+            ids = np.fromiter((numbers.get(w, -1) for w in flat), np.int64, len(flat))
+            places, signs = vectors(flat)
+            signs[np.fromiter((not w for w in flat), bool, len(flat))] = 0
+            for d in [*range(-WINDOW, 0), *range(1, WINDOW + 1)]:
+                at = np.arange(max(0, -d), min(len(flat), len(flat) - d))
+                at = at[ids[at] >= 0]
+                spots = ids[at][:, None] * DIM + places[at + d]
+                np.add(sums, np.bincount(spots.ravel(), signs[at + d].ravel(), len(sums)), out=sums)
+
+        held, n = [], 0
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                words = words_of(text)
+                words = raw_words(text or "")[0]
                 if len(words) < 2:
                     continue
-                local = table.ids(words)
-                ids, places, signs = table.vocab[local], table.places[local], table.signs[local]
-                for d in [*range(-WINDOW, 0), *range(1, WINDOW + 1)]:
-                    at = np.arange(max(0, -d), min(len(words), len(words) - d))
-                    at = at[ids[at] >= 0]
-                    if len(at):
-                        spots.append((ids[at][:, None] * DIM + places[at + d]).ravel())
-                        weights.append(signs[at + d].ravel())
-                        held += len(at) * NONZERO
-                if held > 1 << 22:
-                    sums += np.bincount(np.concatenate(spots), np.concatenate(weights), len(sums))
-                    spots, weights, held = [], [], 0
-        if spots:
-            sums += np.bincount(np.concatenate(spots), np.concatenate(weights), len(sums))
+                held += [words, [b""] * WINDOW]
+                n += len(words)
+                if n > LOT:
+                    add(held)
+                    held, n = [], 0
+        if held:
+            add(held)
         spot = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays(
             [pa.array(spot // DIM, pa.int32()), pa.array(spot % DIM, pa.int32()), pa.array(sums[spot], pa.float64())],
@@ -159,53 +199,54 @@ def context_vectors(docs: DataFrame, vocab: dict[str, int]) -> np.ndarray:
 _KINDS: list[np.ndarray] = []
 
 
-def _kinds() -> list[np.ndarray]:
-    """Whether each code point below 2^16 is a letter, digit, capital or symbol; above: a symbol."""
+def _kinds() -> np.ndarray:
+    """Bits of each code point below 2^16: letter, digit, capital, symbol; the last entry, a symbol, is for those above."""
     if not _KINDS:
         chars = [chr(c) for c in range(1 << 16)]
-        _KINDS.extend(
-            np.array([test(c) for c in chars], bool)
-            for test in (str.isalpha, str.isdigit, str.isupper, lambda c: not c.isalnum() and not c.isspace())
-        )
-    return _KINDS
+        tests = (str.isalpha, str.isdigit, str.isupper, lambda c: not c.isalnum() and not c.isspace())
+        bits = sum(np.array([test(c) for c in chars], np.uint8) << i for i, test in enumerate(tests))
+        _KINDS.append(np.append(bits, 8).astype(np.uint8))
+    return _KINDS[0]
 
 
 def features(text: str | None, vocab: dict[str, int], matrix: np.ndarray) -> np.ndarray:
     """Pooled context vectors and measures of shape of one text."""
-    text = text or ""
-    words = words_of(text)
-    ids = np.fromiter((vocab.get(w, -1) for w in words), np.int64, len(words))
-    lengths = np.fromiter(map(len, words), np.int64, len(words))
-    uniq = set(words)
-    known = ids[ids >= 0]
-    pooled = matrix[known].mean(axis=0) if len(known) else np.zeros(DIM, np.float32)
-    points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
-    wide = points >= (1 << 16)
-    small = np.where(wide, 0, points)
-    alpha, digit, upper = (kind[small] & ~wide for kind in _kinds()[:3])
-    symbol = _kinds()[3][small] | wide
+    return raw_features(text or "", raw_vocabulary(vocab), matrix)
+
+
+def raw_features(text: str, numbers: dict[bytes, int], matrix: np.ndarray) -> np.ndarray:
+    words, letters = raw_words(text)
+    known = [i for i in map(numbers.get, words) if i is not None]
+    pooled = matrix[known].mean(axis=0) if known else np.zeros(DIM, np.float32)
+    if text.isascii():
+        points = np.frombuffer(text.encode(), np.uint8)
+    else:
+        points = np.minimum(np.frombuffer(text.encode("utf-32-le"), "<u4"), 1 << 16)
+    counts = np.bincount(_kinds()[points], minlength=16)
     chars = max(1, len(points))
     lines = [x for x in text.split("\n") if x.strip()]
     shape = [
         math.log1p(len(words)),
         1 - len(known) / max(1, len(words)),
-        alpha.sum() / chars,
-        digit.sum() / chars,
-        upper.sum() / chars,
-        symbol.sum() / chars,
-        len(uniq) / max(1, len(words)),
+        *(int(counts[of].sum()) / chars for of in _OF),
+        len(set(words)) / max(1, len(words)),
         1 - len(set(lines)) / max(1, len(lines)),
-        float(lengths.mean()) / 10 if len(words) else 0.0,
+        letters / len(words) / 10 if words else 0.0,
         math.log1p(len(lines)),
     ]
     return np.concatenate([pooled, np.array(shape, np.float32)]).astype(np.float32)
 
 
+#: The values of ``_kinds`` that have each bit.
+_OF = [np.flatnonzero(np.arange(16) >> i & 1) for i in range(4)]
+
+
 def _featurised(rows: DataFrame, vocab: dict[str, int], matrix: np.ndarray, keep: list[str]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers = raw_vocabulary(vocab)
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            feats = [features(t, vocab, matrix) for t in texts]
+            feats = [raw_features(t or "", numbers, matrix) for t in texts]
             cols = [batch.column(k) for k in keep]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(feats, pa.list_(pa.float32()))], names=[*keep, "x"])
 
@@ -294,9 +335,10 @@ def score(docs: DataFrame, net: Network, vocab: dict[str, int], matrix: np.ndarr
     """(doc_id, held_out, score, predicted) for every row of ``docs``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers = raw_vocabulary(vocab)
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            x = np.array([features(t, vocab, matrix) for t in texts], np.float32).reshape(len(texts), DIM + SHAPE)
+            x = np.array([raw_features(t or "", numbers, matrix) for t in texts], np.float32).reshape(len(texts), DIM + SHAPE)
             s = net.score(x).astype(np.float64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(s), pa.array((s >= cutoff).astype(np.int32))],

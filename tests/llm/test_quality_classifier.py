@@ -62,3 +62,33 @@ def test_network_learns_and_calibrates():
 def test_features_are_defined(text):
     f = qc.features(text, {"word": 0}, np.ones((1, qc.DIM), np.float32))
     assert f.shape == (qc.DIM + qc.SHAPE,) and np.isfinite(f).all()
+
+
+ODD = ["", "a", "ÀÉ naïve İstanbul Kelvin \u212a ① ½ ٣ ABC_d\x1cx y", "日本語 テスト 𝔘𝔫 😀 x²", "Σας ΣΑΣ a\xadb", "x" * 3000 + " y", "a\0b  c\x7f"]
+
+
+@pytest.mark.parametrize("text", ODD)
+def test_raw_words_are_the_words(text):
+    words, letters = qc.raw_words(text)
+    assert [w.decode() for w in words] == qc.words_of(text)
+    assert letters == sum(map(len, qc.words_of(text)))
+
+
+def test_index_vectors_come_in_lots(docs, monkeypatch):
+    """The sums of neighbours, one by one, and no Python call to ``index_vector`` for each word."""
+    texts = [*ODD, "one two three two one", "two one"]
+    vocab = {w: i for i, w in enumerate(["one", "two", "abc_d", "y"])}
+    sums = np.zeros((len(vocab), qc.DIM))
+    for words in map(qc.words_of, texts):
+        for i, word in enumerate(words):
+            for j in range(max(0, i - qc.WINDOW), min(len(words), i + qc.WINDOW + 1)) if word in vocab else ():
+                if i != j:
+                    np.add.at(sums[vocab[word]], *qc.index_vector(words[j]))
+    norm = np.linalg.norm(sums, axis=1, keepdims=True)
+    monkeypatch.setattr(qc, "index_vector", lambda word: 1 / 0)
+    vectors = qc._IndexVectors()(["Ä".encode(), b"two", b"x" * 3000])
+    monkeypatch.undo()
+    for i, word in enumerate(["Ä", "two", "x" * 3000]):
+        assert [x[i].tolist() for x in vectors] == [x.tolist() for x in qc.index_vector(word)]
+    got = qc.context_vectors(docs([(i, t) for i, t in enumerate(texts)]), vocab)
+    np.testing.assert_allclose(got, sums / np.where(norm > 0, norm, 1), atol=1e-6)
