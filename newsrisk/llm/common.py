@@ -17,6 +17,8 @@ from newsrisk.session import scratch_path
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Stands for a missing doc_id where an order is needed: behind all others.
 LAST = 2**63 - 1
+#: Rows of a few numbers that one task of a bounded table writes.
+FILE_ROWS = 100_000
 #: Columns that operators add for themselves; input columns of these names are lost.
 KEY, CUTS = "_llm_key", "_llm_cuts"
 
@@ -29,11 +31,16 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, most: int | None = None) -> DataFrame:
     """``df`` written below ``spark.checkpoint.dir`` and read again: a cut of the lineage.
 
     The shuffle files of the write go as soon as it ends; nothing after it needs them.
+    ``most`` is a bound of its rows, if one is known and they are short: one file for each
+    ``FILE_ROWS`` then, however many partitions a shuffle has.  Every file costs a task, and on a
+    local file system processes that the executor starts to set its mode.
     """
+    if most is not None:
+        df = df.coalesce(most // FILE_ROWS + 1)
     spark = df.sparkSession
     path = scratch_path(spark, name)
     before = spark.conf.get(CLEANUP, "false")

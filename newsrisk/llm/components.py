@@ -21,19 +21,23 @@ def components(links: DataFrame) -> DataFrame:
     Every round hooks each node to its least neighbour, shortens the chains and replaces the
     nodes of the links by their parents; links inside a parent vanish.  The rounds are
     logarithmic in the longest chain; each is written, so a lost executor costs one round.
+    Links and nodes only get fewer, so their first numbers bound the files of every round.
     """
-    links = stored(links.where("a <> b").select("a", "b").distinct(), "links")
-    labels = stored(
-        links.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("root", F.col("node")), "labels"
-    )
-    while not links.isEmpty():
+    links = stored(links.where("a <> b").select("a", "b").distinct(), "links", links.count())
+    left = links.count()
+    labels = links.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("root", F.col("node"))
+    labels = stored(labels, "labels", 2 * left)
+    nodes = labels.count()
+    while left:
         ways = links.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("w")).select("w.*")
+        most = min(nodes, 2 * left)
         parents = stored(
-            ways.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("parent")), "parents"
+            ways.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("parent")), "parents", most
         )
         for _ in range(2):
-            parents = stored(renamed(parents, parents, "parent"), "parents")
-        labels = stored(renamed(labels, parents, "root"), "labels")
+            parents = stored(renamed(parents, parents, "parent"), "parents", most)
+        labels = stored(renamed(labels, parents, "root"), "labels", nodes)
         links = renamed(renamed(links, parents, "a"), parents, "b")
-        links = stored(links.where("a <> b").distinct(), "links")
+        links = stored(links.where("a <> b").distinct(), "links", left)
+        left = links.count()
     return labels

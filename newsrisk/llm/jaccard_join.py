@@ -73,6 +73,22 @@ def set_id(found: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(found.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
+def noted(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles that ``NOTED`` sets or more hold, ascending, and how many hold them.
+
+    Empties ``sets``; of all shingles there is one copy, sorted in place.
+    """
+    found = np.concatenate([*sets, np.empty(0, np.uint64)])
+    sets.clear()
+    found.sort()
+    # Where the same value stands NOTED - 1 places ahead; of a run, the first such place.
+    at = np.flatnonzero(found[: max(0, len(found) - NOTED + 1)] == found[NOTED - 1 :])
+    value = found[at]
+    first = np.flatnonzero(np.append(True, value[1:] != value[:-1])[: len(value)])
+    times = np.diff(np.append(first, len(value))) + NOTED - 1
+    return value[first].astype(np.int64), times.astype(np.int64)
+
+
 def survey(rows: DataFrame) -> DataFrame:
     """One pass: a row (rid, rkey, node, n) a document and rows (node = shingle, times).
 
@@ -81,15 +97,13 @@ def survey(rows: DataFrame) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingles(t) for t in batch.column(2).to_pylist()]
+            sets = [shingles(t) for texts in batches_of(batch, 500) for t in texts]
             ids = pa.array([set_id(s) if len(s) else None for s in sets], pa.int64())
             n = pa.array([len(s) for s in sets], pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:2], ids, n, pa.nulls(len(sets), pa.int64())], names=names
             )
-            value, times = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.empty(0, np.uint64),) * 2
-            often = times >= NOTED
-            value, times = value[often].astype(np.int64), times[often].astype(np.int64)
+            value, times = noted(sets)
             gap = pa.nulls(len(value), pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [gap, gap, pa.array(value), pa.nulls(len(value), pa.int32()), pa.array(times)], names=names
@@ -200,7 +214,7 @@ def meeting_places(pairs: DataFrame) -> DataFrame:
     """
     ends = [pairs.groupBy(F.col(end).alias("node")).agg(F.count("*").alias("n")) for end in ("a", "b")]
     degree = ends[0].union(ends[1]).groupBy("node").agg(F.sum("n").alias("degree"))
-    degree = stored(degree, "degree")
+    degree = stored(degree, "degree", 2 * pairs.count())
     for end in ("a", "b"):
         pairs = lookup(pairs, degree.select(F.col("node").alias(end), F.col("degree").alias(f"of_{end}")), [end])
     first = F.struct("of_a", "a") > F.struct("of_b", "b")
@@ -223,6 +237,7 @@ def overlaps(pairs: DataFrame, rows: DataFrame, texts_of: DataFrame) -> DataFram
     """
     needed = join_one_per_key(meeting_places(pairs), texts_of, ["node"], "left")
     needed = stored(needed.select("rkey", "to", "salts"), "needed")
+    many = pairs.count()
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -252,13 +267,13 @@ def overlaps(pairs: DataFrame, rows: DataFrame, texts_of: DataFrame) -> DataFram
             yield as_rows(out, COMPARED)
 
     texts = rows.select("rkey", "text")
-    if pairs.count() <= SHORT:
+    if many <= SHORT:
         texts = texts.join(F.broadcast(needed), "rkey")
     else:
         texts = texts.join(needed, "rkey")
     sent = texts.select("text", "to", "salts").mapInArrow(sets, SENT)
     met = sent.repartition("hub", "salt").sortWithinPartitions("hub", "salt", F.col("other").asc_nulls_first())
-    return stored(met.mapInArrow(compare, COMPARED).dropDuplicates(["a", "b"]), "overlaps")
+    return stored(met.mapInArrow(compare, COMPARED).dropDuplicates(["a", "b"]), "overlaps", many)
 
 
 SENT = "hub long, salt int, other long, members binary"
@@ -415,7 +430,7 @@ def further_pairs(mixed: DataFrame) -> DataFrame:
 def blocks(placed: DataFrame, answers: DataFrame) -> DataFrame:
     """The entries of ``mixed_lists``, dealt and sorted for ``cross_pairs``."""
     long = placed.groupBy("top").agg(F.count("*").alias("size")).where(F.col("size") > BLOCK)
-    placed = lookup(placed, stored(long, "long"), ["top"])
+    placed = lookup(placed, stored(long, "long", placed.count()), ["top"])
     ways = F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))
     known = answers.select(ways.alias("w"), "common").select("w.a", "w.b", "common").toDF("leader", "node", "common")
     common = F.when(F.col("node") == F.col("leader"), F.col("n")).otherwise(F.coalesce("common", F.lit(-1)))
@@ -439,14 +454,17 @@ def linked_sets(rows: DataFrame, seen: DataFrame) -> DataFrame:
     """(node, root) for the sets that link with another one."""
     texts_of = seen.where("n > 0").groupBy("node").agg(F.min("rkey").alias("rkey"))
     lists = prefix_lists(rows, seen)
-    answers = overlaps(stored(leader_pairs(lists), "pairs"), rows, texts_of)
+    # An entry makes one pair with its leader, and a leader one with another.
+    answers = overlaps(stored(leader_pairs(lists), "pairs", 2 * lists.count()), rows, texts_of)
     mixed = mixed_lists(lists, components(answers.where(linked())))
-    more = overlaps(stored(further_pairs(mixed), "further"), rows, texts_of)
-    answers = stored(answers.union(more).dropDuplicates(["a", "b"]), "answers")
+    more = overlaps(stored(further_pairs(mixed), "further", LEADERS * mixed.count()), rows, texts_of)
+    found = answers.count() + more.count()
+    answers = stored(answers.union(more).dropDuplicates(["a", "b"]), "answers", found)
     links = answers.where(linked()).select("a", "b")
     cross = cross_pairs(blocks(mixed_lists(lists, components(links)), answers))
     cross = stored(cross.groupBy("a", "b").agg(F.max("sure").alias("sure")), "cross")
-    compared = overlaps(stored(cross.where("NOT sure").select("a", "b"), "unsure"), rows, texts_of)
+    unsure = stored(cross.where("NOT sure").select("a", "b"), "unsure", cross.count())
+    compared = overlaps(unsure, rows, texts_of)
     links = links.union(cross.where("sure").select("a", "b")).union(compared.where(linked()).select("a", "b"))
     return components(links)
 

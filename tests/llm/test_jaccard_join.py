@@ -107,3 +107,40 @@ def test_leaders_do_not_depend_on_batches(spark):
         ]
         got = [tuple(r.values()) for b in J.with_leaders(Fake())(iter(batches)) for r in b.to_pylist()]
         assert sorted(got) == want
+
+
+def test_rounds_of_components_write_few_files(spark, monkeypatch):
+    """Each file is a task, and on a local file system a process or more that an executor starts."""
+    from newsrisk.llm import components as module
+
+    files, plain = [], module.stored
+    conf = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+
+    def noted(*args):
+        out = plain(*args)
+        files.append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(module, "stored", noted)
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        links = spark.range(300).selectExpr("id AS a", "id + 1000 * (id % 3) AS b")
+        found = {r.node: r.root for r in components(links).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert found == {n: n % 1000 for i in range(300) if i % 3 for n in (i, i + 1000 * (i % 3))}
+    assert max(files) == 1
+
+
+def test_noted_shingles_are_counted_in_one_sorted_copy():
+    pick = np.random.default_rng(3)
+    for size in (0, 1, 2, 3, 40, 400):
+        sets = [np.unique(pick.integers(0, 30, n).astype(np.uint64)) for n in pick.integers(0, 9, size)]
+        flat = np.concatenate([*sets, np.empty(0, np.uint64)])
+        value, times = np.unique(flat, return_counts=True)
+        got = J.noted(sets)
+        assert [x.tolist() for x in got] == [x[times >= J.NOTED].tolist() for x in (value, times)]
+        assert not sets
