@@ -23,9 +23,11 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from newsrisk.llm.common import with_fields
+from newsrisk.llm.common import sliced, with_fields
 
 NONE = np.int64(2**62)
+#: Ids in bytes, as their hash is taken.
+ID = np.dtype("<u4")
 #: Words whose ids a task keeps from batch to batch.
 KEPT_WORDS = 600_000
 
@@ -82,8 +84,8 @@ class Vocabulary:
             out += [piece] if piece in self.special else self.words.findall(normal(piece))
         return out
 
-    def merge(self, words: list[str]) -> list[list[int]]:
-        """The ids of each word: rounds of numpy over the symbols of all words at once."""
+    def merge(self, words: list[str]) -> list[bytes]:
+        """The ids of each word (``ID`` numbers): rounds of numpy over the symbols of all words at once."""
         out: list = [None] * len(words)
         raws = [w.encode() for w in words]
         lengths = np.fromiter(map(len, raws), np.int64, len(raws))
@@ -100,8 +102,8 @@ class Vocabulary:
             if done.any():
                 counts = np.diff(np.append(first, len(symbols)))
                 keep = ~np.repeat(done, counts)
-                ended, at = symbols[~keep].tolist(), 0
-                for w, n in zip(word[first[done]].tolist(), counts[done].tolist(), strict=True):
+                ended, at = symbols[~keep].astype(ID).tobytes(), 0
+                for w, n in zip(word[first[done]].tolist(), (counts[done] * ID.itemsize).tolist(), strict=True):
                     out[w] = ended[at : at + n]
                     at += n
                 symbols, word, ranks = symbols[keep], word[keep], ranks[keep]
@@ -130,17 +132,21 @@ class Vocabulary:
         ranks[inside[found]] = self.ranks[at[found]]
         return ranks
 
-    def encode(self, texts: list[str | None], known: dict[str, list[int]] | None = None) -> list[list[int]]:
+    def encode(self, texts: list[str | None], known: dict[str, bytes] | None = None) -> list[list[int]]:
         """The ids of every text.  ``known`` keeps words from call to call."""
+        return [np.frombuffer(raw, ID).tolist() for raw in self.encode_raw(texts, known)]
+
+    def encode_raw(self, texts: list[str | None], known: dict[str, bytes] | None = None) -> list[bytes]:
+        """The ids of every text as ``ID`` numbers: a few bytes each, also in ``known``."""
         known = {} if known is None else known
         if len(known) > KEPT_WORDS:
             known.clear()
         for token, i in self.special.items():
-            known[token] = [i]
+            known[token] = np.array([i], ID).tobytes()
         split = [self.split(t or "") for t in texts]
-        fresh = [w for w in dict.fromkeys(w for words in split for w in words) if w not in known]
+        fresh = [w for w in dict.fromkeys(chain.from_iterable(split)) if w not in known]
         known.update(zip(fresh, self.merge(fresh), strict=True))
-        return [list(chain.from_iterable(map(known.__getitem__, words))) for words in split]
+        return [b"".join(map(known.__getitem__, words)) for words in split]
 
     # -- decoding ------------------------------------------------------------------------
 
@@ -161,7 +167,7 @@ def normal(text: str) -> str:
     return "".join(map(str.lower, text)) if "Σ" in text else text.lower()
 
 
-def chunks(texts: list, size: int = 4_000_000) -> Iterator[list]:
+def chunks(texts: list, size: int = 500_000) -> Iterator[list]:
     """Lists of neighbouring texts, ``size`` characters long or one text."""
     part, length = [], 0
     for text in texts:
@@ -182,7 +188,7 @@ def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, known = Vocabulary(path), {}
-        for batch in batches:
+        for batch in sliced(batches):
             texts = batch.column(at).to_pylist()
             ids = [i for part in chunks(texts) for i in vocabulary.encode(part, known)]
             yield pa.RecordBatch.from_arrays(
@@ -201,7 +207,7 @@ def decode(rows: DataFrame, path: str, ids: str = "token_ids") -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(path)
-        for batch in batches:
+        for batch in sliced(batches):
             texts = [vocabulary.decode(i or ()) for i in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(texts, pa.string())],
@@ -222,12 +228,13 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, known = Vocabulary(path), {}
-        for batch in batches:
+        for batch in sliced(batches):
             counts, first, second = [], [], []
             for part in chunks(batch.column(1).to_pylist()):
-                for ids in vocabulary.encode(part, known):
+                for raw in vocabulary.encode_raw(part, known):
+                    ids = np.frombuffer(raw, ID).tolist()
                     counts.append(len(ids))
-                    first.append(hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest())
+                    first.append(hashlib.sha256(raw).hexdigest())
                     second.append(hashlib.sha256(vocabulary.decode(ids).encode()).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(counts, pa.int64()), pa.array(first, pa.string()), pa.array(second, pa.string())],

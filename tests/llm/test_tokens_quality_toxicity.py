@@ -3,6 +3,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from newsrisk.llm import bpe, quality, toxicity
@@ -130,3 +131,13 @@ def test_toxicity_without_labels_or_texts(spark, docs):
     out = {r.doc_id: r for r in toxicity.score(extra, weights, bias).collect()}
     assert [round(out[i].score) for i in (1, 2, 3, 4)] == [0, 0, 0, 1]
     assert toxicity.score(extra.limit(0), weights, bias).count() == 0
+
+
+def test_kept_words_are_a_few_bytes_each():
+    """A task keeps many words from batch to batch: their ids are bytes, not lists of Python numbers."""
+    vocabulary, known = bpe.Vocabulary(tokenizer_file()), {}
+    texts = ["unbelievably long-winded words, again and again <|endoftext|> Σας", "", None, "日本語 😀 aaaaa"]
+    ids = vocabulary.encode(texts, known)
+    assert [np.array(i, "<u4").tobytes() for i in ids] == vocabulary.encode_raw(texts)
+    assert ids == [vocabulary.encode([t])[0] for t in texts]
+    assert known and all(type(kept) is bytes and len(kept) % 4 == 0 for kept in known.values())
