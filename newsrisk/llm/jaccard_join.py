@@ -15,10 +15,17 @@ Set relations.  Equal sets are one entry.  In each list the first set leads: the
 are compared with it only, and sets found linked share their component from then on.  Where
 several components are left, a few further leaders are tried.  In a last pass a list's sets of *different* components are paired: blocks of one component are
 skipped as a whole, sizes and positions rule pairs out, and from the known overlaps with the
-list's leader follow bounds on the overlap of two sets, which decide most pairs without
-looking at them.  The rest are compared exactly.  Copies and near copies thus cost one
+list's leader follow bounds on the overlap of two sets, which decide many pairs without
+looking at them.  The rest are compared.  Copies and near copies thus cost one
 comparison each, not one for every pair, and no link between components is lost.
 
+Signs.  Whole sets travel only to be compared exactly, and before that signs decide which pairs
+need it.  A set's sign holds a bit for each class of shingles (two classes or more a shingle):
+whether it has an odd number of them.  Where signs differ, so do the sets, in a shingle at least;
+so the count of differing bits bounds the overlap from above, and pairs whose bound is too low
+do not link.  In the last pass each block gets the sign of each of its sets once, however many
+pairs the set is in.
+
 Lists too long for one task are dealt as a grid of blocks.  Missing texts have no words.
 Rows that repeat a doc_id are compared by themselves; a row without doc_id can join a
 component but never names it (NULL if no row of it has one).
@@ -33,7 +40,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from newsrisk.llm.common import CUTS, KEY, LAST, LOWER, VALUES, as_bytes, gram_hashes, row_key, span_hashes, stored, word_spans
+from newsrisk.llm.common import CUTS, KEY, LAST, LOWER, VALUES, as_bytes, gram_hashes, row_key, sliced, span_hashes, stored, word_spans
 from newsrisk.llm.components import components
 from newsrisk.operators.skew import join_one_per_key
 
@@ -51,6 +58,10 @@ SHORT = 500_000
 LEADERS = 4
 #: Sets that are compared with one hub in one place.
 MEETINGS = 1_000
+#: Words of signs that are compared at once.
+SIGN_WORDS = 1_000_000
+#: Shingles of a set whose sign weighs as much as an entry in a block.
+SIGNED = 4_000
 HEAVY = np.uint64(1 << 63)
 
 
@@ -89,8 +100,57 @@ def noted(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return value[first].astype(np.int64), times.astype(np.int64)
 
 
+def sign(found: np.ndarray) -> bytes:
+    """A bit for each class of shingles (their last bits): whether the set has an odd number of them.
+
+    The classes are a power of two, twice the shingles or more and 64 at least.
+    """
+    classes = max(64, 1 << (2 * len(found) - 1).bit_length())
+    odd = np.bincount((found & np.uint64(classes - 1)).astype(np.int64), minlength=classes).astype(np.uint8) & 1
+    return np.packbits(odd, bitorder="little").tobytes()
+
+
+class Signs:
+    """Signs of sets, as matrices by length."""
+
+    def __init__(self, signs: list[bytes]) -> None:
+        self.words = np.array([len(s) // 8 for s in signs], np.int64)
+        self.at = np.zeros(len(signs), np.int64)
+        self.rows: dict[int, np.ndarray] = {}
+        for words in np.unique(self.words).tolist():
+            own = np.flatnonzero(self.words == words)
+            self.at[own] = np.arange(len(own))
+            self.rows[words] = np.frombuffer(b"".join([signs[i] for i in own.tolist()]), np.uint64).reshape(-1, words)
+
+    def folded(self, which: np.ndarray, words: int) -> np.ndarray:
+        """The signs of sets of one length as rows of so many words: halves add up to the sign over half the classes."""
+        out = self.rows[int(self.words[which[0]])][self.at[which]]
+        while out.shape[1] > words:
+            half = out.shape[1] // 2
+            out = out[:, :half] ^ out[:, half:]
+        return out
+
+    def differing(self, i: np.ndarray, other: Signs, j: np.ndarray) -> np.ndarray:
+        """In how many bits the signs ``i`` and the ``other``'s ``j`` differ: no more than the sets in shingles."""
+        out = np.zeros(len(i), np.int64)
+        kinds = np.stack([self.words[i], other.words[j]], axis=1)
+        for kind in np.unique(kinds, axis=0):
+            own, words = np.flatnonzero((kinds == kind).all(axis=1)), int(kind.min())
+            step = max(1, SIGN_WORDS // int(kind.max()))
+            for at in range(0, len(own), step):
+                part = own[at : at + step]
+                apart = self.folded(i[part], words) ^ other.folded(j[part], words)
+                out[part] = np.bitwise_count(apart).sum(axis=1, dtype=np.int64)
+        return out
+
+
+def can_reach(most, n, m):
+    """Whether sets of n and m shingles link if they have ``most`` in common."""
+    return (100 + PERCENT) * most >= PERCENT * (n + m)
+
+
 def survey(rows: DataFrame) -> DataFrame:
-    """One pass: a row (rid, rkey, node, n) a document and rows (node = shingle, times).
+    """One pass: a row (rid, rkey, node, n, sign) a document and rows (node = shingle, times).
 
     A node is a set; documents without words have none.
     """
@@ -100,17 +160,20 @@ def survey(rows: DataFrame) -> DataFrame:
             sets = [shingles(t) for texts in batches_of(batch, 500) for t in texts]
             ids = pa.array([set_id(s) if len(s) else None for s in sets], pa.int64())
             n = pa.array([len(s) for s in sets], pa.int32())
+            signs = pa.array([sign(s) if len(s) else None for s in sets], pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:2], ids, n, pa.nulls(len(sets), pa.int64())], names=names
+                [*batch.columns[:2], ids, n, signs, pa.nulls(len(sets), pa.int64())], names=names
             )
             value, times = noted(sets)
-            gap = pa.nulls(len(value), pa.int64())
+            gap, none = pa.nulls(len(value), pa.int64()), pa.nulls(len(value), pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [gap, gap, pa.array(value), pa.nulls(len(value), pa.int32()), pa.array(times)], names=names
+                [gap, gap, pa.array(value), pa.nulls(len(value), pa.int32()), none, pa.array(times)], names=names
             )
 
-    names = ["rid", "rkey", "node", "n", "times"]
-    return rows.select("rid", "rkey", "text").mapInArrow(work, "rid long, rkey long, node long, n int, times long")
+    names = ["rid", "rkey", "node", "n", "sign", "times"]
+    return rows.select("rid", "rkey", "text").mapInArrow(
+        work, "rid long, rkey long, node long, n int, sign binary, times long"
+    )
 
 
 def prefix_length(n: int) -> int:
@@ -229,13 +292,46 @@ def meeting_places(pairs: DataFrame) -> DataFrame:
     return goes.join(stays, "node", "full_outer")
 
 
+def bounded(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, n, m, most) for pairs of nodes: what their sets have in common at most, by their signs."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches, 2_000):
+            every = np.arange(len(batch))
+            left, right = Signs(batch.column(4).to_pylist()), Signs(batch.column(5).to_pylist())
+            n, m = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (2, 3))
+            most = (n + m - left.differing(every, right, every)) // 2
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:4], pa.array(most.astype(np.int32))], names=["a", "b", "n", "m", "most"]
+            )
+
+    for end, n, side in (("a", "n", "left"), ("b", "m", "right")):
+        own = sets.select(F.col("node").alias(end), F.col("n").alias(n), F.col("sign").alias(side))
+        pairs = join_one_per_key(pairs, own, [end], "left")
+    return pairs.select("a", "b", "n", "m", "left", "right").mapInArrow(work, "a long, b long, n int, m int, most int")
+
+
+def answered(pairs: DataFrame, rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, n, m, low, common) for the stored pairs of nodes, a the lesser: bounds on their overlaps.
+
+    The bounds are equal, from the whole sets, for all pairs that can link by their signs.
+    """
+    many = pairs.count()
+    found = stored(bounded(pairs, sets), "bounded", many)
+    near = can_reach(F.col("most"), F.col("n"), F.col("m"))
+    exact = overlaps(stored(found.where(near).select("a", "b"), "near", many), rows, sets)
+    far = found.where(~near).withColumn("low", F.lit(0)).withColumnRenamed("most", "common")
+    out = exact.withColumn("low", F.col("common")).unionByName(far)
+    return stored(out.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "n", "m", "low", "common"), "answered", many)
+
+
 def overlaps(pairs: DataFrame, rows: DataFrame, texts_of: DataFrame) -> DataFrame:
     """(a, b, n, m, common) for the stored pairs of nodes, from their whole sets.
 
     ``texts_of`` (node, rkey) names a document for each node.  A pair's nodes come out in
     either order.
     """
-    needed = join_one_per_key(meeting_places(pairs), texts_of, ["node"], "left")
+    needed = join_one_per_key(meeting_places(pairs), texts_of.select("node", "rkey"), ["node"], "left")
     needed = stored(needed.select("rkey", "to", "salts"), "needed")
     many = pairs.count()
 
@@ -307,16 +403,18 @@ CROSS = "a long, b long, sure boolean"
 def cross_pairs(lists: DataFrame) -> DataFrame:
     """Pairs of different components within each list block: linked for sure, or to compare.
 
-    Rows: (top, left, right, shingle, part, component, node, n, at, common, leader, leader_n),
-    sorted by block (the first three) and list; ``common`` is the overlap with the leader, -1 if
-    unknown; ``part`` is 2 in blocks on the grid's diagonal, else 1 or -1 by side.  Lists of one
+    Rows: (top, left, right, shingle, part, component, node, n, at, low, common, leader, leader_n,
+    sign), sorted by block (the first three) and list; ``low`` and ``common`` bound the overlap with
+    the leader, -1 if unknown; ``part`` is 2 in blocks on the grid's diagonal, else 1 or -1 by side.
+    Ahead of a block's lists stand, with ``part`` 0, the signs of its nodes.  Lists of one
     top leader lie together because they hold the same pairs again and again: each goes out once.
     """
 
-    def pairs(rows: np.ndarray) -> Iterator[np.ndarray]:
+    def pairs(rows: np.ndarray, nodes: np.ndarray, signs: Signs) -> Iterator[np.ndarray]:
         lists = np.cumsum(np.append(True, (rows[1:, :4] != rows[:-1, :4]).any(axis=1)))
         order = np.lexsort((rows[:, 5], lists))
-        block, (part, comp, node, n, at, common, leader, leader_n) = lists[order], rows[order, 4:].T
+        block, (part, comp, node, n, at, low, common, leader, leader_n) = lists[order], rows[order, 4:].T
+        signed = np.searchsorted(nodes, node)
         # Each entry meets those behind it in its list; those of its own component are skipped whole.
         own = np.cumsum(np.append(True, (block[1:] != block[:-1]) | (comp[1:] != comp[:-1])))
         begin = np.searchsorted(own, own, side="right")
@@ -335,16 +433,26 @@ def cross_pairs(lists: DataFrame) -> DataFrame:
             keep &= 100 * np.minimum(n[i], n[j]) >= PERCENT * np.maximum(n[i], n[j])
             i, j, both = i[keep], j[keep], both[keep]
             known = (common[i] >= 0) & (common[j] >= 0) & (leader[i] == leader[j])
-            most = np.minimum(common[i], common[j]) + np.minimum(n[i] - common[i], n[j] - common[j])
-            least = common[i] + common[j] - leader_n[i]
-            out = known & ((100 + PERCENT) * most < PERCENT * both)
-            sure = known & ((100 + PERCENT) * least >= PERCENT * both)
-            ends = np.stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j]), sure], axis=1)[~out]
-            yield np.unique(ends, axis=0)
-
-    def once(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+            most = np.minimum(common[i], common[j]) + np.minimum(n[i] - low[i], n[j] - low[j])
+            least = low[i] + low[j] - leader_n[i]
+            sure = known & can_reach(least, n[i], n[j])
+            keep = ~known | can_reach(most, n[i], n[j])
+            i, j, sure = i[keep], j[keep], sure[keep]
+            ends = np.stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j]), sure], axis=1)
+            ends, at_first = np.unique(ends, axis=0, return_index=True)
+            i, j = i[at_first], j[at_first]
+            keep = ends[:, 2] > 0
+            look = np.flatnonzero(~keep)
+            i, j = i[look], j[look]
+            most = (n[i] + n[j] - signs.differing(signed[i], signs, signed[j])) // 2
+            keep[look] = can_reach(most, n[i], n[j])
+            yield ends[keep]
+
+    def once(rows: np.ndarray, signs: list[bytes]) -> Iterator[pa.RecordBatch]:
+        own = rows[:, 4] == 0
+        nodes, at = np.unique(rows[own, 6], return_index=True)
         pool = np.empty((0, 3), np.int64)
-        for found in pairs(rows):
+        for found in pairs(rows[~own], nodes, Signs([signs[i] for i in at.tolist()])):
             pool = np.unique(np.concatenate([pool, found]), axis=0)
             if len(pool) > 1_000_000:
                 yield as_batch(pool)
@@ -356,19 +464,21 @@ def cross_pairs(lists: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays(columns, names=["a", "b", "sure"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.empty((0, 12), np.int64)
+        held, signs = np.empty((0, 13), np.int64), []
         for batch in batches:
-            rows = np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns], axis=1)
+            rows = np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns[:-1]], axis=1)
             held = np.concatenate([held, rows])
+            signs += batch.column(13).drop_null().to_pylist()
             if not len(held):
                 continue
             # The last block may go on in the next batch.
             whole = int(np.flatnonzero((held[:, :3] == held[-1, :3]).all(axis=1))[0])
             if whole:
-                yield from once(held[:whole])
-                held = held[whole:]
+                ended = int(np.count_nonzero(held[:whole, 4] == 0))
+                yield from once(held[:whole], signs[:ended])
+                held, signs = held[whole:], signs[ended:]
         if len(held):
-            yield from once(held)
+            yield from once(held, signs)
 
     return lists.mapInArrow(work, CROSS)
 
@@ -427,44 +537,54 @@ def further_pairs(mixed: DataFrame) -> DataFrame:
     return out.distinct()
 
 
-def blocks(placed: DataFrame, answers: DataFrame) -> DataFrame:
-    """The entries of ``mixed_lists``, dealt and sorted for ``cross_pairs``."""
-    long = placed.groupBy("top").agg(F.count("*").alias("size")).where(F.col("size") > BLOCK)
+def blocks(placed: DataFrame, answers: DataFrame, sets: DataFrame) -> DataFrame:
+    """The entries of ``mixed_lists`` and the signs of their sets, dealt and sorted for ``cross_pairs``."""
+    weight = F.sum(1 + F.col("n") / SIGNED)
+    long = placed.groupBy("top").agg(weight.alias("size")).where(F.col("size") > BLOCK)
     placed = lookup(placed, stored(long, "long", placed.count()), ["top"])
     ways = F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))
-    known = answers.select(ways.alias("w"), "common").select("w.a", "w.b", "common").toDF("leader", "node", "common")
-    common = F.when(F.col("node") == F.col("leader"), F.col("n")).otherwise(F.coalesce("common", F.lit(-1)))
+    known = answers.select(ways.alias("w"), "low", "common").select("w.a", "w.b", "low", "common")
+    known = known.toDF("leader", "node", "low", "common")
+    led = F.col("node") == F.col("leader")
+    bound = lambda name: F.when(led, F.col("n")).otherwise(F.coalesce(name, F.lit(-1))).alias(name)
+
+    def dealt(rows: DataFrame) -> DataFrame:
+        grid = F.coalesce(F.ceil(F.col("size") / BLOCK), F.lit(1)).cast("int")
+        rows = rows.withColumn("grid", grid).withColumn("mine", F.pmod(F.xxhash64("node"), F.col("grid")).cast("int"))
+        rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("grid") - 1)))
+        return rows.withColumn("left", F.least("mine", "other")).withColumn("right", F.greatest("mine", "other"))
+
+    part = F.when(F.col("mine") == F.col("other"), 2).when(F.col("mine") < F.col("other"), 1).otherwise(-1)
+    found = dealt(lookup(placed, known, ["leader", "node"])).select(
+        "top", "left", "right", "shingle", part.alias("part"), "root", "node", "n", "at",
+        bound("low"), bound("common"), "leader", "leader_n", F.lit(None).cast("binary").alias("sign"),
+    )
+    signed = join_one_per_key(placed.select("top", "node", "size").distinct(), sets.select("node", "sign"), ["node"], "left")
+    none = {name: F.lit(0) for name in ("shingle", "part", "root", "n", "at", "low", "common", "leader", "leader_n")}
+    signed = dealt(signed).withColumns(none).select(*found.columns)
     return (
-        lookup(placed, known, ["leader", "node"])
-        .withColumn("common", common)
-        .withColumn("grid", F.coalesce(F.ceil(F.col("size") / BLOCK), F.lit(1)).cast("int"))
-        .withColumn("mine", F.pmod(F.xxhash64("node"), F.col("grid")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("grid") - 1)))
-        .select(
-            "top", F.least("mine", "other").alias("left"), F.greatest("mine", "other").alias("right"), "shingle",
-            F.when(F.col("mine") == F.col("other"), 2).when(F.col("mine") < F.col("other"), 1).otherwise(-1),
-            "root", "node", "n", "at", "common", "leader", "leader_n",
-        )
+        found.union(signed)
         .repartition("top", "left", "right")
-        .sortWithinPartitions("top", "left", "right", "shingle")
-    )
+        .sortWithinPartitions("top", "left", "right", F.col("part") != 0, "shingle")
+    )
 
 
 def linked_sets(rows: DataFrame, seen: DataFrame) -> DataFrame:
     """(node, root) for the sets that link with another one."""
-    texts_of = seen.where("n > 0").groupBy("node").agg(F.min("rkey").alias("rkey"))
+    sets = seen.where("n > 0").groupBy("node").agg(F.min(F.struct("rkey", "n", "sign")).alias("of"))
+    sets = stored(sets.select("node", "of.*"), "sets")
     lists = prefix_lists(rows, seen)
     # An entry makes one pair with its leader, and a leader one with another.
-    answers = overlaps(stored(leader_pairs(lists), "pairs", 2 * lists.count()), rows, texts_of)
+    answers = answered(stored(leader_pairs(lists), "pairs", 2 * lists.count()), rows, sets)
     mixed = mixed_lists(lists, components(answers.where(linked())))
-    more = overlaps(stored(further_pairs(mixed), "further", LEADERS * mixed.count()), rows, texts_of)
+    more = answered(stored(further_pairs(mixed), "further", LEADERS * mixed.count()), rows, sets)
     found = answers.count() + more.count()
     answers = stored(answers.union(more).dropDuplicates(["a", "b"]), "answers", found)
     links = answers.where(linked()).select("a", "b")
-    cross = cross_pairs(blocks(mixed_lists(lists, components(links)), answers))
+    cross = cross_pairs(blocks(mixed_lists(lists, components(links)), answers, sets))
     cross = stored(cross.groupBy("a", "b").agg(F.max("sure").alias("sure")), "cross")
     unsure = stored(cross.where("NOT sure").select("a", "b"), "unsure", cross.count())
-    compared = overlaps(unsure, rows, texts_of)
+    compared = overlaps(unsure, rows, sets)
     links = links.union(cross.where("sure").select("a", "b")).union(compared.where(linked()).select("a", "b"))
     return components(links)
 

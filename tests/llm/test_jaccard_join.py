@@ -144,3 +144,37 @@ def test_noted_shingles_are_counted_in_one_sorted_copy():
         got = J.noted(sets)
         assert [x.tolist() for x in got] == [x[times >= J.NOTED].tolist() for x in (value, times)]
         assert not sets
+
+
+def test_whole_sets_travel_only_for_pairs_that_may_link(docs, monkeypatch):
+    """Texts that share a passage and nothing else meet in lists; their signs tell them apart."""
+    pick, compared, plain = random.Random(8), [], J.overlaps
+    text = lambda n: [f"{pick.randrange(10**9)}" for _ in range(n)]
+    passage = text(50)
+    rows = [(i, " ".join(passage + text(100))) for i in range(30)]
+    alike = passage + text(100)
+    rows += [(100, " ".join(alike)), (101, " ".join(alike + text(3)))]
+
+    def noted(pairs, *args):
+        compared.append(pairs.count())
+        return plain(pairs, *args)
+
+    monkeypatch.setattr(J, "overlaps", noted)
+    monkeypatch.setattr(J, "NOTED", 1_000)  # as where a passage is spread thinly over many batches
+    got = sorted(map(tuple, J.join(docs(rows)).collect()), key=str)
+    assert got == brute(rows)
+    assert sum(compared) <= 2
+
+
+def test_signs_bound_how_far_sets_are_apart():
+    pick = np.random.default_rng(4)
+    sets = [np.unique(pick.integers(0, 2**63, n).astype(np.uint64)) for n in (1, 2, 31, 33, 60, 64, 70, 500, 700, 1025)]
+    sets += [np.unique(np.concatenate([s[: len(s) * 9 // 10], sets[3]])) for s in sets[4:]]
+    signs = J.Signs([J.sign(s) for s in sets])
+    i, j = (x.ravel() for x in np.meshgrid(np.arange(len(sets)), np.arange(len(sets))))
+    apart = np.array([len(np.setxor1d(sets[a], sets[b])) for a, b in zip(i, j)])
+    got = signs.differing(i, signs, j)
+    assert (got <= apart).all() and ((apart - got) % 2 == 0).all()
+    n = np.array([len(s) for s in sets])
+    unlike = (apart == n[i] + n[j]) & (np.minimum(n[i], n[j]) > 400)
+    assert unlike.any() and not J.can_reach((n[i] + n[j] - got) // 2, n[i], n[j])[unlike].any()
