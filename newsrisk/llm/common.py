@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from newsrisk.session import scratch_path
+from newsrisk.session import discard, scratch_path
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Stands for a missing doc_id where an order is needed: behind all others.
@@ -52,6 +52,12 @@ def stored(df: DataFrame, name: str, most: int | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def freed(*tables: DataFrame) -> None:
+    """Delete ``stored`` tables that nothing reads any more."""
+    for table in tables:
+        discard(table.sparkSession, *{name.rpartition("/")[0] for name in table.inputFiles()})
+
+
 def sliced(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
     """The batches in pieces of at most ``rows`` rows, so that a task makes Python objects of few texts."""
     for batch in batches:

@@ -40,7 +40,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from newsrisk.llm.common import CUTS, KEY, LAST, LOWER, VALUES, as_bytes, gram_hashes, row_key, sliced, span_hashes, stored, word_spans
+from newsrisk.llm.common import CUTS, KEY, LAST, LOWER, VALUES, as_bytes, freed, gram_hashes, row_key, sliced, span_hashes, stored, word_spans
 from newsrisk.llm.components import components
 from newsrisk.operators.skew import join_one_per_key
 
@@ -60,6 +60,8 @@ LEADERS = 4
 MEETINGS = 1_000
 #: Words of signs that are compared at once.
 SIGN_WORDS = 1_000_000
+#: Rows of a few numbers that are about as long as a sign.
+SIGN_ROWS = 10
 #: Shingles of a set whose sign weighs as much as an entry in a block.
 SIGNED = 4_000
 HEAVY = np.uint64(1 << 63)
@@ -317,7 +319,8 @@ def answered(pairs: DataFrame, rows: DataFrame, sets: DataFrame) -> DataFrame:
     The bounds are equal, from the whole sets, for all pairs that can link by their signs.
     """
     many = pairs.count()
-    found = stored(bounded(pairs, sets), "bounded", many)
+    # The join reads all signs, however few the pairs are; a sign is as long as several short rows.
+    found = stored(bounded(pairs, sets), "bounded", many + SIGN_ROWS * sets.count())
     near = can_reach(F.col("most"), F.col("n"), F.col("m"))
     exact = overlaps(stored(found.where(near).select("a", "b"), "near", many), rows, sets)
     far = found.where(~near).withColumn("low", F.lit(0)).withColumnRenamed("most", "common")
@@ -520,7 +523,9 @@ def mixed_lists(lists: DataFrame, roots: DataFrame) -> DataFrame:
         first, F.array(*best).alias("further"), F.min("root").alias("low"), F.max("root").alias("high")
     )
     mixed = ends.where("low <> high").select("shingle", "top", "further")
-    return stored(join_one_per_key(placed, mixed, ["shingle"], "left").where("top IS NOT NULL"), "mixed")
+    mixed = stored(join_one_per_key(placed, mixed, ["shingle"], "left").where("top IS NOT NULL"), "mixed")
+    freed(placed)
+    return mixed
 
 
 def further_pairs(mixed: DataFrame) -> DataFrame:
@@ -578,11 +583,15 @@ def linked_sets(rows: DataFrame, seen: DataFrame) -> DataFrame:
     answers = answered(stored(leader_pairs(lists), "pairs", 2 * lists.count()), rows, sets)
     mixed = mixed_lists(lists, components(answers.where(linked())))
     more = answered(stored(further_pairs(mixed), "further", LEADERS * mixed.count()), rows, sets)
+    freed(mixed)
     found = answers.count() + more.count()
     answers = stored(answers.union(more).dropDuplicates(["a", "b"]), "answers", found)
     links = answers.where(linked()).select("a", "b")
-    cross = cross_pairs(blocks(mixed_lists(lists, components(links)), answers, sets))
+    mixed = mixed_lists(lists, components(links))
+    freed(lists)
+    cross = cross_pairs(blocks(mixed, answers, sets))
     cross = stored(cross.groupBy("a", "b").agg(F.max("sure").alias("sure")), "cross")
+    freed(mixed)
     unsure = stored(cross.where("NOT sure").select("a", "b"), "unsure", cross.count())
     compared = overlaps(unsure, rows, sets)
     links = links.union(cross.where("sure").select("a", "b")).union(compared.where(linked()).select("a", "b"))

@@ -1,3 +1,4 @@
+import os
 import random
 import re
 
@@ -178,3 +179,19 @@ def test_signs_bound_how_far_sets_are_apart():
     n = np.array([len(s) for s in sets])
     unlike = (apart == n[i] + n[j]) & (np.minimum(n[i], n[j]) > 400)
     assert unlike.any() and not J.can_reach((n[i] + n[j] - got) // 2, n[i], n[j])[unlike].any()
+
+
+def test_tables_of_lists_are_deleted_after_use(docs, monkeypatch):
+    made, plain = [], J.stored
+
+    def noted(df, name, *args):
+        out = plain(df, name, *args)
+        made.extend((name, file.removeprefix("file:")) for file in out.inputFiles())
+        return out
+
+    monkeypatch.setattr(J, "stored", noted)
+    rows = [(i, " ".join(f"{i % 3}{j}" for j in range(30))) for i in range(9)]
+    assert sorted(map(tuple, J.join(docs(rows)).collect()), key=str) == brute(rows)
+    left = {name for name, file in made if os.path.exists(file)}
+    assert {name for name, _ in made} >= {"lists", "placed", "mixed"}
+    assert "members" in left and not left & {"lists", "placed", "mixed"}
